@@ -1,0 +1,53 @@
+"""Semi-join on keys of which a few may hold a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+COPIES = "__copies"
+
+# At most this many keys are broadcast. By the pigeonhole principle every other
+# key then holds less than 1/MAX_CROWDED_KEYS of the rows, which is no more than
+# an ordinary shuffle partition of a large job.
+MAX_CROWDED_KEYS = 2048
+
+# Keys with fewer rows than this are never worth the separate treatment.
+MIN_CROWD = 100_000
+
+
+def crowded_keys(
+    sizes: DataFrame, on: str, limit: int = MAX_CROWDED_KEYS, least: int = MIN_CROWD
+) -> DataFrame:
+    """The up to ``limit`` keys with the most rows, of those with ``least`` or more.
+
+    The order is total, so that every evaluation of the plan picks the same keys.
+    """
+    return (
+        sizes.filter(F.col(COPIES) >= least)
+        .orderBy(F.desc(COPIES), F.asc(on))
+        .limit(limit)
+        .select(on)
+    )
+
+
+def rows_with_keys(
+    df: DataFrame,
+    sizes: DataFrame,
+    on: str,
+    limit: int = MAX_CROWDED_KEYS,
+    least: int = MIN_CROWD,
+) -> DataFrame:
+    """Rows of ``df`` whose key is in ``sizes`` (unique keys with row counts).
+
+    Crowded keys are matched by a broadcast of at most ``limit`` keys, so their
+    rows stay where they are; the rest meets its keys as the planner sees fit.
+    Without crowded keys the first branch has an empty build side and adaptive
+    execution drops it before its scan starts.
+    """
+    crowded = F.broadcast(crowded_keys(sizes, on, limit, least))
+    heavy = df.join(crowded, on, "left_semi")
+    light = df.join(crowded, on, "left_anti").join(
+        sizes.filter(F.col(COPIES) > 0).select(on), on, "left_semi"
+    )
+    return heavy.unionByName(light)
