@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,7 +46,12 @@ def follow_landing(
 
     def take(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        ingest_snapshot(session, batch, layers, keys, clock, **ingest_options)
+        # Parsed once for its digests and its rows.
+        batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            ingest_snapshot(session, batch, layers, keys, clock, **ingest_options)
+        finally:
+            batch.unpersist()
         if refresh:
             refresh_current(session, layers, clock, last_refresh_day(session, layers))
 
