@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.hashing import require_columns
 from tidemark.names import KEY_HASH, ROW_HASH
 from tidemark.operators.evolve import union_evolving
-from tidemark.operators.skew import COPIES, MAX_CROWDED_KEYS, MIN_CROWD, rows_with_keys
+from tidemark.operators.skew import MAX_CROWDED_KEYS, MIN_CROWD, group_sizes, rows_with_keys
 
 ACTION = "action"
 INSERT, UPDATE, COPY = "INSERT", "UPDATE", "COPY"
@@ -42,10 +42,12 @@ def unseen_rows(
     A value that returns to an old state is therefore not new, and copies inside
     one batch are all kept unless ``distinct`` is set.
 
-    The digests are compared first, each once and without the other columns:
-    copies collapse before the shuffle on both sides. Only then are the wide
-    rows filtered by the surviving digests, through a broadcast when those
-    measured small, and with crowded digests kept apart when not.
+    The digests are compared first, each once and without the other columns. A
+    stage small enough to be broadcast picks its digests out of the history scan,
+    so that nothing of a large history is shuffled; otherwise copies collapse
+    before the shuffle on both sides. Only then are the wide rows filtered by the
+    surviving digests, through a broadcast when those measured small, and with
+    crowded digests kept apart when not.
     """
     require_columns(stage, [on], "stage")
     require_columns(history, [on], "history")
@@ -53,8 +55,12 @@ def unseen_rows(
         stage = stage.dropDuplicates([on])
     # An empty string is no digest: it carries the rows that have none.
     keyed = stage.withColumn(_DIGEST, F.coalesce(F.col(on), F.lit("")))
-    sizes = keyed.groupBy(_DIGEST).agg(F.count(F.lit(1)).alias(COPIES))
-    known = history.select(F.col(on).alias(_DIGEST)).distinct()
+    sizes = group_sizes(keyed, _DIGEST)
+    known = (
+        history.select(F.col(on).alias(_DIGEST))
+        .distinct()
+        .join(sizes.select(_DIGEST), _DIGEST, "left_semi")
+    )
     unseen = sizes.join(known, _DIGEST, "left_anti")
     return rows_with_keys(keyed, unseen, _DIGEST, limit, least).select(stage.columns)
 

@@ -16,6 +16,16 @@ MAX_CROWDED_KEYS = 2048
 MIN_CROWD = 100_000
 
 
+def group_sizes(df: DataFrame, on: str) -> DataFrame:
+    """Unique keys with their row counts, reduced before the shuffle.
+
+    The filter holds for every group. It keeps the counts in the plan where only
+    the keys are used, so that all uses are alike and share one exchange.
+    """
+    sizes = df.groupBy(on).agg(F.count(F.lit(1)).alias(COPIES))
+    return sizes.filter(F.col(COPIES) > 0)
+
+
 def crowded_keys(
     sizes: DataFrame, on: str, limit: int = MAX_CROWDED_KEYS, least: int = MIN_CROWD
 ) -> DataFrame:
@@ -38,7 +48,7 @@ def rows_with_keys(
     limit: int = MAX_CROWDED_KEYS,
     least: int = MIN_CROWD,
 ) -> DataFrame:
-    """Rows of ``df`` whose key is in ``sizes`` (unique keys with row counts).
+    """Rows of ``df`` whose key is in ``sizes``, a subset of its group sizes.
 
     Crowded keys are matched by a broadcast of at most ``limit`` keys, so their
     rows stay where they are; the rest meets its keys as the planner sees fit.
@@ -48,6 +58,6 @@ def rows_with_keys(
     crowded = F.broadcast(crowded_keys(sizes, on, limit, least))
     heavy = df.join(crowded, on, "left_semi")
     light = df.join(crowded, on, "left_anti").join(
-        sizes.filter(F.col(COPIES) > 0).select(on), on, "left_semi"
+        sizes.select(on), on, "left_semi"
     )
     return heavy.unionByName(light)

@@ -17,9 +17,9 @@ from tidemark.functions.hashing import require_columns
 from tidemark.operators.changes import changed_rows
 from tidemark.operators.control import RunContext, add_control_columns, replace_run_columns
 from tidemark.operators.latest import latest_versions
-from tidemark.plans.run_log import audited, ingest_record, refresh_record
+from tidemark.plans.run_log import audited, ingest_record, read_run_log, refresh_record
 from tidemark.sources.snapshots import read_json_snapshot
-from tidemark.sources.tables import AppendTable, CurrentTable, HistoryTable
+from tidemark.sources.tables import CurrentTable, HistoryTable
 
 Clock = Callable[[], datetime]
 
@@ -129,7 +129,8 @@ def refresh_current(
         with record.step("filter_data"):
             latest = latest_versions(history)
         with record.step("filter_new_data"):
-            changed = changed_rows(latest, current.read()) if current.exists() else latest
+            known = current.find()
+            changed = latest if known is None else changed_rows(latest, known)
         with record.step("transform_strings"):
             cleaned = clean_strings(changed, exclude=[*N.CONTROL_COLUMNS, *exclude])
         with record.step("add_column_log"):
@@ -167,9 +168,7 @@ def run_chain(
 
 def last_refresh_day(spark: SparkSession, layers: Layers) -> str | None:
     """Day of the last refresh that succeeded, from the run log."""
-    log = AppendTable(spark, layers.refresh_log)
-    if not log.exists():
+    log = read_run_log(spark, layers.refresh_log)
+    if log is None:
         return None
-    return (
-        log.read().filter(F.col("status") == N.SUCCEEDED).agg(F.max("date_run")).first()[0]
-    )
+    return log.filter(F.col("status") == N.SUCCEEDED).agg(F.max("date_run")).first()[0]

@@ -7,12 +7,11 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark import names as N
 from tidemark.functions.clock import parse_instant
 from tidemark.operators.control import RunContext
-from tidemark.sources.tables import AppendTable
+from tidemark.sources.tables import one_row, path_exists
 
 
 class RunRecord:
@@ -49,8 +48,7 @@ class RunRecord:
         )
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in self.columns])
-        return spark.createDataFrame([tuple(self.values[c] for c in self.columns)], schema)
+        return one_row(spark, **{c: F.lit(self.values[c]) for c in self.columns})
 
 
 def ingest_record(run: RunContext, input_path: str, output_path: str) -> RunRecord:
@@ -97,13 +95,14 @@ def audited(
         record.close(N.FAILED, failure_prefix + str(error))
         raise
     finally:
-        log = AppendTable(spark, record.run.log_path)
-        log.append(record.to_frame(spark).coalesce(1))
+        record.to_frame(spark).write.mode("append").parquet(record.run.log_path)
 
 
-def read_run_log(spark: SparkSession, log_path: str) -> DataFrame:
-    """All runs of one log."""
-    return AppendTable(spark, log_path).read()
+def read_run_log(spark: SparkSession, log_path: str) -> DataFrame | None:
+    """All runs of one log, None before the first; a file per run."""
+    if not path_exists(spark, log_path):
+        return None
+    return spark.read.option("mergeSchema", True).parquet(log_path)
 
 
 def typed_run_log(log: DataFrame) -> DataFrame:

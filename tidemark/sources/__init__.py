@@ -5,6 +5,8 @@ from tidemark.sources.tables import (
     HistoryTable,
     StoredTable,
     UpsertCounts,
+    one_row,
+    path_exists,
     write_counted,
 )
 
@@ -15,6 +17,8 @@ __all__ = [
     "StoredTable",
     "UpsertCounts",
     "literal_table",
+    "one_row",
+    "path_exists",
     "read_json_snapshot",
     "write_counted",
 ]

@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(configuration).exists(place)
 
 
+def one_row(spark: SparkSession, **values: Column) -> DataFrame:
+    """A row of literals, made without a Python worker."""
+    return spark.range(0, 1, 1, 1).select(*[v.alias(name) for name, v in values.items()])
+
+
 def write_counted(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()
 ) -> int:
@@ -71,11 +76,16 @@ class StoredTable:
     def exists(self) -> bool:
         return self.last_release() is not None
 
-    def read(self) -> DataFrame:
+    def find(self) -> DataFrame | None:
+        """The table, or None where there is none yet."""
         last = self.last_release()
-        if last is None:
+        return None if last is None else self._read_release(last)
+
+    def read(self) -> DataFrame:
+        found = self.find()
+        if found is None:
             raise FileNotFoundError(f"no table at {self.path}")
-        return self._read_release(last)
+        return found
 
     def _read_release(self, release: Row) -> DataFrame:
         return self._read_parts(release.parts, _schema_of(release))
@@ -85,8 +95,14 @@ class StoredTable:
         return stored.load([f"{self.path}/{p}" for p in parts])
 
     def _release(self, number: int, parts: list[str], rows: int, schema: T.StructType) -> None:
-        row = self.spark.createDataFrame([(number, parts, rows, schema.json())], _RELEASE_SCHEMA)
-        row.coalesce(1).write.mode("append").json(f"{self.path}/releases")
+        row = one_row(
+            self.spark,
+            release=F.lit(number),
+            parts=F.array(*[F.lit(p) for p in parts]),
+            rows=F.lit(rows),
+            schema=F.lit(schema.json()),
+        )
+        row.write.mode("append").json(f"{self.path}/releases")
 
 
 def _schema_of(release: Row) -> T.StructType:
