@@ -56,6 +56,8 @@ def rank_by_value(df: DataFrame, value: str, bands: int = 1000) -> DataFrame:
     the bands above; where the cuts fall does not change the result. Rows
     without a value get null ranks.
     """
+    if bands < 2:
+        raise ValueError("ranking needs at least two bands")
     sizes = (
         df.filter(F.col(quoted(value)).isNotNull())
         .groupBy(F.col(quoted(value)).alias(value))
@@ -65,7 +67,7 @@ def rank_by_value(df: DataFrame, value: str, bands: int = 1000) -> DataFrame:
     cuts = sizes.withColumn(value, F.col(quoted(value)).cast("double")).approxQuantile(
         value, steps, 0.5 / bands
     )
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    splits = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     banded = Bucketizer(
         splits=splits, inputCol=value, outputCol=_BAND, handleInvalid="keep"
     ).transform(sizes)
