@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +13,7 @@ from tidemark.sources import (
     CurrentTable,
     HistoryTable,
     UpsertCounts,
+    counted,
     literal_table,
     read_json_snapshot,
 )
@@ -129,6 +131,18 @@ def test_history_is_laid_out_by_day_and_read_by_day(spark, tmp_path):
     assert f"{N.INGESTED_ON}#" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
 
 
+def test_a_partitioned_write_of_one_day_is_not_sorted(spark):
+    df = spark.range(10).selectExpr("id", "'2025-06-01' AS dt_ingestao")
+    spark.sql("CREATE TABLE by_day (id long, dt_ingestao string) USING parquet PARTITIONED BY (dt_ingestao)")
+
+    def write_plan(constants):
+        counted(df, Observation(), constants).createOrReplaceTempView("counted_rows")
+        return spark.sql("EXPLAIN INSERT INTO by_day TABLE counted_rows").first()[0]
+
+    assert "Sort" in write_plan({})
+    assert "Sort" not in write_plan({N.INGESTED_ON: "2025-06-01"})
+
+
 def test_history_modes(spark, tmp_path):
     def batch(day, *states):
         return history_rows(
@@ -156,8 +170,9 @@ def test_overwrite_from_itself(spark, tmp_path):
     assert rows(table.read()) == [("b", 2, "x")]
 
 
-def test_upsert_counts_and_rows(spark, tmp_path):
-    table = CurrentTable(spark, str(tmp_path / "c"))
+@pytest.mark.parametrize("band_digits", [0, 1])
+def test_upsert_counts_and_rows(spark, tmp_path, band_digits):
+    table = CurrentTable(spark, str(tmp_path / "c"), band_digits=band_digits)
     assert table.upsert(keyed(spark, [("a", 1), ("b", 1), ("c", 1)])) == UpsertCounts(3, 0, 0)
     assert table.upsert(keyed(spark, [("b", 2), ("d", 2)])) == UpsertCounts(1, 1, 2)
     assert rows(table.read()) == [("a", 1), ("b", 2), ("c", 1), ("d", 2)]
@@ -168,6 +183,38 @@ def test_upsert_counts_and_rows(spark, tmp_path):
     assert rows(table.read().filter("v > 1")) == [("a", 5, "x"), ("b", 2, None), ("d", 2, None)]
 
 
+def test_only_bands_with_changed_keys_are_rewritten(spark, tmp_path):
+    table = CurrentTable(spark, str(tmp_path / "c"), band_digits=1)
+    data = [(f"{i:02x}", 0) for i in range(256)]
+    assert table.upsert(keyed(spark, data)) == UpsertCounts(256, 0, 0)
+    first = table.last_release()
+    assert len(first.parts) == 16
+    # The number of digits is that of the table, not of the caller.
+    again = CurrentTable(spark, str(tmp_path / "c"), band_digits=0)
+    assert again.upsert(keyed(spark, [("a0", 1), ("a1", 1), ("c7x", 1)])) == UpsertCounts(1, 2, 254)
+    second = again.last_release()
+    assert second.rows == 257
+    carried = set(first.parts) & set(second.parts)
+    assert len(carried) == 14
+    assert not any("=a" in part or "=c" in part for part in carried)
+    expected = {**dict(data), "a0": 1, "a1": 1, "c7x": 1}
+    assert rows(table.read()) == sorted(expected.items())
+    # A band may lose all its old rows, or be new.
+    assert table.upsert(keyed(spark, [(f"b{d:x}", 2) for d in range(16)])) == UpsertCounts(0, 16, 241)
+    assert table.upsert(keyed(spark, [("zz", 3)])) == UpsertCounts(1, 0, 257)
+    assert table.read().count() == 258
+    assert rows(table.read().filter("v = 3")) == [("zz", 3)]
+
+
+def test_an_empty_current_table_can_be_read(spark, tmp_path):
+    for digits in (0, 2):
+        table = CurrentTable(spark, str(tmp_path / f"c{digits}"), band_digits=digits)
+        assert table.upsert(keyed(spark, [])) == UpsertCounts(0, 0, 0)
+        assert rows(table.read()) == []
+        assert table.upsert(keyed(spark, [("abc", 1)])) == UpsertCounts(1, 0, 0)
+        assert rows(table.read()) == [("abc", 1)]
+
+
 def test_upsert_of_ninety_eight_two_and_two(spark, tmp_path):
     table = CurrentTable(spark, str(tmp_path / "c"))
     table.upsert(keyed(spark, [(f"k{i:03}", 0) for i in range(100)]))

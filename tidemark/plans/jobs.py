@@ -96,7 +96,7 @@ def ingest_snapshot(
                 if not is_frame and history.exists():
                     staged = staged.persist(StorageLevel.DISK_ONLY)
             with record.step("merge_delta"):
-                added = history.insert_unseen(staged, compare, distinct, evolve)
+                added = history.insert_unseen(staged, compare, distinct, evolve, run.ingested_on)
             record.update(records_processed=added)
         finally:
             if staged is not None:
@@ -111,18 +111,21 @@ def refresh_current(
     since: str | None = None,
     exclude: Sequence[str] = (),
     evolve: bool = True,
+    band_digits: int = 0,
 ) -> dict[str, str]:
     """Bring the current table up to the history; returns the log row.
 
     ``since`` (a day, ``yyyy-MM-dd``) reads only the part of the history ingested
     from that day on. The result is the same as without it, provided that runs
     come in time order and an earlier refresh has seen all days before: a key
-    with no row since then still has the newest row it had.
+    with no row since then still has the newest row it had. ``band_digits`` is
+    that of a new current table: give 2 or 3 where it is large and few of its
+    keys change at a time.
     """
     run = RunContext(layers.process, layers.refresh_log, clock)
     record = refresh_record(run, layers.history, layers.current)
     with audited(spark, record, N.REFRESH_SUCCEEDED_MESSAGE, N.REFRESH_FAILED_PREFIX):
-        current = CurrentTable(spark, layers.current)
+        current = CurrentTable(spark, layers.current, band_digits=band_digits)
         with record.step("bronze_reading"):
             history = HistoryTable(spark, layers.history).read(since)
             require_columns(history, N.CONTROL_COLUMNS, "history")
@@ -151,6 +154,7 @@ def run_chain(
     keys: str | Sequence[str],
     clock: Clock = datetime.now,
     incremental: bool = True,
+    band_digits: int = 0,
     **ingest_options,
 ) -> list[dict[str, str]]:
     """For each snapshot in time order: ingest it, then refresh the current table.
@@ -162,7 +166,9 @@ def run_chain(
     for source in sources:
         records.append(ingest_snapshot(spark, source, layers, keys, clock, **ingest_options))
         since = last_refresh_day(spark, layers) if incremental else None
-        records.append(refresh_current(spark, layers, clock, since))
+        records.append(
+            refresh_current(spark, layers, clock, since, band_digits=band_digits)
+        )
     return records
 
 

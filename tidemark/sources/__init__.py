@@ -5,6 +5,7 @@ from tidemark.sources.tables import (
     HistoryTable,
     StoredTable,
     UpsertCounts,
+    counted,
     one_row,
     path_exists,
     write_counted,
@@ -16,6 +17,7 @@ __all__ = [
     "HistoryTable",
     "StoredTable",
     "UpsertCounts",
+    "counted",
     "literal_table",
     "one_row",
     "path_exists",

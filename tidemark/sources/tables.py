@@ -11,6 +11,7 @@ one writer at a time.
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
@@ -18,12 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import names as N
-from tidemark.functions.hashing import require_columns
+from tidemark.functions.hashing import quoted, require_columns
 from tidemark.operators.changes import unseen_rows
 from tidemark.operators.evolve import align, merged_schema
 from tidemark.operators.latest import latest_versions
 
 _RELEASE = "tidemark_release"
+_BAND = "tidemark_band"
 _RELEASE_FIELD = T.StructField(_RELEASE, T.LongType())
 _RELEASE_SCHEMA = "release long, parts array<string>, rows long, schema string"
 
@@ -35,22 +37,50 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(configuration).exists(place)
 
 
+def folder_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the folders that match; asks without a job."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    configuration = spark._jsparkSession.sessionState().newHadoopConf()
+    found = place.getFileSystem(configuration).globStatus(place)
+    return [status.getPath().getName() for status in found]
+
+
 def one_row(spark: SparkSession, **values: Column) -> DataFrame:
     """A row of literals, made without a Python worker."""
     return spark.range(0, 1, 1, 1).select(*[v.alias(name) for name, v in values.items()])
 
 
+def counted(df: DataFrame, seen: Observation, constants: Mapping[str, str]) -> DataFrame:
+    """``df`` with its rows counted into ``seen``, ``constants`` set above that.
+
+    A constant below the count would hide from the planner, which would sort the
+    rows of a partitioned write by it.
+    """
+    watched = df.drop(*constants).observe(seen, F.count(F.lit(1)).alias("rows"))
+    return watched.select(
+        *[
+            F.lit(constants[c]).alias(c) if c in constants else F.col(quoted(c))
+            for c in df.columns
+        ]
+    )
+
+
 def write_counted(
-    df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    partition_by: tuple[str, ...] = (),
+    constants: Mapping[str, str] | None = None,
 ) -> int:
     """Write ``df`` and return the number of rows written, in one pass.
 
     The count is taken in the stage that writes, where Spark counts each task
-    once however often it has to be run again.
+    once however often it has to be run again. ``constants`` names columns that
+    hold one known text throughout.
     """
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(path)
+    rows = counted(df, seen, constants or {})
+    rows.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(path)
     return int(seen.get["rows"])
 
 
@@ -91,6 +121,8 @@ class StoredTable:
         return self._read_parts(release.parts, _schema_of(release))
 
     def _read_parts(self, parts: list[str], schema: T.StructType) -> DataFrame:
+        if not parts:
+            return self.spark.createDataFrame([], schema)
         stored = self.spark.read.format(self.fmt).schema(schema)
         return stored.load([f"{self.path}/{p}" for p in parts])
 
@@ -125,7 +157,13 @@ class AppendTable(StoredTable):
             raise FileExistsError(f"there already is a table at {self.path}")
         return self._append(df, None, True)
 
-    def _append(self, df: DataFrame, last: Row | None, evolve: bool) -> int:
+    def _append(
+        self,
+        df: DataFrame,
+        last: Row | None,
+        evolve: bool,
+        constants: Mapping[str, str] | None = None,
+    ) -> int:
         if last is None:
             schema, number, before = merged_schema(T.StructType(), df.schema), 1, 0
         else:
@@ -135,7 +173,9 @@ class AppendTable(StoredTable):
                 require_columns(df, stored.names, "appended rows")
                 schema = stored
         folder = f"{self.path}/data/{_RELEASE}={number}"
-        added = write_counted(align(df, schema), folder, self.fmt, self.partition_by)
+        added = write_counted(
+            align(df, schema), folder, self.fmt, self.partition_by, constants
+        )
         if added or last is None:
             self._release(number, ["data"], before + added, schema)
         return added
@@ -164,9 +204,12 @@ class HistoryTable(AppendTable):
         compare: str = "history",
         distinct: bool = False,
         evolve: bool = True,
+        day: str | None = None,
     ) -> int:
         """Append the rows that are new; on the first load, all of them.
 
+        ``day`` says that this is the day of ingestion of every row.
+
         ``compare="history"`` takes a row for known if any version ever had its
         digest; ``compare="latest"`` only if the newest version of its key has,
         so that a value returning to an old state is recorded again.
@@ -174,14 +217,16 @@ class HistoryTable(AppendTable):
         if compare not in ("history", "latest"):
             raise ValueError(f"compare is 'history' or 'latest', not {compare!r}")
         last = self.last_release()
+        constants = {} if day is None else {N.INGESTED_ON: day}
         if last is None:
-            return self._append(stage.dropDuplicates([N.ROW_HASH]) if distinct else stage, None, True)
+            first = stage.dropDuplicates([N.ROW_HASH]) if distinct else stage
+            return self._append(first, None, True, constants)
         known = self._read_release(last)
         if compare == "latest":
             known = latest_versions(known)
         fresh = unseen_rows(stage, known, distinct=distinct)
         # Few rows from many tasks: let adaptive execution size the files.
-        return self._append(fresh.hint("rebalance"), last, evolve)
+        return self._append(fresh.hint("rebalance"), last, evolve, constants)
 
 
 @dataclass(frozen=True)
@@ -192,20 +237,45 @@ class UpsertCounts:
 
 
 class CurrentTable(StoredTable):
-    """One row per key. Each upsert writes a new release beside the last one."""
+    """One row per key. Each upsert writes a new release beside the last one.
+
+    With ``band_digits`` the rows are kept in folders by the first digits of their
+    key digest, 16 to that power of them. An upsert then rewrites only the folders
+    of the keys it changes, and the release takes the others over as they are.
+    The number is settled by the first write of a table.
+    """
 
-    def overwrite(self, df: DataFrame) -> int:
+    def __init__(
+        self, spark: SparkSession, path: str, fmt: str = "parquet", band_digits: int = 0
+    ) -> None:
+        super().__init__(spark, path, fmt)
+        self.band_digits = band_digits
+
+    def overwrite(self, df: DataFrame, on: str = N.KEY_HASH) -> int:
         """Make ``df`` the table, with the schema of ``df``."""
-        return self._replace(df, self.last_release())
+        return self._replace(df, self.last_release(), on)
 
-    def _replace(self, df: DataFrame, last: Row | None) -> int:
+    def _replace(self, df: DataFrame, last: Row | None, on: str) -> int:
         number = 1 if last is None else last.release + 1
-        part = f"data/{number}/changed"
         schema = merged_schema(T.StructType(), df.schema)
-        rows = write_counted(df, f"{self.path}/{part}", self.fmt)
-        self._release(number, [part], rows, schema)
+        rows, parts = self._write_part(df, f"data/{number}/changed", on, self.band_digits)
+        self._release(number, parts, rows, schema)
         return rows
 
+    def _write_part(
+        self, df: DataFrame, folder: str, on: str, digits: int
+    ) -> tuple[int, list[str]]:
+        """Write ``df``; the number of rows, and the folders that hold them."""
+        target = f"{self.path}/{folder}"
+        if digits == 0:
+            return write_counted(df, target, self.fmt), [folder]
+        # Digests spread evenly, so bands are of like size; adaptive execution
+        # makes one file of each, or several where that would be too large.
+        banded = df.withColumn(_BAND, F.substring(on, 1, digits)).hint("rebalance", _BAND)
+        rows = write_counted(banded, target, self.fmt, (_BAND,))
+        names = folder_names(self.spark, f"{target}/{_BAND}=*")
+        return rows, [f"{folder}/{name}" for name in names]
+
     def upsert(
         self, changed: DataFrame, on: str = N.KEY_HASH, unique: bool = False, evolve: bool = True
     ) -> UpsertCounts:
@@ -221,31 +291,35 @@ class CurrentTable(StoredTable):
         if last is None:
             if not unique:
                 self._require_unique(changed, on)
-            return UpsertCounts(self._replace(changed, None), 0, 0)
+            return UpsertCounts(self._replace(changed, None, on), 0, 0)
         stored = _schema_of(last)
         schema = merged_schema(stored, changed.schema)
         if not evolve:
             require_columns(changed, stored.names, "changed rows")
             schema = stored
-        number = last.release + 1
-        new, old = f"data/{number}/changed", f"data/{number}/kept"
-        written = write_counted(
-            align(changed, schema), f"{self.path}/{new}", self.fmt
+        folder = f"data/{last.release + 1}"
+        digits = _digits_of(last.parts, self.band_digits)
+        written, new = self._write_part(
+            align(changed, schema), f"{folder}/changed", on, digits
         )
         if written == 0:
             return UpsertCounts(0, 0, last.rows)
-        keys = self._read_parts([new], schema).select(on)
+        keys = self._read_parts(new, schema).select(on)
         if not unique:
             self._require_unique(keys, on)
-        before = self._read_parts(last.parts, schema)
-        kept = write_counted(
-            before.join(keys, on, "left_anti").select(schema.names),
-            f"{self.path}/{old}",
-            self.fmt,
-        )
-        self._release(number, [new, old], written + kept, schema)
-        updated = last.rows - kept
-        return UpsertCounts(written - updated, updated, kept)
+        bands = {_band_of(part) for part in new}
+        touched = [part for part in last.parts if _band_of(part) in bands]
+        others = [part for part in last.parts if _band_of(part) not in bands]
+        kept, old, removed = 0, [], 0
+        if touched:
+            before = self._read_parts(touched, schema)
+            rest = before.join(keys, on, "left_anti").select(schema.names)
+            kept, old = self._write_part(rest, f"{folder}/kept", on, digits)
+            # Without columns to read, a count comes from the file footers.
+            removed = (before.count() if others else last.rows) - kept
+        inserted = written - removed
+        self._release(last.release + 1, [*new, *old, *others], last.rows + inserted, schema)
+        return UpsertCounts(inserted, removed, last.rows - removed)
 
     @staticmethod
     def _require_unique(df: DataFrame, on: str) -> None:
@@ -253,3 +327,13 @@ class CurrentTable(StoredTable):
         example = twice.take(1)
         if example:
             raise ValueError(f"several source rows have the key {example[0][on]}")
+
+
+def _band_of(part: str) -> str:
+    """The band a folder holds, empty where the table has none."""
+    return part.partition(f"/{_BAND}=")[2]
+
+
+def _digits_of(parts: list[str], default: int) -> int:
+    bands = [_band_of(part) for part in parts if "__HIVE" not in part]
+    return len(bands[0]) if bands else default

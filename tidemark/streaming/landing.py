@@ -26,6 +26,7 @@ def follow_landing(
     refresh: bool = True,
     trigger: dict | None = None,
     files_per_batch: int = 1,
+    band_digits: int = 0,
     **ingest_options,
 ) -> StreamingQuery:
     """Ingest the files that land in ``layers.stage``, oldest first.
@@ -53,7 +54,8 @@ def follow_landing(
         finally:
             batch.unpersist()
         if refresh:
-            refresh_current(session, layers, clock, last_refresh_day(session, layers))
+            since = last_refresh_day(session, layers)
+            refresh_current(session, layers, clock, since, band_digits=band_digits)
 
     return (
         landed.writeStream.foreachBatch(take)
