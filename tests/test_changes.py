@@ -97,29 +97,43 @@ def test_crowded_rows_are_not_shuffled(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_without_a_crowd_the_branch_for_it_is_dropped(spark):
-    stage = frame(spark, [(f"k{i}", i) for i in range(100)])
-    new = unseen_rows(stage, frame(spark, [("k1", 1)]))
-    assert len(new.collect()) == 99
-    final = plan_of(new).split("Initial Plan")[0]
+def stored_history(spark, path):
+    df = spark.range(200_000).selectExpr("cast(id AS string) AS id", "1 AS v")
+    df.withColumn("hash_columns", fingerprint(["id", "v"])).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_without_a_crowd_the_branch_for_it_is_dropped(spark, tmp_path):
+    history = stored_history(spark, str(tmp_path / "history"))
+    new = unseen_rows(frame(spark, [(f"k{i}", i) for i in range(100)]), history)
+    assert len(new.collect()) == 100
+    final, initial = plan_of(new).split("Initial Plan")
+    assert "Union" in initial
     assert "Union" not in final
-    assert "ReusedExchange" in final
-
-
-def test_a_small_stage_prunes_the_history_before_its_shuffle(spark, tmp_path):
-    path = str(tmp_path / "history")
-    spark.range(200_000).selectExpr("cast(id AS string) AS id", "1 AS v").withColumn(
-        "hash_columns", fingerprint(["id", "v"])
-    ).write.parquet(path)
-    frame(spark, [("1", 1), ("x", 1)]).write.parquet(str(tmp_path / "stage"))
-    stage = spark.read.parquet(str(tmp_path / "stage"))
-    new = unseen_rows(stage, spark.read.parquet(path))
-    assert rows(new, "id") == [("x",)]
-    plan = plan_of(unseen_rows(stage, spark.read.parquet(path)))
-    # Going up from the scan of the history, the join comes before the shuffle.
-    scan = plan.index("/history]")
-    assert plan.rindex("LeftSemi", 0, scan) > plan.rindex("Exchange hashpartitioning", 0, scan)
-    assert "ReadSchema: struct<hash_columns:string>" in plan
+    # Few new digests are broadcast, so the wide rows are not shuffled.
+    assert "Exchange hashpartitioning" not in final
+
+
+def test_a_small_counted_stage_prunes_the_history(spark, tmp_path):
+    history = stored_history(spark, str(tmp_path / "history"))
+    stage = frame(spark, [("1", 1), ("x", 1), ("x", 1)])
+    for stage_rows in (None, 3, 10**9):
+        assert rows(unseen_rows(stage, history, stage_rows=stage_rows), "id") == [("x",), ("x",)]
+    jobs_before = shuffled_bytes(spark)
+    unseen_rows(stage, history)
+    jobs_between = shuffled_bytes(spark)
+    unseen_rows(stage, history, stage_rows=3)
+    assert shuffled_bytes(spark) - jobs_between < (jobs_between - jobs_before) / 100
+
+
+def shuffled_bytes(spark):
+    """Bytes that all stages of the session have written to shuffles."""
+    jvm = spark._jvm
+    store = spark._jsc.sc().statusStore()
+    quantiles = spark._sc._gateway.new_array(jvm.double, 0)
+    nothing = jvm.java.util.ArrayList()
+    stages = store.stageList(nothing, False, False, quantiles, nothing)
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
 
 
 def test_changed_rows_compare_with_every_current_row(spark):

@@ -11,13 +11,18 @@ from pyspark.sql import functions as F
 from tidemark.functions.hashing import require_columns
 from tidemark.names import KEY_HASH, ROW_HASH
 from tidemark.operators.evolve import union_evolving
-from tidemark.operators.skew import MAX_CROWDED_KEYS, MIN_CROWD, group_sizes, rows_with_keys
+from tidemark.operators.skew import COPIES, MAX_CROWDED_KEYS, MIN_CROWD, rows_with_keys
+from tidemark.session import new_work_path, written
 
 ACTION = "action"
 INSERT, UPDATE, COPY = "INSERT", "UPDATE", "COPY"
 
 _DIGEST = "__digest"
 
+# A counted stage of at most this many rows is broadcast as digests: 64 bytes
+# each, some 30 MB with the hash table around them.
+SMALL_STAGE = 200_000
+
 
 def changed_rows(latest: DataFrame, current: DataFrame, on: str = ROW_HASH) -> DataFrame:
     """Rows of ``latest`` whose row digest occurs nowhere in ``current``.
@@ -34,6 +39,8 @@ def unseen_rows(
     history: DataFrame,
     on: str = ROW_HASH,
     distinct: bool = False,
+    stage_rows: int | None = None,
+    work: str | None = None,
     limit: int = MAX_CROWDED_KEYS,
     least: int = MIN_CROWD,
 ) -> DataFrame:
@@ -42,12 +49,16 @@ def unseen_rows(
     A value that returns to an old state is therefore not new, and copies inside
     one batch are all kept unless ``distinct`` is set.
 
-    The digests are compared first, each once and without the other columns. A
-    stage small enough to be broadcast picks its digests out of the history scan,
-    so that nothing of a large history is shuffled; otherwise copies collapse
-    before the shuffle on both sides. Only then are the wide rows filtered by the
-    surviving digests, through a broadcast when those measured small, and with
-    crowded digests kept apart when not.
+    The digests of both sides meet first, without the other columns, in one
+    aggregation: copies collapse before the shuffle and no group is large after
+    it. The new digests are written to ``work`` (by default a path under the
+    shared work folder), which is when this function returns. The wide rows are
+    filtered by that table: through a broadcast if its files are small, and with
+    crowded digests kept apart if not.
+
+    Where the caller has counted the stage and ``stage_rows`` is small, its
+    digests are broadcast to the scan of the history, so that a large history is
+    not shuffled for a small snapshot.
     """
     require_columns(stage, [on], "stage")
     require_columns(history, [on], "history")
@@ -55,13 +66,19 @@ def unseen_rows(
         stage = stage.dropDuplicates([on])
     # An empty string is no digest: it carries the rows that have none.
     keyed = stage.withColumn(_DIGEST, F.coalesce(F.col(on), F.lit("")))
-    sizes = group_sizes(keyed, _DIGEST)
-    known = (
-        history.select(F.col(on).alias(_DIGEST))
-        .distinct()
-        .join(sizes.select(_DIGEST), _DIGEST, "left_semi")
+    known = history.select(F.col(on).alias(_DIGEST)).filter(F.col(_DIGEST).isNotNull())
+    if stage_rows is not None and stage_rows <= SMALL_STAGE:
+        known = known.join(F.broadcast(keyed.select(_DIGEST).distinct()), _DIGEST, "left_semi")
+    sides = keyed.select(_DIGEST, F.lit(1).alias(COPIES), F.lit(False).alias("known")).unionByName(
+        known.select(_DIGEST, F.lit(0).alias(COPIES), F.lit(True).alias("known"))
+    )
+    digests = sides.groupBy(_DIGEST).agg(
+        F.sum(COPIES).alias(COPIES), F.bool_or("known").alias("known")
+    )
+    unseen = written(
+        digests.filter((F.col(COPIES) > 0) & ~F.col("known")).select(_DIGEST, COPIES),
+        work or new_work_path(stage.sparkSession, "digests"),
     )
-    unseen = sizes.join(known, _DIGEST, "left_anti")
     return rows_with_keys(keyed, unseen, _DIGEST, limit, least).select(stage.columns)
 
 

@@ -16,16 +16,6 @@ MAX_CROWDED_KEYS = 2048
 MIN_CROWD = 100_000
 
 
-def group_sizes(df: DataFrame, on: str) -> DataFrame:
-    """Unique keys with their row counts, reduced before the shuffle.
-
-    The filter holds for every group. It keeps the counts in the plan where only
-    the keys are used, so that all uses are alike and share one exchange.
-    """
-    sizes = df.groupBy(on).agg(F.count(F.lit(1)).alias(COPIES))
-    return sizes.filter(F.col(COPIES) > 0)
-
-
 def crowded_keys(
     sizes: DataFrame, on: str, limit: int = MAX_CROWDED_KEYS, least: int = MIN_CROWD
 ) -> DataFrame:

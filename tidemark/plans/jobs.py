@@ -93,10 +93,15 @@ def ingest_snapshot(
                 named = N.SOURCE_NAME in snapshot.columns and source_name is None
                 name = F.col(N.SOURCE_NAME) if named else origin
                 staged = add_control_columns(snapshot, keys, run, name, null_token)
+            with record.step("merge_delta"):
+                stage_rows = None
                 if not is_frame and history.exists():
                     staged = staged.persist(StorageLevel.DISK_ONLY)
-            with record.step("merge_delta"):
-                added = history.insert_unseen(staged, compare, distinct, evolve, run.ingested_on)
+                    # The pass that parses and keeps the rows also counts them.
+                    stage_rows = staged.count()
+                added = history.insert_unseen(
+                    staged, compare, distinct, evolve, run.ingested_on, stage_rows
+                )
             record.update(records_processed=added)
         finally:
             if staged is not None:

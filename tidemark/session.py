@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Runtime re-planning: broadcast only what measured small, coalesce small
@@ -52,3 +52,20 @@ def work_dir(spark: SparkSession) -> str:
 def new_work_path(spark: SparkSession, label: str) -> str:
     """A path under the shared work folder that nothing uses yet."""
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` computed now, as a table at ``path``.
+
+    What is built on it starts from files that outlive executors, and the
+    planner knows their size.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a work path of this job."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    configuration = spark._jsparkSession.sessionState().newHadoopConf()
+    place.getFileSystem(configuration).delete(place, True)

@@ -23,6 +23,7 @@ from tidemark.functions.hashing import quoted, require_columns
 from tidemark.operators.changes import unseen_rows
 from tidemark.operators.evolve import align, merged_schema
 from tidemark.operators.latest import latest_versions
+from tidemark.session import new_work_path, remove_path
 
 _RELEASE = "tidemark_release"
 _BAND = "tidemark_band"
@@ -205,10 +206,12 @@ class HistoryTable(AppendTable):
         distinct: bool = False,
         evolve: bool = True,
         day: str | None = None,
+        stage_rows: int | None = None,
     ) -> int:
         """Append the rows that are new; on the first load, all of them.
 
-        ``day`` says that this is the day of ingestion of every row.
+        ``day`` says that this is the day of ingestion of every row, and
+        ``stage_rows`` how many there are.
 
         ``compare="history"`` takes a row for known if any version ever had its
         digest; ``compare="latest"`` only if the newest version of its key has,
@@ -224,9 +227,13 @@ class HistoryTable(AppendTable):
         known = self._read_release(last)
         if compare == "latest":
             known = latest_versions(known)
-        fresh = unseen_rows(stage, known, distinct=distinct)
-        # Few rows from many tasks: let adaptive execution size the files.
-        return self._append(fresh.hint("rebalance"), last, evolve, constants)
+        work = new_work_path(self.spark, "digests")
+        try:
+            fresh = unseen_rows(stage, known, distinct=distinct, stage_rows=stage_rows, work=work)
+            # Few rows from many tasks: let adaptive execution size the files.
+            return self._append(fresh.hint("rebalance"), last, evolve, constants)
+        finally:
+            remove_path(self.spark, work)
 
 
 @dataclass(frozen=True)
