@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import quoted
+from tidemark.session import new_work_path, written
 
 _ROWS, _BAND = "__rows", "__band"
 
@@ -53,15 +54,17 @@ def rank_by_value(df: DataFrame, value: str, bands: int = 1000) -> DataFrame:
     A window over the whole table would be one task. Ranks depend only on the
     distinct values and their row counts, so those are cut into bands at
     approximate quantiles, ranked inside each band, and shifted by the totals of
-    the bands above; where the cuts fall does not change the result. Rows
-    without a value get null ranks.
+    the bands above; where the cuts fall does not change the result. The values
+    and counts are written once to the shared work folder. Rows without a value
+    get null ranks.
     """
     if bands < 2:
         raise ValueError("ranking needs at least two bands")
-    sizes = (
+    sizes = written(
         df.filter(F.col(quoted(value)).isNotNull())
         .groupBy(F.col(quoted(value)).alias(value))
-        .agg(F.count(F.lit(1)).alias(_ROWS))
+        .agg(F.count(F.lit(1)).alias(_ROWS)),
+        new_work_path(df.sparkSession, "values"),
     )
     steps = [i / bands for i in range(1, bands)]
     cuts = sizes.withColumn(value, F.col(quoted(value)).cast("double")).approxQuantile(
@@ -85,7 +88,8 @@ def rank_by_value(df: DataFrame, value: str, bands: int = 1000) -> DataFrame:
     ranked = (
         banded.withColumns(
             {
-                "before": F.sum(_ROWS).over(inside) - F.col(_ROWS),
+                "before": F.sum(_ROWS).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+                - F.col(_ROWS),
                 "place": F.row_number().over(inside),
             }
         )
