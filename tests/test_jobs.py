@@ -14,7 +14,6 @@ from tidemark.plans import (
     audited,
     ingest_record,
     ingest_snapshot,
-    last_refresh_day,
     read_run_log,
     refresh_current,
     run_chain,
@@ -142,6 +141,32 @@ def test_incremental_refreshes_give_the_full_result(spark, tmp_path, clock):
     assert len(results[0][0]) == len(ids)
 
 
+def test_an_incremental_refresh_reads_only_later_releases(spark, layers, clock):
+    history = HistoryTable(spark, layers.history)
+    for price in (1.0, 2.0, 3.0):
+        clock.at += timedelta(minutes=1)
+        ingest_snapshot(spark, snapshot(spark, [("a", "x", price)]), layers, "id", clock)
+    assert rows(history.read_news(None)[0], "price") == [(1.0,), (2.0,), (3.0,)]
+    assert rows(history.read_news(2)[0], "price") == [(3.0,)]
+    assert history.read_news(2)[1] == 3
+    assert rows(history.read_news(3)[0], "price") == []
+
+
+@pytest.mark.parametrize("late", [timedelta(0), timedelta(days=-3)])
+def test_a_late_version_does_not_replace_a_newer_one(spark, layers, clock, late):
+    """A run whose clock is not ahead makes the refresh read the whole history."""
+    run_chain(spark, [snapshot(spark, [("a", "x", 2.0), ("b", "x", 2.0)])], layers, "id", clock)
+    clock.at += late
+    ingest_snapshot(spark, snapshot(spark, [("a", "x", 1.0), ("c", "x", 1.0)]), layers, "id", clock)
+    refresh_current(spark, layers, clock)
+    found = rows(CurrentTable(spark, layers.current).read(), "id", "price")
+    full = Layers(**{**vars(layers), "current": layers.current + "-full"})
+    refresh_current(spark, full, clock, incremental=False)
+    assert found == rows(CurrentTable(spark, full.current).read(), "id", "price")
+    if late:
+        assert found == [("A", 2.0), ("B", 2.0), ("C", 1.0)]
+
+
 def test_json_sources_are_read_and_traced(spark, layers, clock, tmp_path):
     path = tmp_path / "coins.json"
     path.write_text(json.dumps([{"id": "a", "name": "n", "price": 1, "roi": {"times": 2}}], indent=4))
@@ -173,7 +198,6 @@ def test_log_rows_have_their_columns_in_order(spark, layers, clock):
     assert dict(typed.dtypes)["records_inserted"] == "bigint"
     assert typed.first().start_filter_data == datetime(2025, 6, 1, 9, 30)
     assert str(typed.first().date_run) == "2025-06-01"
-    assert last_refresh_day(spark, layers) == "2025-06-01"
 
 
 def test_missing_input_is_logged_and_raised(spark, layers, clock):
@@ -204,7 +228,6 @@ def test_failing_refresh_leaves_later_steps_empty(spark, layers, clock):
     assert row.msg.startswith("MSG ERRO -> history has no column")
     assert row.start_bronze_reading and not row.end_bronze_reading
     assert not row.start_update_delta_silver
-    assert last_refresh_day(spark, layers) is None
 
 
 def test_existing_target_skips_the_run(spark, layers, clock):

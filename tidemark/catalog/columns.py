@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.catalog.registry import query, table
 from tidemark.catalog.scenarios import ORDER_KEYS
 from tidemark.functions import (
-    clean_strings,
+    clean_strings as cleaned,
     day_stamp_of,
-    empty_to_null,
+    empty_to_null as null_if_empty,
     file_stamp_of,
     fingerprint,
     parse_instant,
@@ -113,10 +113,10 @@ def cast_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT event_id, nullif(replace(event_type, 'error', ''), '') AS event_type FROM events
 """)
-def empty_to_null_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def empty_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     blanked = F.replace("event_type", F.lit("error"), F.lit(""))
-    return events.select("event_id", empty_to_null(blanked).alias("event_type"))
+    return events.select("event_id", null_if_empty(blanked).alias("event_type"))
 
 
 # Spark upper-cases the sharp s to two letters, DuckDB leaves it.
@@ -125,8 +125,8 @@ SELECT doc_id, trim(upper(replace(nullif(text, ''), 'ß', 'SS')), ' ') AS text,
        trim(upper(nullif(lang, '')), ' ') AS lang, source, n_chars
 FROM documents
 """)
-def clean_strings_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_strings(table(spark, sf_dir, "documents"), exclude=["source"])
+def clean_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaned(table(spark, sf_dir, "documents"), exclude=["source"])
 
 
 @query("""
@@ -135,14 +135,14 @@ SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_acctbal,
             ELSE c_mktsegment END AS c_mktsegment
 FROM customer
 """)
-def clean_strings_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clean_strings_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
     segment = F.col("c_mktsegment")
     untidy = (
         F.when(segment == "BUILDING", F.lit("   "))
         .when(segment == "MACHINERY", F.lit(""))
         .otherwise(F.concat(F.lit("  "), F.lower(segment), F.lit(" ")))
     )
-    return clean_strings(table(spark, sf_dir, "customer").withColumn("c_mktsegment", untidy))
+    return cleaned(table(spark, sf_dir, "customer").withColumn("c_mktsegment", untidy))
 
 
 @query("""

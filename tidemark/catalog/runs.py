@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from contextlib import suppress
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import names as N
@@ -16,10 +18,10 @@ from tidemark.catalog.scenarios import (
     snapshots,
     without_root,
 )
-from tidemark.operators import latest_per_key, lineage
-from tidemark.plans import Layers, ingest_snapshot, read_run_log
+from tidemark.operators import RunContext, latest_per_key, lineage
+from tidemark.plans import Layers, audited, ingest_record, ingest_snapshot, read_run_log
 from tidemark.session import new_work_path
-from tidemark.sources import CurrentTable, HistoryTable
+from tidemark.sources import AppendTable, CurrentTable, HistoryTable
 from tidemark.streaming import follow_landing
 
 
@@ -116,6 +118,36 @@ def run_log_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+SELECT 1 AS run, 'SUCESSO' AS status, CAST(count(*) AS VARCHAR) AS records_processed,
+       '' AS msg_erro FROM orders
+UNION ALL
+SELECT 2, 'IGNORADO', '0', 'there already is a table at /2-bronze/events'
+UNION ALL
+SELECT 3, 'ERRO', '0', 'snapshot has no column [''o_customer'']' FROM orders HAVING count(*) > 0
+""")
+def run_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that succeeds, one that finds its work done, and one that fails."""
+    orders = table(spark, sf_dir, "orders")
+    layers = Layers.under(new_work_path(spark, "statuses"), "events")
+    history = AppendTable(spark, layers.history)
+    for day in SNAPSHOT_DAYS[:2]:
+        run = RunContext(layers.process, layers.ingest_log, StagedClock(day))
+        with audited(spark, ingest_record(run, "orders", layers.history)) as record:
+            record.update(records_processed=history.create(orders))
+    with suppress(ValueError):
+        ingest_snapshot(spark, orders, layers, "o_customer", StagedClock(SNAPSHOT_DAYS[2]))
+    log = read_run_log(spark, layers.ingest_log)
+    run_number = F.row_number().over(Window.orderBy("start_time_script"))
+    return log.select(
+        run_number.alias("run"),
+        "status",
+        "records_processed",
+        # Only the beginning: the list of the columns there are follows.
+        F.split_part(without_root(layers, "msg_erro"), F.lit(";"), F.lit(1)).alias("msg_erro"),
+    )
+
+
 @query(f"""
 WITH {SNAPSHOTS_SQL},
 runs AS (

@@ -13,7 +13,7 @@ from tidemark.sources import (
     AppendTable,
     CurrentTable,
     HistoryTable,
-    literal_table,
+    literal_table as rows_table,
     read_json_snapshot,
 )
 
@@ -71,7 +71,7 @@ FROM orders o JOIN (VALUES ('1-URGENT', 5, 'now'), ('2-HIGH', 4, 'soon'), ('3-ME
                            ('4-NOT SPECIFIED', 2, NULL), ('5-LOW', 1, 'later')) p(name, weight, label)
   ON o.o_orderpriority = p.name
 """)
-def literal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def literal_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A literal table with an explicit schema, joined to the orders it describes."""
     rows = [
         ("1-URGENT", 5, "now"),
@@ -80,7 +80,7 @@ def literal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("4-NOT SPECIFIED", 2, None),
         ("5-LOW", 1, "later"),
     ]
-    priorities = literal_table(spark, rows, "name string, weight int, label string")
+    priorities = rows_table(spark, rows, "name string, weight int, label string")
     orders = table(spark, sf_dir, "orders")
     # Five rows, written above.
     return orders.join(

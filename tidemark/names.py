@@ -20,6 +20,13 @@ HASH_BITS = 256
 # Nested column of the landed snapshots that is not kept.
 DROPPED_ON_READ = ("roi",)
 
+# Folders of the layers below a common root.
+STAGE_FOLDER = "1-stage"
+HISTORY_FOLDER = "2-bronze"
+CURRENT_FOLDER = "3-silver"
+INGEST_LOG_FOLDER = "5-logs/1-bronze"
+REFRESH_LOG_FOLDER = "5-logs/2-silver"
+
 # Run-log columns, in stored order.
 INGEST_LOG_COLUMNS = (
     "id_log_file_path",

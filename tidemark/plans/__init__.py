@@ -7,7 +7,6 @@ from tidemark.plans.gold import (
 from tidemark.plans.jobs import (
     Layers,
     ingest_snapshot,
-    last_refresh_day,
     refresh_current,
     run_chain,
 )
@@ -27,7 +26,6 @@ __all__ = [
     "daily_variation",
     "ingest_record",
     "ingest_snapshot",
-    "last_refresh_day",
     "rank_by_value",
     "read_run_log",
     "refresh_current",

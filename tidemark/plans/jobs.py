@@ -17,7 +17,7 @@ from tidemark.functions.hashing import require_columns
 from tidemark.operators.changes import changed_rows
 from tidemark.operators.control import RunContext, add_control_columns, replace_run_columns
 from tidemark.operators.latest import latest_versions
-from tidemark.plans.run_log import audited, ingest_record, read_run_log, refresh_record
+from tidemark.plans.run_log import audited, ingest_record, refresh_record
 from tidemark.sources.snapshots import read_json_snapshot
 from tidemark.sources.tables import CurrentTable, HistoryTable
 
@@ -40,11 +40,11 @@ class Layers:
         root = root.rstrip("/")
         return cls(
             process,
-            stage=f"{root}/1-stage/{process}",
-            history=f"{root}/2-bronze/{process}",
-            current=f"{root}/3-silver/{process}",
-            ingest_log=f"{root}/5-logs/1-bronze/{process}",
-            refresh_log=f"{root}/5-logs/2-silver/{process}",
+            stage=f"{root}/{N.STAGE_FOLDER}/{process}",
+            history=f"{root}/{N.HISTORY_FOLDER}/{process}",
+            current=f"{root}/{N.CURRENT_FOLDER}/{process}",
+            ingest_log=f"{root}/{N.INGEST_LOG_FOLDER}/{process}",
+            refresh_log=f"{root}/{N.REFRESH_LOG_FOLDER}/{process}",
         )
 
 
@@ -100,7 +100,13 @@ def ingest_snapshot(
                     # The pass that parses and keeps the rows also counts them.
                     stage_rows = staged.count()
                 added = history.insert_unseen(
-                    staged, compare, distinct, evolve, run.ingested_on, stage_rows
+                    staged,
+                    compare,
+                    distinct,
+                    evolve,
+                    day=run.ingested_on,
+                    moment=run.updated_at,
+                    stage_rows=stage_rows,
                 )
             record.update(records_processed=added)
         finally:
@@ -113,17 +119,17 @@ def refresh_current(
     spark: SparkSession,
     layers: Layers,
     clock: Clock = datetime.now,
-    since: str | None = None,
+    incremental: bool = True,
     exclude: Sequence[str] = (),
     evolve: bool = True,
     band_digits: int = 0,
 ) -> dict[str, str]:
     """Bring the current table up to the history; returns the log row.
 
-    ``since`` (a day, ``yyyy-MM-dd``) reads only the part of the history ingested
-    from that day on. The result is the same as without it, provided that runs
-    come in time order and an earlier refresh has seen all days before: a key
-    with no row since then still has the newest row it had. ``band_digits`` is
+    The current table knows which release of the history it was made from. An
+    ``incremental`` refresh reads only the later ones, as long as runs came in
+    time order: a key without a later row still has the newest row it had. After
+    a run with an earlier clock it reads the whole history. ``band_digits`` is
     that of a new current table: give 2 or 3 where it is large and few of its
     keys change at a time.
     """
@@ -132,7 +138,9 @@ def refresh_current(
     with audited(spark, record, N.REFRESH_SUCCEEDED_MESSAGE, N.REFRESH_FAILED_PREFIX):
         current = CurrentTable(spark, layers.current, band_digits=band_digits)
         with record.step("bronze_reading"):
-            history = HistoryTable(spark, layers.history).read(since)
+            last = current.last_release() if incremental else None
+            seen = None if last is None else last.source
+            history, release = HistoryTable(spark, layers.history).read_news(seen)
             require_columns(history, N.CONTROL_COLUMNS, "history")
         with record.step("filter_data"):
             latest = latest_versions(history)
@@ -147,7 +155,7 @@ def refresh_current(
             stamped = replace_run_columns(ordered, run, layers.history)
         with record.step("update_delta_silver"):
             # One row per key: the latest of each.
-            counts = current.upsert(stamped, unique=True, evolve=evolve)
+            counts = current.upsert(stamped, unique=True, evolve=evolve, source=release)
         record.update(records_inserted=counts.inserted, records_updated=counts.updated)
     return record.values
 
@@ -162,24 +170,11 @@ def run_chain(
     band_digits: int = 0,
     **ingest_options,
 ) -> list[dict[str, str]]:
-    """For each snapshot in time order: ingest it, then refresh the current table.
-
-    ``incremental`` refreshes read the history from the day of the last
-    successful refresh on instead of all of it.
-    """
+    """For each snapshot in time order: ingest it, then refresh the current table."""
     records = []
     for source in sources:
         records.append(ingest_snapshot(spark, source, layers, keys, clock, **ingest_options))
-        since = last_refresh_day(spark, layers) if incremental else None
         records.append(
-            refresh_current(spark, layers, clock, since, band_digits=band_digits)
+            refresh_current(spark, layers, clock, incremental, band_digits=band_digits)
         )
     return records
-
-
-def last_refresh_day(spark: SparkSession, layers: Layers) -> str | None:
-    """Day of the last refresh that succeeded, from the run log."""
-    log = read_run_log(spark, layers.refresh_log)
-    if log is None:
-        return None
-    return log.filter(F.col("status") == N.SUCCEEDED).agg(F.max("date_run")).first()[0]

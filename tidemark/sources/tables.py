@@ -1,8 +1,8 @@
 """Stored tables: files in a folder, and a list of what has been released.
 
 Each write fills a folder of its own and ends with one row in the ``releases``
-folder of the table: its number, how many rows the table holds now and their
-schema. Readers go by the newest row. So a write that was cut short stays unseen
+folder of the table: its number, how many rows the table holds now, their schema,
+the clock of the run, and the release of the table it was made from. Readers go by the newest row. So a write that was cut short stays unseen
 and its folder is overwritten by the next one, a table is never overwritten while
 it is being read, and no file footers are read to find the schema. A table has
 one writer at a time.
@@ -28,7 +28,9 @@ from tidemark.session import new_work_path, remove_path
 _RELEASE = "tidemark_release"
 _BAND = "tidemark_band"
 _RELEASE_FIELD = T.StructField(_RELEASE, T.LongType())
-_RELEASE_SCHEMA = "release long, parts array<string>, rows long, schema string"
+_RELEASE_SCHEMA = (
+    "release long, parts array<string>, rows long, schema string, moment string, source long"
+)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -97,12 +99,16 @@ class StoredTable:
 
     def last_release(self) -> Row | None:
         """The newest release row, or None where nothing has been released."""
+        releases = self.releases()
+        newest = releases.orderBy(F.desc("release")).take(1) if releases is not None else []
+        return newest[0] if newest else None
+
+    def releases(self) -> DataFrame | None:
+        """One row per release, None where nothing has been released."""
         folder = f"{self.path}/releases"
         if not path_exists(self.spark, folder):
             return None
-        releases = self.spark.read.schema(_RELEASE_SCHEMA).json(folder)
-        newest = releases.orderBy(F.desc("release")).take(1)
-        return newest[0] if newest else None
+        return self.spark.read.schema(_RELEASE_SCHEMA).json(folder)
 
     def exists(self) -> bool:
         return self.last_release() is not None
@@ -127,13 +133,23 @@ class StoredTable:
         stored = self.spark.read.format(self.fmt).schema(schema)
         return stored.load([f"{self.path}/{p}" for p in parts])
 
-    def _release(self, number: int, parts: list[str], rows: int, schema: T.StructType) -> None:
+    def _release(
+        self,
+        number: int,
+        parts: list[str],
+        rows: int,
+        schema: T.StructType,
+        moment: str | None = None,
+        source: int | None = None,
+    ) -> None:
         row = one_row(
             self.spark,
             release=F.lit(number),
             parts=F.array(*[F.lit(p) for p in parts]),
             rows=F.lit(rows),
             schema=F.lit(schema.json()),
+            moment=F.lit(moment),
+            source=F.lit(source),
         )
         row.write.mode("append").json(f"{self.path}/releases")
 
@@ -164,6 +180,7 @@ class AppendTable(StoredTable):
         last: Row | None,
         evolve: bool,
         constants: Mapping[str, str] | None = None,
+        moment: str | None = None,
     ) -> int:
         if last is None:
             schema, number, before = merged_schema(T.StructType(), df.schema), 1, 0
@@ -178,15 +195,16 @@ class AppendTable(StoredTable):
             align(df, schema), folder, self.fmt, self.partition_by, constants
         )
         if added or last is None:
-            self._release(number, ["data"], before + added, schema)
+            self._release(number, ["data"], before + added, schema, moment)
         return added
 
-    def _read_release(self, release: Row) -> DataFrame:
+    def _read_release(self, release: Row, after: int = 0) -> DataFrame:
         schema = _schema_of(release)
         stored = self._read_parts(release.parts, T.StructType([*schema.fields, _RELEASE_FIELD]))
         # Only a choice of folders; the reader moves partition columns to the
         # tail, so put them back in their places.
-        return stored.filter(F.col(_RELEASE) <= release.release).select(schema.names)
+        chosen = F.col(_RELEASE).between(after + 1, release.release)
+        return stored.filter(chosen).select(schema.names)
 
 
 class HistoryTable(AppendTable):
@@ -199,6 +217,27 @@ class HistoryTable(AppendTable):
         history = super().read()
         return history if since is None else history.filter(F.col(N.INGESTED_ON) >= since)
 
+    def read_news(self, seen: int | None) -> tuple[DataFrame, int]:
+        """What a reader who knows the releases up to ``seen`` still has to see.
+
+        These are the later releases if each of their runs started after all
+        those seen; otherwise an older version may have come in late, and it is
+        the whole history. Also gives the number of the newest release.
+        """
+        last = self.last_release()
+        if last is None:
+            raise FileNotFoundError(f"no table at {self.path}")
+        if seen is None:
+            return self._read_release(last), last.release
+        late = F.col("release") > seen
+        order = self.releases().agg(
+            F.max(F.when(~late, F.col("moment"))).alias("seen"),
+            F.min(F.when(late, F.col("moment"))).alias("news"),
+            F.count_if(F.col("moment").isNull()).alias("unknown"),
+        ).first()
+        in_order = not order.unknown and (order.news is None or order.news > order.seen)
+        return self._read_release(last, seen if in_order else 0), last.release
+
     def insert_unseen(
         self,
         stage: DataFrame,
@@ -206,12 +245,13 @@ class HistoryTable(AppendTable):
         distinct: bool = False,
         evolve: bool = True,
         day: str | None = None,
+        moment: str | None = None,
         stage_rows: int | None = None,
     ) -> int:
         """Append the rows that are new; on the first load, all of them.
 
-        ``day`` says that this is the day of ingestion of every row, and
-        ``stage_rows`` how many there are.
+        ``day`` and ``moment`` say that these are the day of ingestion and the
+        run start in every row, ``stage_rows`` how many rows there are.
 
         ``compare="history"`` takes a row for known if any version ever had its
         digest; ``compare="latest"`` only if the newest version of its key has,
@@ -223,7 +263,7 @@ class HistoryTable(AppendTable):
         constants = {} if day is None else {N.INGESTED_ON: day}
         if last is None:
             first = stage.dropDuplicates([N.ROW_HASH]) if distinct else stage
-            return self._append(first, None, True, constants)
+            return self._append(first, None, True, constants, moment)
         known = self._read_release(last)
         if compare == "latest":
             known = latest_versions(known)
@@ -231,7 +271,7 @@ class HistoryTable(AppendTable):
         try:
             fresh = unseen_rows(stage, known, distinct=distinct, stage_rows=stage_rows, work=work)
             # Few rows from many tasks: let adaptive execution size the files.
-            return self._append(fresh.hint("rebalance"), last, evolve, constants)
+            return self._append(fresh.hint("rebalance"), last, evolve, constants, moment)
         finally:
             remove_path(self.spark, work)
 
@@ -262,11 +302,13 @@ class CurrentTable(StoredTable):
         """Make ``df`` the table, with the schema of ``df``."""
         return self._replace(df, self.last_release(), on)
 
-    def _replace(self, df: DataFrame, last: Row | None, on: str) -> int:
+    def _replace(
+        self, df: DataFrame, last: Row | None, on: str, source: int | None = None
+    ) -> int:
         number = 1 if last is None else last.release + 1
         schema = merged_schema(T.StructType(), df.schema)
         rows, parts = self._write_part(df, f"data/{number}/changed", on, self.band_digits)
-        self._release(number, parts, rows, schema)
+        self._release(number, parts, rows, schema, source=source)
         return rows
 
     def _write_part(
@@ -284,21 +326,27 @@ class CurrentTable(StoredTable):
         return rows, [f"{folder}/{name}" for name in names]
 
     def upsert(
-        self, changed: DataFrame, on: str = N.KEY_HASH, unique: bool = False, evolve: bool = True
+        self,
+        changed: DataFrame,
+        on: str = N.KEY_HASH,
+        unique: bool = False,
+        evolve: bool = True,
+        source: int | None = None,
     ) -> UpsertCounts:
         """Update the keys in ``changed``, insert those that are new.
 
         The changed rows are computed once and written; their keys, read back
         from those files, then pick the rows of the last release to keep. The
         planner knows the size of the files, so the keys are broadcast exactly
-        when they are small. ``unique`` vouches for one row per key.
+        when they are small. ``unique`` vouches for one row per key;
+        ``source`` is the release of the history the rows come from.
         """
         require_columns(changed, [on], "changed rows")
         last = self.last_release()
         if last is None:
             if not unique:
                 self._require_unique(changed, on)
-            return UpsertCounts(self._replace(changed, None, on), 0, 0)
+            return UpsertCounts(self._replace(changed, None, on, source), 0, 0)
         stored = _schema_of(last)
         schema = merged_schema(stored, changed.schema)
         if not evolve:
@@ -325,7 +373,8 @@ class CurrentTable(StoredTable):
             # Without columns to read, a count comes from the file footers.
             removed = (before.count() if others else last.rows) - kept
         inserted = written - removed
-        self._release(last.release + 1, [*new, *old, *others], last.rows + inserted, schema)
+        parts, rows = [*new, *old, *others], last.rows + inserted
+        self._release(last.release + 1, parts, rows, schema, source=source)
         return UpsertCounts(inserted, removed, last.rows - removed)
 
     @staticmethod

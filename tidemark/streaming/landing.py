@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import names as N
-from tidemark.plans.jobs import Layers, ingest_snapshot, last_refresh_day, refresh_current
+from tidemark.plans.jobs import Layers, ingest_snapshot, refresh_current
 
 
 def follow_landing(
@@ -54,8 +54,7 @@ def follow_landing(
         finally:
             batch.unpersist()
         if refresh:
-            since = last_refresh_day(session, layers)
-            refresh_current(session, layers, clock, since, band_digits=band_digits)
+            refresh_current(session, layers, clock, band_digits=band_digits)
 
     return (
         landed.writeStream.foreachBatch(take)
