@@ -118,6 +118,20 @@ def history_rows(spark, data):
     )
 
 
+def test_what_an_earlier_attempt_left_is_cleared_in_any_session(spark, tmp_path):
+    table = HistoryTable(spark, str(tmp_path / "h"))
+    one = [("a", "2025-06-01 10:00:00", "2025-06-01", "a", "a1")]
+    table.append(history_rows(spark, one))
+    left = history_rows(spark, [("x", "2025-06-02 10:00:00", "2025-06-02", "x", "x1")])
+    left.write.partitionBy(N.INGESTED_ON).parquet(str(tmp_path / "h" / "data" / "tidemark_release=2"))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        table.append(history_rows(spark, [("b", "2025-06-03 10:00:00", "2025-06-03", "b", "b1")]))
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert rows(table.read(), "id") == [("a",), ("b",)]
+
+
 def test_history_is_laid_out_by_day_and_read_by_day(spark, tmp_path):
     table = HistoryTable(spark, str(tmp_path / "h"))
     table.append(history_rows(spark, [("a", "2025-06-01 10:00:00", "2025-06-01", "a", "a1")]))

@@ -83,7 +83,15 @@ def write_counted(
     """
     seen = Observation()
     rows = counted(df, seen, constants or {})
-    rows.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(path)
+    # Static: all that an earlier attempt left in the folder goes, whatever the
+    # session prefers.
+    (
+        rows.write.format(fmt)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*partition_by)
+        .save(path)
+    )
     return int(seen.get["rows"])
 
 
