@@ -192,9 +192,26 @@ def _listed_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             if same.any():
                 parent = _settle(parent)
         linked = np.flatnonzero(parent != np.arange(table.num_rows))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(member[linked]), pa.array(member[parent[linked]])], ["a", "b"]
-        )
+        a, b = _forest(member[linked], member[parent[linked]])
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+
+def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect what (a, b) connect: each member with the smallest of its group,
+    so that lists of the same members make the same links."""
+    members, flat = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = flat[: len(a)], flat[len(a) :]
+    root = np.arange(len(members))
+    while True:
+        least = root.copy()
+        np.minimum.at(least, root[x], root[y])
+        np.minimum.at(least, root[y], root[x])
+        least = _settle(least)
+        if (least[root] == root).all():
+            break
+        root = least[root]
+    moved = np.flatnonzero(root != np.arange(len(members)))
+    return members[moved], members[root[moved]]
 
 
 def _sets_of(df: DataFrame, kept: list[str]) -> DataFrame:
