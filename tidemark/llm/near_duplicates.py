@@ -371,8 +371,9 @@ def near_duplicates(
         sized.join(per_group, F.col("label") == F.col("of")).select("label", "node", "set_key", "blocks"),
         new_work_path(spark, "members"),
     )
+    # Members grow with the texts, so both sides are dealt out by id at every size.
     texts = df.select(F.col(id_).cast("long").alias("id"), F.col(text).alias("text")).join(
-        wanted, F.col("id") == F.col("node")
+        wanted.hint("merge"), F.col("id") == F.col("node")
     )
     sets = _sets_of(texts, ["label", "node", "blocks"])
     pairs = _pairs_of_blocks(sets, ["label"], F.col("blocks"), F.col("node"))
