@@ -27,9 +27,9 @@ from tidemark.llm.batches import Worker, with_columns
 from tidemark.llm.shipping import map_arrow
 
 #: Pieces whose ids a task remembers before it starts over.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: States of the transducer that a task keeps before it starts over.
-STATES = 200_000
+STATES = 50_000
 #: Above every rank.
 NEVER = 1 << 60
 
@@ -73,11 +73,11 @@ class MergeTransducer:
                     nodes += 1
                 node = self._trie[key]
             self._ends[node] = rank
-        self._pairs: dict[int, bool] = {}
         self._spines: dict[int, tuple[list, list, bool]] = {}
         self._start_over()
 
     def _start_over(self) -> None:
+        self._pairs: dict[int, bool] = {}
         self._numbers: dict[tuple, int] = {}
         self._states: list[tuple] = []
         self._arcs: dict[int, tuple[int, tuple[int, ...]]] = {}
