@@ -247,9 +247,10 @@ def mix_sources(df: DataFrame, id_: str = "doc_id", **how) -> DataFrame:
     Parameters and treatment of odd rows as in ``mix_plan``.
     """
     pieces, slots = mix_plan(df, id_, **how)
+    # Spark cannot know how many slots a task makes, and would broadcast them.
     times = slots.groupBy("number", "block").agg(F.count("*").alias("times"))
     return (
-        pieces.join(times, ["number", "block"], "left")
+        pieces.join(times.hint("merge"), ["number", "block"], "left")
         .groupBy("entry", "copy", "id", "source", "size", "source_size", "target")
         .agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
         .select(F.col("id").alias(id_), "source", "size", "source_size", "target", "taken")
