@@ -60,8 +60,7 @@ def test_a_missing_digest_is_never_known(spark):
 
 
 @pytest.mark.parametrize("threshold", ["-1", "10485760"])
-@pytest.mark.parametrize("crowd", [{}, {"limit": 2, "least": 3}, {"limit": 1, "least": 1}])
-def test_unseen_rows_match_brute_force_with_a_third_in_one_group(spark, threshold, crowd):
+def test_unseen_rows_match_brute_force_with_a_third_in_one_group(spark, threshold):
     rng = random.Random(11)
 
     def draw(n):
@@ -74,56 +73,49 @@ def test_unseen_rows_match_brute_force_with_a_third_in_one_group(spark, threshol
             expected = Counter(r for r in data if r not in set(known))
             stage = frame(spark, data).repartition(5)
             history = frame(spark, known or [("none", 9)])
-            found = unseen_rows(stage, history, **crowd)
+            found = unseen_rows(stage, history)
             assert Counter(rows(found, "id", "v")) == expected
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_crowded_rows_are_not_shuffled(spark):
-    """With shuffle joins everywhere else, a hot group still stays in place."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        df = spark.range(0, 30_000, 1, 6).selectExpr("if(id % 3 = 0, 'hot', string(id)) AS id", "1 AS v")
-        stage = df.withColumn("hash_columns", fingerprint(["id", "v"]))
-        history = stage.filter("id > '5' AND id <> 'hot'")
-        new = unseen_rows(stage, history, limit=5, least=1000)
-        found = new.groupBy("id").count().orderBy(F.desc("count")).first()
-        assert tuple(found) == ("hot", 10_000)
-        # The hot rows leave as many partitions as they came in.
-        by_task = new.filter("id = 'hot'").groupBy(F.spark_partition_id()).count().collect()
-        assert len(by_task) == 6
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def stored_history(spark, path):
     df = spark.range(200_000).selectExpr("cast(id AS string) AS id", "1 AS v")
     df.withColumn("hash_columns", fingerprint(["id", "v"])).write.parquet(path)
     return spark.read.parquet(path)
 
 
-def test_without_a_crowd_the_branch_for_it_is_dropped(spark, tmp_path):
+def test_a_small_stage_prunes_the_history(spark, tmp_path):
     history = stored_history(spark, str(tmp_path / "history"))
-    new = unseen_rows(frame(spark, [(f"k{i}", i) for i in range(100)]), history)
-    assert len(new.collect()) == 100
-    final, initial = plan_of(new).split("Initial Plan")
-    assert "Union" in initial
-    assert "Union" not in final
-    # Few new digests are broadcast, so the wide rows are not shuffled.
-    assert "Exchange hashpartitioning" not in final
+    stage = frame(spark, [("1", 1), ("x", 1), ("x", 1)])
+    new = unseen_rows(stage, history)
+    assert rows(new, "id") == [("x",), ("x",)]
+    # Few digests are broadcast to the history, and few of those go on.
+    assert "Exchange hashpartitioning(hash_columns#" not in plan_of(new).split("Initial Plan")[0].split("Aggregate")[-1]
 
 
-def test_a_small_counted_stage_prunes_the_history(spark, tmp_path):
-    history = stored_history(spark, str(tmp_path / "history"))
-    stage = frame(spark, [("1", 1), ("x", 1), ("x", 1)])
-    for stage_rows in (None, 3, 10**9):
-        assert rows(unseen_rows(stage, history, stage_rows=stage_rows), "id") == [("x",), ("x",)]
-    jobs_before = shuffled_bytes(spark)
-    unseen_rows(stage, history)
-    jobs_between = shuffled_bytes(spark)
-    unseen_rows(stage, history, stage_rows=3)
-    assert shuffled_bytes(spark) - jobs_between < (jobs_between - jobs_before) / 100
+def test_rows_that_change_between_actions_are_merged_once(spark):
+    history = frame(spark, [("old", 0)])
+    moving = spark.range(20).selectExpr("string(id) AS id", "int(rand() * 1e9) AS v", "current_timestamp() AS at")
+    stage = moving.withColumn("hash_columns", fingerprint(["id", "v", "at"]))
+    assert unseen_rows(stage, history).count() == 20
+
+
+def test_few_changes_do_not_shuffle_the_current_table(spark, tmp_path):
+    """The current table is above the broadcast limit, the news are below it."""
+    current = stored_history(spark, str(tmp_path / "current"))
+    frame(spark, [(str(i), 1 + i % 2) for i in range(50)]).write.parquet(str(tmp_path / "news"))
+    news = spark.read.parquet(str(tmp_path / "news"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        changed = changed_rows(news, current)
+        before = shuffled_bytes(spark)
+        assert len(changed.collect()) == 25
+        assert "SortMergeJoin" not in plan_of(changed).split("Initial Plan")[0]
+        # 200,000 digests would be some megabytes.
+        assert shuffled_bytes(spark) - before < 50_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def shuffled_bytes(spark):

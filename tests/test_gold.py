@@ -75,3 +75,8 @@ def test_segment_indicators(spark):
     df = spark.createDataFrame([("x", 1.0), ("x", 3.0), ("y", 4.0), ("z", None)], "s string, v double")
     found = rows(segment_indicators(df, "s", "v"), "s", "members", "total", "mean", "share")
     assert found == [("x", 2, 4.0, 2.0, 0.5), ("y", 1, 4.0, 4.0, 0.5), ("z", 1, None, None, None)]
+
+
+def test_the_share_of_a_total_of_zero_is_null(spark):
+    df = spark.createDataFrame([("a", 1), ("b", -1)], "s string, v int")
+    assert rows(segment_indicators(df, "s", "v"), "s", "total", "share") == [("a", 1, None), ("b", -1, None)]

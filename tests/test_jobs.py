@@ -127,7 +127,6 @@ def test_incremental_refreshes_give_the_full_result(spark, tmp_path, clock):
                 "id",
                 clock,
                 incremental,
-                band_digits=2 if incremental else 0,
             )
         current = CurrentTable(spark, layers.current).read()
         results.append(
@@ -271,3 +270,28 @@ def test_stream_takes_each_landed_file_once(spark, layers, clock, tmp_path):
     assert rows(log, "records_processed") == [("1",), ("2",)]
     traced = HistoryTable(spark, layers.history).read()
     assert {r[0].rsplit("/", 1)[1] for r in rows(traced, N.SOURCE_NAME)} == {"1.json", "2.json"}
+
+
+def test_the_later_of_equal_run_starts_counts(spark, layers, clock):
+    """The clock stands still, and digests are in no order of time."""
+    for version in range(3):
+        batch = [(f"k{i}", "n", float(version)) for i in range(40)]
+        ingest_snapshot(spark, snapshot(spark, batch), layers, "id", clock)
+    refresh_current(spark, layers, clock)
+    assert rows(CurrentTable(spark, layers.current).read(), "price") == [(2.0,)] * 40
+
+
+def test_a_snapshot_with_a_clock_loses_no_rows(spark, layers, clock):
+    def moving(first, last):
+        return spark.range(first, last).selectExpr("string(id) AS id", "current_timestamp() AS at", "rand() AS r")
+
+    ingest_snapshot(spark, moving(0, 20), layers, "id", clock)
+    record = ingest_snapshot(spark, moving(20, 40), layers, "id", clock)
+    assert (record["status"], record["records_processed"]) == (N.SUCCEEDED, "20")
+    assert HistoryTable(spark, layers.history).read().count() == 40
+
+
+def test_no_column_is_dropped_unless_named(spark, layers, clock):
+    frame = spark.createDataFrame([("a", 1.5)], "id string, roi double")
+    ingest_snapshot(spark, frame, layers, "id", clock)
+    assert rows(HistoryTable(spark, layers.history).read(), "roi") == [(1.5,)]

@@ -9,6 +9,7 @@ from conftest import plan_of, rows
 from tidemark import names as N
 from tidemark.operators import align, merged_schema
 from tidemark.sources import (
+    ConcurrentWriteError,
     AppendTable,
     CurrentTable,
     HistoryTable,
@@ -141,7 +142,7 @@ def test_history_is_laid_out_by_day_and_read_by_day(spark, tmp_path):
     recent = table.read(since="2025-06-02")
     assert rows(recent, "hash_columns") == [("a2",)]
     plan = plan_of(recent)
-    assert "PartitionFilters: [isnotnull(tidemark_release" in plan
+    assert "PartitionFilters: [isnotnull(dt_ingestao" in plan
     assert f"{N.INGESTED_ON}#" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
 
 
@@ -184,9 +185,8 @@ def test_overwrite_from_itself(spark, tmp_path):
     assert rows(table.read()) == [("b", 2, "x")]
 
 
-@pytest.mark.parametrize("band_digits", [0, 1])
-def test_upsert_counts_and_rows(spark, tmp_path, band_digits):
-    table = CurrentTable(spark, str(tmp_path / "c"), band_digits=band_digits)
+def test_upsert_counts_and_rows(spark, tmp_path):
+    table = CurrentTable(spark, str(tmp_path / "c"))
     assert table.upsert(keyed(spark, [("a", 1), ("b", 1), ("c", 1)])) == UpsertCounts(3, 0, 0)
     assert table.upsert(keyed(spark, [("b", 2), ("d", 2)])) == UpsertCounts(1, 1, 2)
     assert rows(table.read()) == [("a", 1), ("b", 2), ("c", 1), ("d", 2)]
@@ -197,36 +197,35 @@ def test_upsert_counts_and_rows(spark, tmp_path, band_digits):
     assert rows(table.read().filter("v > 1")) == [("a", 5, "x"), ("b", 2, None), ("d", 2, None)]
 
 
-def test_only_bands_with_changed_keys_are_rewritten(spark, tmp_path):
-    table = CurrentTable(spark, str(tmp_path / "c"), band_digits=1)
-    data = [(f"{i:02x}", 0) for i in range(256)]
-    assert table.upsert(keyed(spark, data)) == UpsertCounts(256, 0, 0)
-    first = table.last_release()
-    assert len(first.parts) == 16
-    # The number of digits is that of the table, not of the caller.
-    again = CurrentTable(spark, str(tmp_path / "c"), band_digits=0)
-    assert again.upsert(keyed(spark, [("a0", 1), ("a1", 1), ("c7x", 1)])) == UpsertCounts(1, 2, 254)
-    second = again.last_release()
-    assert second.rows == 257
-    carried = set(first.parts) & set(second.parts)
-    assert len(carried) == 14
-    assert not any("=a" in part or "=c" in part for part in carried)
-    expected = {**dict(data), "a0": 1, "a1": 1, "c7x": 1}
-    assert rows(table.read()) == sorted(expected.items())
-    # A band may lose all its old rows, or be new.
-    assert table.upsert(keyed(spark, [(f"b{d:x}", 2) for d in range(16)])) == UpsertCounts(0, 16, 241)
-    assert table.upsert(keyed(spark, [("zz", 3)])) == UpsertCounts(1, 0, 257)
-    assert table.read().count() == 258
-    assert rows(table.read().filter("v = 3")) == [("zz", 3)]
+def test_the_second_of_two_writers_is_refused(spark, tmp_path):
+    table = AppendTable(spark, str(tmp_path / "a"))
+    table.append(keyed(spark, [("a", 1)]))
+    last = table.last_release()
+    assert table._append(keyed(spark, [(f"b{i}", 1) for i in range(10)]), last, True) == 10
+    with pytest.raises(ConcurrentWriteError, match="release 2"):
+        table._append(keyed(spark, [(f"c{i}", 1) for i in range(3)]), last, True)
+    assert table.read().count() == table.last_release().rows == 11
+    table.append(keyed(spark, [("d", 1)]))
+    assert table.read().count() == table.last_release().rows == 12
+
+
+def test_a_reader_of_one_release_lists_one_folder(spark, tmp_path):
+    table = HistoryTable(spark, str(tmp_path / "h"))
+    for day in range(3):
+        batch = keyed(spark, [(f"k{day}", day)]).withColumn(N.INGESTED_ON, F.lit(f"2025-06-0{day + 1}"))
+        table._append(batch, table.last_release(), True, moment=f"2025-06-0{day + 1} 00:00:00")
+    news, number = table.read_news(2)
+    assert number == 3
+    assert [n.count("tidemark_release=3") for n in news.inputFiles()] == [1]
+    assert rows(news, "v", N.RELEASE) == [(2, 3)]
 
 
 def test_an_empty_current_table_can_be_read(spark, tmp_path):
-    for digits in (0, 2):
-        table = CurrentTable(spark, str(tmp_path / f"c{digits}"), band_digits=digits)
-        assert table.upsert(keyed(spark, [])) == UpsertCounts(0, 0, 0)
-        assert rows(table.read()) == []
-        assert table.upsert(keyed(spark, [("abc", 1)])) == UpsertCounts(1, 0, 0)
-        assert rows(table.read()) == [("abc", 1)]
+    table = CurrentTable(spark, str(tmp_path / "c"))
+    assert table.upsert(keyed(spark, [])) == UpsertCounts(0, 0, 0)
+    assert rows(table.read()) == []
+    assert table.upsert(keyed(spark, [("abc", 1)])) == UpsertCounts(1, 0, 0)
+    assert rows(table.read()) == [("abc", 1)]
 
 
 def test_upsert_of_ninety_eight_two_and_two(spark, tmp_path):
@@ -250,7 +249,8 @@ def test_upsert_refuses_two_rows_for_one_key(spark, tmp_path):
 def test_json_snapshot_schema_and_provenance(spark, tmp_path):
     path = tmp_path / "s.json"
     path.write_text('[\n {"id": "a", "roi": {"x": 1}, "p": 1.5},\n {"p": 2, "id": "b", "roi": null}\n]')
-    inferred = read_json_snapshot(spark, str(path))
+    assert read_json_snapshot(spark, str(path)).columns == ["id", "p", "roi"]
+    inferred = read_json_snapshot(spark, str(path), drop=("roi",))
     assert inferred.columns == ["id", "p"]
     assert rows(inferred) == [("a", 1.5), ("b", 2.0)]
     told = read_json_snapshot(spark, str(path), "id string, p double, q string", provenance=True)

@@ -18,7 +18,9 @@ HASH_SEPARATOR = "||"
 HASH_BITS = 256
 
 # Nested column of the landed snapshots that is not kept.
-DROPPED_ON_READ = ("roi",)
+#: Release of the history that a row came with; a folder name, not a stored column.
+RELEASE = "tidemark_release"
+DROPPED_ON_READ: tuple[str, ...] = ()
 
 # Folders of the layers below a common root.
 STAGE_FOLDER = "1-stage"

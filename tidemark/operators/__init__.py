@@ -14,14 +14,12 @@ from tidemark.operators.control import (
 )
 from tidemark.operators.evolve import align, merged_schema, union_evolving
 from tidemark.operators.latest import latest_per_key, latest_versions, total_order
-from tidemark.operators.skew import crowded_keys, rows_with_keys
 
 __all__ = [
     "RunContext",
     "add_control_columns",
     "align",
     "changed_rows",
-    "crowded_keys",
     "insert_only",
     "latest_per_key",
     "latest_versions",
@@ -30,7 +28,6 @@ __all__ = [
     "merge_metrics",
     "merged_schema",
     "replace_run_columns",
-    "rows_with_keys",
     "total_order",
     "union_evolving",
     "unseen_rows",

@@ -11,27 +11,23 @@ from pyspark.sql import functions as F
 from tidemark.functions.hashing import require_columns
 from tidemark.names import KEY_HASH, ROW_HASH
 from tidemark.operators.evolve import union_evolving
-from tidemark.operators.skew import COPIES, MAX_CROWDED_KEYS, MIN_CROWD, rows_with_keys
 from tidemark.session import new_work_path, written
 
 ACTION = "action"
 INSERT, UPDATE, COPY = "INSERT", "UPDATE", "COPY"
 
-_DIGEST = "__digest"
-
-# A counted stage of at most this many rows is broadcast as digests: 64 bytes
-# each, some 30 MB with the hash table around them.
-SMALL_STAGE = 200_000
-
-
 def changed_rows(latest: DataFrame, current: DataFrame, on: str = ROW_HASH) -> DataFrame:
     """Rows of ``latest`` whose row digest occurs nowhere in ``current``.
 
-    Both frames hold one row per key, so neither side of the join is crowded.
+    The digests of ``current`` are first cut down to those of ``latest``: there the
+    small side is on the right, so that few news are broadcast to a large table and
+    only digests in common go on. Write ``latest`` first where it is costly, since it is
+    used twice. Both frames hold one row per key, so neither side is crowded.
     """
     require_columns(latest, [on], "latest rows")
     require_columns(current, [on], "current table")
-    return latest.join(current.select(on), on, "left_anti").select(latest.columns)
+    known = current.select(on).join(latest.select(on), on, "left_semi")
+    return latest.join(known, on, "left_anti").select(latest.columns)
 
 
 def unseen_rows(
@@ -39,47 +35,28 @@ def unseen_rows(
     history: DataFrame,
     on: str = ROW_HASH,
     distinct: bool = False,
-    stage_rows: int | None = None,
     work: str | None = None,
-    limit: int = MAX_CROWDED_KEYS,
-    least: int = MIN_CROWD,
 ) -> DataFrame:
     """Rows of ``stage`` whose digest the whole ``history`` has never held.
 
     A value that returns to an old state is therefore not new, and copies inside
     one batch are all kept unless ``distinct`` is set.
 
-    The digests of both sides meet first, without the other columns, in one
-    aggregation: copies collapse before the shuffle and no group is large after
-    it. The new digests are written to ``work`` (by default a path under the
-    shared work folder), which is when this function returns. The wide rows are
-    filtered by that table: through a broadcast if its files are small, and with
-    crowded digests kept apart if not.
-
-    Where the caller has counted the stage and ``stage_rows`` is small, its
-    digests are broadcast to the scan of the history, so that a large history is
-    not shuffled for a small snapshot.
+    ``stage`` is computed once and written to ``work`` (by default a path under the
+    shared work folder), which is when this function returns: a frame that would give
+    other values the second time is merged as it was the first time. The history's
+    digests are cut down to those of the written rows, and these leave the rows out.
+    The planner knows the size of the written files, so a small snapshot never shuffles a
+    large history; a digest with many copies makes a skewed join, which adaptive
+    execution splits.
     """
     require_columns(stage, [on], "stage")
     require_columns(history, [on], "history")
     if distinct:
         stage = stage.dropDuplicates([on])
-    # An empty string is no digest: it carries the rows that have none.
-    keyed = stage.withColumn(_DIGEST, F.coalesce(F.col(on), F.lit("")))
-    known = history.select(F.col(on).alias(_DIGEST)).filter(F.col(_DIGEST).isNotNull())
-    if stage_rows is not None and stage_rows <= SMALL_STAGE:
-        known = known.join(F.broadcast(keyed.select(_DIGEST).distinct()), _DIGEST, "left_semi")
-    sides = keyed.select(_DIGEST, F.lit(1).alias(COPIES), F.lit(False).alias("known")).unionByName(
-        known.select(_DIGEST, F.lit(0).alias(COPIES), F.lit(True).alias("known"))
-    )
-    digests = sides.groupBy(_DIGEST).agg(
-        F.sum(COPIES).alias(COPIES), F.bool_or("known").alias("known")
-    )
-    unseen = written(
-        digests.filter((F.col(COPIES) > 0) & ~F.col("known")).select(_DIGEST, COPIES),
-        work or new_work_path(stage.sparkSession, "digests"),
-    )
-    return rows_with_keys(keyed, unseen, _DIGEST, limit, least).select(stage.columns)
+    staged = written(stage, work or new_work_path(stage.sparkSession, "stage"))
+    known = history.select(on).join(staged.select(on), on, "left_semi").distinct()
+    return staged.join(known, on, "left_anti").select(stage.columns)
 
 
 def insert_only(history: DataFrame, stage: DataFrame, on: str = ROW_HASH, **options) -> DataFrame:

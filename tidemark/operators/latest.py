@@ -61,6 +61,12 @@ def latest_per_key(
 
 
 def latest_versions(history: DataFrame) -> DataFrame:
-    """The newest version of each key of a history table."""
+    """The newest version of each key of a history table.
+
+    Run starts have whole seconds: of equal ones the later release counts, where the
+    frame has its number, and only then the digest.
+    """
     recency = parse_instant(F.col(N.UPDATED_AT))
-    return latest_per_key(history, N.KEY_HASH, recency, total_order(history, [N.ROW_HASH]))
+    first = [c for c in (N.RELEASE, N.ROW_HASH) if c in history.columns]
+    newest = latest_per_key(history, N.KEY_HASH, recency, total_order(history, first))
+    return newest.drop(N.RELEASE)

@@ -104,7 +104,10 @@ def rank_by_value(df: DataFrame, value: str, bands: int = 1000) -> DataFrame:
 
 
 def segment_indicators(df: DataFrame, segment: str | Sequence[str], value: str) -> DataFrame:
-    """Per segment: members, total, mean, extremes and share of the whole."""
+    """Per segment: members, total, mean, extremes and share of the whole.
+
+    The share of a total of zero is null.
+    """
     segments = [segment] if isinstance(segment, str) else list(segment)
     groups = df.groupBy(*segments).agg(
         F.count(F.lit(1)).alias("members"),
@@ -116,5 +119,5 @@ def segment_indicators(df: DataFrame, segment: str | Sequence[str], value: str)
     return groups.select(
         "*",
         (F.col("total").cast("double") / F.col("members")).alias("mean"),
-        (F.col("total").cast("double") / whole.cast("double")).alias("share"),
+        F.try_divide(F.col("total").cast("double"), whole.cast("double")).alias("share"),
     )

@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +18,7 @@ from tidemark.operators.control import RunContext, add_control_columns, replace_
 from tidemark.operators.latest import latest_versions
 from tidemark.plans.run_log import audited, ingest_record, refresh_record
 from tidemark.sources.snapshots import read_json_snapshot
+from tidemark.session import new_work_path, remove_path, written
 from tidemark.sources.tables import CurrentTable, HistoryTable
 
 Clock = Callable[[], datetime]
@@ -65,10 +65,9 @@ def ingest_snapshot(
 ) -> dict[str, str]:
     """Add the new rows of one snapshot to the history; returns the log row.
 
-    ``source`` is a path of JSON files, several paths, or a frame. For a merge the
-    files are parsed once: the snapshot is kept on executor disk while first its
-    digests and then its rows are used, and only what was on a lost executor is
-    parsed again. A first load needs one pass and keeps nothing.
+    ``source`` is a path of JSON files, several paths, or a frame; columns named in
+    ``drop`` are left out. It is computed once: a first load writes it to the table, a
+    merge to the shared work folder, from where its digests and rows are read.
     """
     run = RunContext(layers.process, layers.ingest_log, clock)
     is_frame = isinstance(source, DataFrame)
@@ -77,41 +76,25 @@ def ingest_snapshot(
     else:
         origin = source_name or (source if isinstance(source, str) else ",".join(source))
     record = ingest_record(run, origin, layers.history)
-    staged = None
     with audited(spark, record):
-        try:
-            with record.step("create_session"):
-                history = HistoryTable(spark, layers.history)
-            with record.step("reading_file"):
-                if is_frame:
-                    snapshot = source.drop(*drop)
-                else:
-                    snapshot = read_json_snapshot(
-                        spark, source, schema, multi_line, drop, provenance=source_name is None
-                    )
-            with record.step("add_control_columns"):
-                named = N.SOURCE_NAME in snapshot.columns and source_name is None
-                name = F.col(N.SOURCE_NAME) if named else origin
-                staged = add_control_columns(snapshot, keys, run, name, null_token)
-            with record.step("merge_delta"):
-                stage_rows = None
-                if not is_frame and history.exists():
-                    staged = staged.persist(StorageLevel.DISK_ONLY)
-                    # The pass that parses and keeps the rows also counts them.
-                    stage_rows = staged.count()
-                added = history.insert_unseen(
-                    staged,
-                    compare,
-                    distinct,
-                    evolve,
-                    day=run.ingested_on,
-                    moment=run.updated_at,
-                    stage_rows=stage_rows,
+        with record.step("create_session"):
+            history = HistoryTable(spark, layers.history)
+        with record.step("reading_file"):
+            if is_frame:
+                snapshot = source.drop(*drop)
+            else:
+                snapshot = read_json_snapshot(
+                    spark, source, schema, multi_line, drop, provenance=source_name is None
                 )
-            record.update(records_processed=added)
-        finally:
-            if staged is not None:
-                staged.unpersist()
+        with record.step("add_control_columns"):
+            named = N.SOURCE_NAME in snapshot.columns and source_name is None
+            name = F.col(N.SOURCE_NAME) if named else origin
+            staged = add_control_columns(snapshot, keys, run, name, null_token)
+        with record.step("merge_delta"):
+            added = history.insert_unseen(
+                staged, compare, distinct, evolve, day=run.ingested_on, moment=run.updated_at
+            )
+        record.update(records_processed=added)
     return record.values
 
 
@@ -122,21 +105,20 @@ def refresh_current(
     incremental: bool = True,
     exclude: Sequence[str] = (),
     evolve: bool = True,
-    band_digits: int = 0,
 ) -> dict[str, str]:
     """Bring the current table up to the history; returns the log row.
 
     The current table knows which release of the history it was made from. An
     ``incremental`` refresh reads only the later ones, as long as runs came in
     time order: a key without a later row still has the newest row it had. After
-    a run with an earlier clock it reads the whole history. ``band_digits`` is
-    that of a new current table: give 2 or 3 where it is large and few of its
-    keys change at a time.
+    a run with an earlier clock it reads the whole history. A refresh with any change
+    writes the whole current table anew.
     """
     run = RunContext(layers.process, layers.refresh_log, clock)
     record = refresh_record(run, layers.history, layers.current)
     with audited(spark, record, N.REFRESH_SUCCEEDED_MESSAGE, N.REFRESH_FAILED_PREFIX):
-        current = CurrentTable(spark, layers.current, band_digits=band_digits)
+        news = None
+        current = CurrentTable(spark, layers.current)
         with record.step("bronze_reading"):
             last = current.last_release() if incremental else None
             seen = None if last is None else last.source
@@ -146,7 +128,11 @@ def refresh_current(
             latest = latest_versions(history)
         with record.step("filter_new_data"):
             known = current.find()
-            changed = latest if known is None else changed_rows(latest, known)
+            if known is None:
+                changed = latest
+            else:
+                news = new_work_path(spark, "news")
+                changed = changed_rows(written(latest, news), known)
         with record.step("transform_strings"):
             cleaned = clean_strings(changed, exclude=[*N.CONTROL_COLUMNS, *exclude])
         with record.step("add_column_log"):
@@ -156,6 +142,8 @@ def refresh_current(
         with record.step("update_delta_silver"):
             # One row per key: the latest of each.
             counts = current.upsert(stamped, unique=True, evolve=evolve, source=release)
+            if news is not None:
+                remove_path(spark, news)
         record.update(records_inserted=counts.inserted, records_updated=counts.updated)
     return record.values
 
@@ -167,14 +155,11 @@ def run_chain(
     keys: str | Sequence[str],
     clock: Clock = datetime.now,
     incremental: bool = True,
-    band_digits: int = 0,
     **ingest_options,
 ) -> list[dict[str, str]]:
     """For each snapshot in time order: ingest it, then refresh the current table."""
     records = []
     for source in sources:
         records.append(ingest_snapshot(spark, source, layers, keys, clock, **ingest_options))
-        records.append(
-            refresh_current(spark, layers, clock, incremental, band_digits=band_digits)
-        )
+        records.append(refresh_current(spark, layers, clock, incremental))
     return records

@@ -1,6 +1,7 @@
 from tidemark.sources.snapshots import literal_table, read_json_snapshot
 from tidemark.sources.tables import (
     AppendTable,
+    ConcurrentWriteError,
     CurrentTable,
     HistoryTable,
     StoredTable,
@@ -13,6 +14,7 @@ from tidemark.sources.tables import (
 
 __all__ = [
     "AppendTable",
+    "ConcurrentWriteError",
     "CurrentTable",
     "HistoryTable",
     "StoredTable",

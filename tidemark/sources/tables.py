@@ -1,16 +1,18 @@
 """Stored tables: files in a folder, and a list of what has been released.
 
-Each write fills a folder of its own and ends with one row in the ``releases``
-folder of the table: its number, how many rows the table holds now, their schema,
-the clock of the run, and the release of the table it was made from. Readers go by the newest row. So a write that was cut short stays unseen
-and its folder is overwritten by the next one, a table is never overwritten while
-it is being read, and no file footers are read to find the schema. A table has
-one writer at a time.
+Each write fills folders of its own and ends with one file in the ``releases``
+folder of the table, named by its number: the folders, how many rows the table holds
+now, their schema, the clock of the run, and the release of the table it was made from.
+Readers go by these. So a write that was cut short stays unseen, a table is never
+overwritten while it is being read, and no file footers are read to find the schema.
+The file is created exclusively: of two writers that start from one release the second
+fails, and neither touches the files of the other.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -25,27 +27,51 @@ from tidemark.operators.evolve import align, merged_schema
 from tidemark.operators.latest import latest_versions
 from tidemark.session import new_work_path, remove_path
 
-_RELEASE = "tidemark_release"
-_BAND = "tidemark_band"
-_RELEASE_FIELD = T.StructField(_RELEASE, T.LongType())
+_ATTEMPT = "tidemark_attempt"
+_PLACES = [T.StructField(N.RELEASE, T.LongType()), T.StructField(_ATTEMPT, T.StringType())]
 _RELEASE_SCHEMA = (
     "release long, parts array<string>, rows long, schema string, moment string, source long"
 )
 
 
+class ConcurrentWriteError(RuntimeError):
+    """Another writer has released the number that this one was to make."""
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether the file system of ``path`` has it; asks without a job."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    configuration = spark._jsparkSession.sessionState().newHadoopConf()
-    return place.getFileSystem(configuration).exists(place)
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, none where it is missing; asks without a job."""
+    files, place = _file_system(spark, folder)
+    return [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
 
 
-def folder_names(spark: SparkSession, pattern: str) -> list[str]:
-    """Names of the folders that match; asks without a job."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    configuration = spark._jsparkSession.sessionState().newHadoopConf()
-    found = place.getFileSystem(configuration).globStatus(place)
-    return [status.getPath().getName() for status in found]
+def read_text(spark: SparkSession, path: str) -> str:
+    files, place = _file_system(spark, path)
+    source = files.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a file that must not be there yet."""
+    files, place = _file_system(spark, path)
+    target = files.create(place, False)
+    try:
+        target.write(bytearray(text.encode()))
+    finally:
+        target.close()
 
 
 def one_row(spark: SparkSession, **values: Column) -> DataFrame:
@@ -106,10 +132,9 @@ class StoredTable:
         self.fmt = fmt
 
     def last_release(self) -> Row | None:
-        """The newest release row, or None where nothing has been released."""
-        releases = self.releases()
-        newest = releases.orderBy(F.desc("release")).take(1) if releases is not None else []
-        return newest[0] if newest else None
+        """The newest release, or None where nothing has been released."""
+        numbers = self._numbers()
+        return self._row(numbers[-1]) if numbers else None
 
     def releases(self) -> DataFrame | None:
         """One row per release, None where nothing has been released."""
@@ -119,7 +144,7 @@ class StoredTable:
         return self.spark.read.schema(_RELEASE_SCHEMA).json(folder)
 
     def exists(self) -> bool:
-        return self.last_release() is not None
+        return bool(self._numbers())
 
     def find(self) -> DataFrame | None:
         """The table, or None where there is none yet."""
@@ -132,13 +157,23 @@ class StoredTable:
             raise FileNotFoundError(f"no table at {self.path}")
         return found
 
+    def _numbers(self) -> list[int]:
+        names = file_names(self.spark, f"{self.path}/releases")
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
+
+    def _file(self, number: int) -> str:
+        return f"{self.path}/releases/{number:012d}.json"
+
+    def _row(self, number: int) -> Row:
+        return Row(**json.loads(read_text(self.spark, self._file(number))))
+
     def _read_release(self, release: Row) -> DataFrame:
         return self._read_parts(release.parts, _schema_of(release))
 
     def _read_parts(self, parts: list[str], schema: T.StructType) -> DataFrame:
         if not parts:
             return self.spark.createDataFrame([], schema)
-        stored = self.spark.read.format(self.fmt).schema(schema)
+        stored = self.spark.read.format(self.fmt).schema(schema).option("basePath", f"{self.path}/data")
         return stored.load([f"{self.path}/{p}" for p in parts])
 
     def _release(
@@ -150,22 +185,34 @@ class StoredTable:
         moment: str | None = None,
         source: int | None = None,
     ) -> None:
-        row = one_row(
-            self.spark,
-            release=F.lit(number),
-            parts=F.array(*[F.lit(p) for p in parts]),
-            rows=F.lit(rows),
-            schema=F.lit(schema.json()),
-            moment=F.lit(moment),
-            source=F.lit(source),
-        )
-        row.write.mode("append").json(f"{self.path}/releases")
+        row = {
+            "release": number,
+            "parts": parts,
+            "rows": rows,
+            "schema": schema.json(),
+            "moment": moment,
+            "source": source,
+        }
+        try:
+            create_text(self.spark, self._file(number), json.dumps(row))
+        except Exception as error:
+            if not path_exists(self.spark, self._file(number)):
+                raise
+            for part in parts:
+                remove_path(self.spark, f"{self.path}/{part}")
+            raise ConcurrentWriteError(
+                f"release {number} of {self.path} was made by another writer"
+            ) from error
 
 
 def _schema_of(release: Row) -> T.StructType:
     return T.StructType.fromJson(json.loads(release.schema))
 
 
+def _attempt() -> str:
+    return uuid.uuid4().hex[:12]
+
+
 class AppendTable(StoredTable):
     """A table that only grows."""
 
@@ -198,21 +245,30 @@ class AppendTable(StoredTable):
             if not evolve:
                 require_columns(df, stored.names, "appended rows")
                 schema = stored
-        folder = f"{self.path}/data/{_RELEASE}={number}"
+        part = f"data/{N.RELEASE}={number}/{_ATTEMPT}={_attempt()}"
         added = write_counted(
-            align(df, schema), folder, self.fmt, self.partition_by, constants
+            align(df, schema), f"{self.path}/{part}", self.fmt, self.partition_by, constants
         )
         if added or last is None:
-            self._release(number, ["data"], before + added, schema, moment)
+            self._release(number, [part], before + added, schema, moment)
+        else:
+            remove_path(self.spark, f"{self.path}/{part}")
         return added
 
-    def _read_release(self, release: Row, after: int = 0) -> DataFrame:
+    def _read_release(self, release: Row, after: int = 0, numbered: bool = False) -> DataFrame:
+        """Rows of the releases above ``after``, from their folders alone.
+
+        ``numbered`` adds the release of each row.
+        """
         schema = _schema_of(release)
-        stored = self._read_parts(release.parts, T.StructType([*schema.fields, _RELEASE_FIELD]))
-        # Only a choice of folders; the reader moves partition columns to the
-        # tail, so put them back in their places.
-        chosen = F.col(_RELEASE).between(after + 1, release.release)
-        return stored.filter(chosen).select(schema.names)
+        rows = self.releases().where(F.col("release").between(after + 1, release.release))
+        # A few names for each run.
+        parts = sorted(rows.agg(F.flatten(F.collect_list("parts")).alias("parts")).first().parts)
+        names = [*schema.names, N.RELEASE] if numbered else schema.names
+        if not parts:
+            return self.spark.createDataFrame([], T.StructType([*schema.fields, *_PLACES])).select(names)
+        # The reader moves partition columns to the tail, so put them back in their places.
+        return self._read_parts(parts, T.StructType([*schema.fields, *_PLACES])).select(names)
 
 
 class HistoryTable(AppendTable):
@@ -236,7 +292,7 @@ class HistoryTable(AppendTable):
         if last is None:
             raise FileNotFoundError(f"no table at {self.path}")
         if seen is None:
-            return self._read_release(last), last.release
+            return self._read_release(last, numbered=True), last.release
         late = F.col("release") > seen
         order = self.releases().agg(
             F.max(F.when(~late, F.col("moment"))).alias("seen"),
@@ -244,7 +300,8 @@ class HistoryTable(AppendTable):
             F.count_if(F.col("moment").isNull()).alias("unknown"),
         ).first()
         in_order = not order.unknown and (order.news is None or order.news > order.seen)
-        return self._read_release(last, seen if in_order else 0), last.release
+        after = seen if in_order else 0
+        return self._read_release(last, after, numbered=True), last.release
 
     def insert_unseen(
         self,
@@ -254,12 +311,11 @@ class HistoryTable(AppendTable):
         evolve: bool = True,
         day: str | None = None,
         moment: str | None = None,
-        stage_rows: int | None = None,
     ) -> int:
         """Append the rows that are new; on the first load, all of them.
 
         ``day`` and ``moment`` say that these are the day of ingestion and the
-        run start in every row, ``stage_rows`` how many rows there are.
+        run start in every row.
 
         ``compare="history"`` takes a row for known if any version ever had its
         digest; ``compare="latest"`` only if the newest version of its key has,
@@ -272,12 +328,12 @@ class HistoryTable(AppendTable):
         if last is None:
             first = stage.dropDuplicates([N.ROW_HASH]) if distinct else stage
             return self._append(first, None, True, constants, moment)
-        known = self._read_release(last)
+        known = self._read_release(last, numbered=compare == "latest")
         if compare == "latest":
             known = latest_versions(known)
-        work = new_work_path(self.spark, "digests")
+        work = new_work_path(self.spark, "stage")
         try:
-            fresh = unseen_rows(stage, known, distinct=distinct, stage_rows=stage_rows, work=work)
+            fresh = unseen_rows(stage, known, distinct=distinct, work=work)
             # Few rows from many tasks: let adaptive execution size the files.
             return self._append(fresh.hint("rebalance"), last, evolve, constants, moment)
         finally:
@@ -292,47 +348,20 @@ class UpsertCounts:
 
 
 class CurrentTable(StoredTable):
-    """One row per key. Each upsert writes a new release beside the last one.
-
-    With ``band_digits`` the rows are kept in folders by the first digits of their
-    key digest, 16 to that power of them. An upsert then rewrites only the folders
-    of the keys it changes, and the release takes the others over as they are.
-    The number is settled by the first write of a table.
-    """
-
-    def __init__(
-        self, spark: SparkSession, path: str, fmt: str = "parquet", band_digits: int = 0
-    ) -> None:
-        super().__init__(spark, path, fmt)
-        self.band_digits = band_digits
+    """One row per key. Each upsert writes a new release beside the last one."""
 
     def overwrite(self, df: DataFrame, on: str = N.KEY_HASH) -> int:
         """Make ``df`` the table, with the schema of ``df``."""
-        return self._replace(df, self.last_release(), on)
+        return self._replace(df, self.last_release())
 
-    def _replace(
-        self, df: DataFrame, last: Row | None, on: str, source: int | None = None
-    ) -> int:
+    def _replace(self, df: DataFrame, last: Row | None, source: int | None = None) -> int:
         number = 1 if last is None else last.release + 1
         schema = merged_schema(T.StructType(), df.schema)
-        rows, parts = self._write_part(df, f"data/{number}/changed", on, self.band_digits)
-        self._release(number, parts, rows, schema, source=source)
+        part = f"data/{number}-{_attempt()}/changed"
+        rows = write_counted(df, f"{self.path}/{part}", self.fmt)
+        self._release(number, [part], rows, schema, source=source)
         return rows
 
-    def _write_part(
-        self, df: DataFrame, folder: str, on: str, digits: int
-    ) -> tuple[int, list[str]]:
-        """Write ``df``; the number of rows, and the folders that hold them."""
-        target = f"{self.path}/{folder}"
-        if digits == 0:
-            return write_counted(df, target, self.fmt), [folder]
-        # Digests spread evenly, so bands are of like size; adaptive execution
-        # makes one file of each, or several where that would be too large.
-        banded = df.withColumn(_BAND, F.substring(on, 1, digits)).hint("rebalance", _BAND)
-        rows = write_counted(banded, target, self.fmt, (_BAND,))
-        names = folder_names(self.spark, f"{target}/{_BAND}=*")
-        return rows, [f"{folder}/{name}" for name in names]
-
     def upsert(
         self,
         changed: DataFrame,
@@ -354,36 +383,28 @@ class CurrentTable(StoredTable):
         if last is None:
             if not unique:
                 self._require_unique(changed, on)
-            return UpsertCounts(self._replace(changed, None, on, source), 0, 0)
+            return UpsertCounts(self._replace(changed, None, source), 0, 0)
         stored = _schema_of(last)
         schema = merged_schema(stored, changed.schema)
         if not evolve:
             require_columns(changed, stored.names, "changed rows")
             schema = stored
-        folder = f"data/{last.release + 1}"
-        digits = _digits_of(last.parts, self.band_digits)
-        written, new = self._write_part(
-            align(changed, schema), f"{folder}/changed", on, digits
-        )
+        number = last.release + 1
+        folder = f"data/{number}-{_attempt()}"
+        parts = [f"{folder}/changed", f"{folder}/kept"]
+        written = write_counted(align(changed, schema), f"{self.path}/{parts[0]}", self.fmt)
         if written == 0:
+            remove_path(self.spark, f"{self.path}/{folder}")
             return UpsertCounts(0, 0, last.rows)
-        keys = self._read_parts(new, schema).select(on)
+        keys = self._read_parts(parts[:1], schema).select(on)
         if not unique:
             self._require_unique(keys, on)
-        bands = {_band_of(part) for part in new}
-        touched = [part for part in last.parts if _band_of(part) in bands]
-        others = [part for part in last.parts if _band_of(part) not in bands]
-        kept, old, removed = 0, [], 0
-        if touched:
-            before = self._read_parts(touched, schema)
-            rest = before.join(keys, on, "left_anti").select(schema.names)
-            kept, old = self._write_part(rest, f"{folder}/kept", on, digits)
-            # Without columns to read, a count comes from the file footers.
-            removed = (before.count() if others else last.rows) - kept
-        inserted = written - removed
-        parts, rows = [*new, *old, *others], last.rows + inserted
-        self._release(last.release + 1, parts, rows, schema, source=source)
-        return UpsertCounts(inserted, removed, last.rows - removed)
+        before = self._read_parts(last.parts, schema)
+        rest = before.join(keys, on, "left_anti").select(schema.names)
+        kept = write_counted(rest, f"{self.path}/{parts[1]}", self.fmt)
+        updated = last.rows - kept
+        self._release(number, parts, written + kept, schema, source=source)
+        return UpsertCounts(written - updated, updated, kept)
 
     @staticmethod
     def _require_unique(df: DataFrame, on: str) -> None:
@@ -391,13 +412,3 @@ class CurrentTable(StoredTable):
         example = twice.take(1)
         if example:
             raise ValueError(f"several source rows have the key {example[0][on]}")
-
-
-def _band_of(part: str) -> str:
-    """The band a folder holds, empty where the table has none."""
-    return part.partition(f"/{_BAND}=")[2]
-
-
-def _digits_of(parts: list[str], default: int) -> int:
-    bands = [_band_of(part) for part in parts if "__HIVE" not in part]
-    return len(bands[0]) if bands else default

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +25,6 @@ def follow_landing(
     refresh: bool = True,
     trigger: dict | None = None,
     files_per_batch: int = 1,
-    band_digits: int = 0,
     **ingest_options,
 ) -> StreamingQuery:
     """Ingest the files that land in ``layers.stage``, oldest first.
@@ -35,6 +33,9 @@ def follow_landing(
     files present are done; ``trigger={"processingTime": "1 hour"}`` keeps it
     running. The checkpoint remembers the files, so nothing has to be renamed.
     A batch that is repeated after a failure finds its rows in the history.
+    ``files_per_batch`` is for snapshots of several files: a batch is one release
+    with one run start, so if it holds two versions of a key, the one with the larger
+    row digest counts.
     """
     landed = (
         spark.readStream.schema(schema)
@@ -47,14 +48,9 @@ def follow_landing(
 
     def take(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        # Parsed once for its digests and its rows.
-        batch.persist(StorageLevel.DISK_ONLY)
-        try:
-            ingest_snapshot(session, batch, layers, keys, clock, **ingest_options)
-        finally:
-            batch.unpersist()
+        ingest_snapshot(session, batch, layers, keys, clock, **ingest_options)
         if refresh:
-            refresh_current(session, layers, clock, band_digits=band_digits)
+            refresh_current(session, layers, clock)
 
     return (
         landed.writeStream.foreachBatch(take)
