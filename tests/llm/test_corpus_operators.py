@@ -1,0 +1,431 @@
+"""Corpus operators against brute force, on small tables with odd rows."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from oracle import differences
+from tidemark.llm import (
+    byte_bpe,
+    licences,
+    mixing,
+    near_duplicates,
+    nearest,
+    personal_data,
+    quality,
+    queries,
+    repetition,
+    sharding,
+    url_lists,
+)
+from tidemark.llm.components import components
+
+SMALL = "/root/testdata/sf0.001"
+VOCABULARY = public_tokenizers.path(queries.VOCABULARY)
+SCHEMA = (
+    "doc_id long, text string, source string, kept string, N_Words string, id string, size string, "
+    "digest string, label string, spans string"
+)
+WORD = re.compile(r"[^\x20\x09-\x0d]+")
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text)
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    """Stored documents and odd ones: nulls, empty and long texts, copies, repeated rows."""
+    rng = random.Random(1)
+    stored = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "source").collect()]
+    base = [f"w{rng.randrange(500)}" for _ in range(120)]
+    near = []
+    for _ in range(60):
+        words = list(base)
+        for _ in range(rng.randrange(6)):
+            words[rng.randrange(120)] = f"x{rng.randrange(10**6)}"
+        near.append(" ".join(words))
+    odd = [
+        None, "", " \n\t ", "one", "two words", "Two  WORDS", "a b c d e", "mit\nlicense CC BY mit license",
+        "x" * 40_000, " ".join(base) * 40, "\n".join(["same line again"] * 30), "İ ß é 漢字 🙂 " * 30,
+        "mail a.b@c.de and 1.2.3.4 or +1 (017) 555-7713, card 4111 1111 1111 1111",
+        "Licensed under CC BY-NC 4.0.", "12" * 40, "@@ :// + 1.2.3.4.5.6.7.8 a@b.c@d.e",
+    ]
+    rows = stored + [(10_000 + i, t, None if i % 3 else "src0") for i, t in enumerate(near + odd)]
+    rows += [(None, near[0], None), (None, None, "z"), (20_000, near[1], "q"), (20_000, near[1], "q"), (20_000, "one more text here", "q")]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def documents(spark, texts):
+    rows = [(i, t, s, "clash", "clash", "clash", "clash", "clash", "clash", "clash") for i, t, s in texts]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def nothing(documents):
+    return documents.where("false")
+
+
+@pytest.mark.parametrize("name", list(queries.SQL))
+def test_query_equals_its_sql(spark, name):
+    assert differences(spark, name, SMALL) == ""
+
+
+def test_licence_places_match_brute_force(documents, texts, nothing):
+    def expected(i, text):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text or ""))
+        places = [
+            (p, label)
+            for phrase, label in licences.BASE_PHRASES.items()
+            for p in range(len(words))
+            if words[p : p + len(phrase.split())] == phrase.split()
+        ]
+        at = [p for p, _ in places]
+        labels = ",".join(sorted({label for _, label in places}))
+        return i, len(words), len(places), min(at, default=None), max(at, default=None), labels
+
+    found = licences.scan_licences(documents)
+    got = found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels").collect()
+    assert Counter(map(tuple, got)) == Counter(expected(i, t) for i, t, _ in texts)
+    notice = found.where("doc_id = 10073").first()
+    assert (notice.labels, notice.score) == ("cc-by,cc-by-nc", 1.0)
+    assert licences.scan_licences(nothing).count() == 0
+
+
+def shingles(text):
+    words = WORD.findall(lower(text or ""))
+    if len(words) < 5:
+        return frozenset([tuple(words)] if words else [])
+    return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+
+
+def test_near_duplicates_match_brute_force(documents, texts, nothing):
+    sets = [(i, shingles(t)) for i, t, _ in texts]
+    parent = {i: i for i, _ in sets if i is not None}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    named = [(i, s) for i, s in sets if i is not None and s]
+    for k, (i, a) in enumerate(named):
+        for j, b in named[:k]:
+            shared = len(a & b)
+            if 100 * shared >= 85 * (len(a) + len(b) - shared) and find(i) != find(j):
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    expected = Counter(
+        (i, len(s), None if i is None else find(i) if s else i, i is None or not s or find(i) == i) for i, s in sets
+    )
+    assert Counter(map(tuple, near_duplicates.near_duplicates(documents).collect())) == expected
+    assert sum(n for (i, _, c, _), n in expected.items() if i != c) > 20
+    assert near_duplicates.near_duplicates(nothing).count() == 0
+
+
+def test_blocks_of_a_list_lose_no_link(spark, documents, monkeypatch):
+    """Small blocks, so that lists and groups are cut into many."""
+    whole = near_duplicates.near_duplicates(documents).collect()
+    monkeypatch.setattr(near_duplicates, "BLOCK", 4)
+    assert Counter(near_duplicates.near_duplicates(documents).collect()) == Counter(whole)
+
+
+def test_components_of_random_links(spark):
+    rng = random.Random(4)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(1000 + i, 1001 + i) for i in range(60)]
+    parent = {x: x for link in links for x in link}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
+    assert got == {x: find(x) for x in parent if find(x) != x}
+
+
+def test_captures_of_odd_urls(spark):
+    captures = spark.createDataFrame(
+        [
+            (1, "https://a.b.com/x/y", "2024-01-05"), (1, "https://a.b.com/x/y", "2024-01-05"),
+            (2, "http://u:p@A.b.com:80", "2024-01-05"), (3, "http://a.b.com/z", "2024-01-09"), (4, None, "2024-01-05"),
+            (5, "nonsense", "2024-01-05"), (6, "http://b.com", None), (None, "http://c.b.com", "2024-01-01"),
+        ],
+        "page_id long, url string, fetched_on string",
+    ).withColumn("pattern", F.lit("clash"))
+    entries = spark.createDataFrame(
+        [
+            ("b.com", "block", "2024-01-01"), ("a.b.com", "allow", "2024-01-05"), ("a.b.com", "remove", "2024-01-09"),
+            ("a.b.com/x", "block", "2024-01-05"), ("a.b.com/x", "allow", "2024-01-05"), (None, "block", "2024-01-01"),
+            ("b.com", None, "2024-01-02"),
+        ],
+        "pattern string, action string, listed_on string",
+    )
+    got = url_lists.filter_captures(captures, entries).select("page_id", "verdict", "pattern").collect()
+    assert Counter(map(tuple, got)) == Counter(
+        [
+            (1, "block", "a.b.com/x"), (1, "block", "a.b.com/x"), (2, "allow", "a.b.com"), (3, "block", "b.com"),
+            (4, "none", None), (5, "none", None), (6, "none", None), (None, "block", "b.com"),
+        ]
+    )
+    assert {r.verdict for r in url_lists.filter_captures(captures, entries.where("false")).collect()} == {"none"}
+    assert url_lists.filter_captures(captures.where("false"), entries).count() == 0
+
+
+def test_repetition_matches_brute_force(documents, texts, nothing):
+    def counts(text):
+        text = text or ""
+        words, seen, lines, line_chars = WORD.findall(text), set(), 0, 0
+        for line in text.split("\n"):
+            if WORD.search(line):
+                lines += line in seen
+                line_chars += sum(map(len, WORD.findall(line))) if line in seen else 0
+                seen.add(line)
+
+        def covered(n, first):
+            grams = [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+            often, before, inside = Counter(grams), set(), set()
+            for i, gram in enumerate(grams):
+                if often[gram] > 1 and (first or gram in before):
+                    inside.update(range(i, i + n))
+                before.add(gram)
+            return inside
+
+        chars = [sum(len(words[i]) for i in covered(n, False)) for n in repetition.GRAM_LIMITS]
+        return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), lines, len(covered(3, True)), *chars, line_chars
+
+    found = repetition.judge_repetition(documents)
+    names = [f.name for f in repetition.COUNTS]
+    got = Counter((r.doc_id, *(r[n] for n in names)) for r in found.collect())
+    assert got == Counter((i, *counts(t)) for i, t, _ in texts)
+    assert found.where("base_failed AND kept").count() == 0
+    assert [c.lower() for c in found.columns].count("n_words") == 1
+    assert repetition.judge_repetition(nothing).count() == 0
+
+
+def test_shards_match_a_walk_around_the_ring(documents, texts, nothing):
+    shards, nodes, arcs = 5, 7, 64
+    position = lambda s: int(hashlib.md5(s.encode()).hexdigest()[:8], 16)
+    arc = lambda s: position(s) * arcs >> 32
+    at = [(arc(f"node/{s}/{c}"), s) for s in range(shards) for c in range(nodes)]
+    rows = [
+        (i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, _ in texts
+    ]
+    room = [len(rows) // shards + (s < len(rows) % shards) for s in range(shards)]
+    used, expected = [0] * shards, Counter()
+    key = lambda r: f"key/{'null' if r[0] is None else r[0]}"
+    for r in sorted(rows, key=lambda r: (position(key(r)), r[0] is not None, r[0] or 0, r[1], r[2])):
+        walk = sorted(range(shards), key=lambda s: (min((a - arc(key(r))) % arcs for a, o in at if o == s), s))
+        s = next(s for s in walk if used[s] < room[s])
+        expected[(*r, s, used[s])] += 1
+        used[s] += 1
+    found = sharding.shard_rows(documents, shards=shards, nodes=nodes, arcs=arcs)
+    assert Counter(map(tuple, found.collect())) == expected
+    assert sharding.shard_rows(nothing).count() == 0
+
+
+def test_sharding_runs_no_python(documents):
+    plan = sharding.shard_rows(documents)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def base_spans(text):
+    def luhn(digits):
+        return sum(sum(divmod(int(d) * (1 + i % 2), 10)) for i, d in enumerate(reversed(digits))) % 10 == 0
+
+    kinds = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
+        "card": (r"[0-9]([\x20-]?[0-9])+", lambda m: 12 <= len(re.sub("[ -]", "", m)) <= 19 and luhn(re.sub("[ -]", "", m))),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(re.sub("[^0-9]", "", m)) <= 15),
+    }
+    found = [(m.start(), n, f"{k}:{m.start()}:{m.end()}", k) for n, (k, (p, ok)) in enumerate(kinds.items()) for m in re.finditer(p, text) if ok(m[0])]
+    return sorted(found)
+
+
+def test_personal_data_matches_the_patterns(documents, texts, nothing):
+    kinds = personal_data.BASE_KINDS
+    outputs = (*(f"n_{k}" for k in kinds), "base_sha256", "spans", "redacted")
+    found = personal_data.find_personal_data(documents, outputs=outputs).collect()
+
+    def expected(i, text):
+        spans = base_spans(text or "")
+        digest = hashlib.sha256(",".join(s[2] for s in spans).encode()).hexdigest()
+        return i, *(sum(s[3] == k for s in spans) for k in kinds), digest
+
+    assert Counter((r.doc_id, *(r[f"n_{k}"] for k in kinds), r.base_sha256) for r in found) == Counter(
+        expected(i, t) for i, t, _ in texts
+    )
+    for r in found:
+        assert (r.redacted is None) == (r.text is None)
+        if not r.spans:
+            assert r.redacted == r.text
+    assert personal_data.find_personal_data(nothing).count() == 0
+
+
+def test_anchors_on_random_characters():
+    rng, automaton = random.Random(3), personal_data.anchors()
+    for _ in range(3000):
+        text = "".join(rng.choice("ab 1.@+-\n9é,|5 4") for _ in range(rng.randrange(120)))
+        got = [f"{k}:{a}:{b}" for a, b, k in personal_data.spans_of(text, automaton) if k in personal_data.BASE_KINDS]
+        assert got == [s[2] for s in base_spans(text)], text
+    text = 'token = "abc12345xyz" see http://bob:pw@h.com/x?y and @handle_1 account no: AB12-99'
+    spans = personal_data.spans_of(text, automaton)
+    assert personal_data.redacted(text, spans) == 'token = "<SECRET>" see <URL> and <ACCOUNT> account no: <ACCOUNT>'
+
+
+def test_mix_keeps_to_its_targets(spark, documents, texts, nothing):
+    found = mixing.mix_sources(documents, block=8).collect()
+    again = mixing.mix_sources(documents.repartition(7), block=8).collect()
+    assert Counter(map(tuple, found)) == Counter(map(tuple, again))
+    sizes = Counter()
+    for _, t, s in texts:
+        sizes[s] += len(WORD.findall(t or ""))
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: i % 3 + 1 for i, s in enumerate(order)}
+    target, free, left = {}, set(order), float(sum(sizes.values()))
+    while free:  # cut off what is above its limit, until nothing is
+        share = left / sum(weight[s] for s in free)
+        above = {s for s in free if weight[s] * share > 3 * sizes[s]}
+        if not above:
+            target.update({s: weight[s] * share for s in free})
+            break
+        target.update({s: 3.0 * sizes[s] for s in above})
+        left -= sum(3 * sizes[s] for s in above)
+        free -= above
+    taken = Counter()
+    for r in found:
+        assert r.source_size == sizes[r.source] and abs(r.target - target[r.source]) < 1e-6 * (1 + r.target)
+        assert 0 <= r.taken <= 3 * r.size
+        taken[r.source] += r.taken
+    for s in order:
+        assert abs(taken[s] - target[s]) <= 0.03 * target[s] + 16
+    assert Counter((r.doc_id, r.size) for r in found) == Counter((i, len(WORD.findall(t or ""))) for i, t, _ in texts)
+    assert mixing.mix_sources(nothing).count() == 0
+    mixed = mixing.mixed_documents(documents)
+    assert mixed.columns == documents.columns and mixed.count() > 0
+    assert mixing.mixed_documents(nothing).count() == 0
+
+
+def test_permutations_are_permutations():
+    for size in (1, 2, 3, 5, 64, 65, 1000, 4097):
+        image = mixing.permuted(np.arange(size), np.full(size, size), np.full(size, 12345, np.uint64))
+        assert sorted(image.tolist()) == list(range(size))
+
+
+def test_settled_draws_meet_their_quotas():
+    rng = np.random.default_rng(0)
+    for _ in range(50):
+        quotas = rng.integers(0, 500, 6)
+        draws = mixing.settled(mixing.shard_draws(quotas, 9, 1), quotas)
+        assert (draws >= 0).all() and (draws.sum(axis=0) == quotas).all()
+
+
+def test_quality_on_held_out_labels(spark):
+    """Labels of odd documents are hidden from the fit."""
+    sf = SMALL.replace("0.001", "0.1")
+    documents, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    weighed = quality.weigh_quality(documents, labels.where("doc_id % 2 = 0"))
+    rates = {
+        (r.quality, r.toxic): r.rate
+        for r in weighed.join(labels.where("doc_id % 2 = 1"), "doc_id").groupBy("quality", "toxic").agg(F.avg(F.col("kept").cast("int")).alias("rate")).collect()
+    }
+    assert rates[1, 0] > 0.98
+    assert rates[0, 0] < 0.1
+
+
+def test_the_kth_largest_is_exact(spark):
+    rng = random.Random(2)
+    places = [rng.randrange(1 << 54) for _ in range(400)] + [7] * 5
+    df = spark.createDataFrame([(p,) for p in places], "place long")
+    for k in (1, 2, 200, 399, 403, 405):
+        assert quality.kth_largest(df, "place", k) == sorted(places, reverse=True)[k - 1]
+
+
+def test_quality_of_odd_rows(spark, documents, nothing, texts):
+    labels = spark.createDataFrame(
+        [(10_000 + i, 1, 0) for i in range(40)] + [(10_062, 0, 1), (None, 1, 0), (10_000, 1, None)],
+        "doc_id long, quality int, toxic int",
+    )
+    for known in (labels, labels.where("false")):
+        found = quality.weigh_quality(documents, known).collect()
+        assert Counter(r.doc_id for r in found) == Counter(i for i, _, _ in texts)
+        assert not any(r.kept for r in found if r.form is None)
+        assert quality.keep_quality(documents, known).columns == documents.columns
+    assert all(r.kept for r in found if r.form is not None)
+    assert quality.weigh_quality(nothing, labels).count() == 0
+
+
+def test_nearest_of_odd_vectors(spark):
+    rng = np.random.default_rng(5)
+    vectors = [(i, rng.standard_normal(12).round(2).tolist()) for i in range(300)]
+    vectors += [(300 + i, vectors[i][1]) for i in range(20)]  # ties
+    odd = [(400, None), (500, [0.0] * 12), (600, [float("nan")] * 12), (700, [None] * 12), (800, [float("inf")] * 12), (None, [1.0] * 12)]
+    df = spark.createDataFrame(vectors + odd, "vec_id long, embedding array<float>").withColumn("id", F.lit("clash"))
+    exact = {i: np.array(v, np.float32).astype(float) for i, v in vectors}
+    got = defaultdict(list)
+    for r in nearest.nearest(df, df.where("vec_id % 50 = 0"), k=7).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.rank, r.id, round(r.score, 9)))
+    assert set(got) == {0, 50, 100, 150, 200, 250, 300}
+    for q, rows in got.items():
+        every = sorted((float(np.sqrt(((v - exact[q]) ** 2).sum())), i) for i, v in exact.items() if i != q)
+        assert rows == [(n + 1, i, round(d, 9)) for n, (d, i) in enumerate(every[:7])]
+    few = df.where("vec_id < 4")
+    assert nearest.nearest(few, few.where("vec_id = 0")).count() == 3
+    assert nearest.nearest(df.where("false"), df).count() == 0
+    assert nearest.nearest(df, df.where("false")).count() == 0
+
+
+@pytest.fixture(scope="module")
+def reference_encoding():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(VOCABULARY, "rb"))}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_ids_equal_those_of_the_library(documents, texts, nothing, reference_encoding):
+    outputs = ("ids", "n_tokens", "ids_sha256", "decoded_sha256")
+    encoded = byte_bpe.encode_texts(documents, VOCABULARY, public_tokenizers.PATTERN, outputs=outputs)
+    for r in encoded.collect():
+        assert r.ids == reference_encoding.encode_ordinary(r.text or "")
+        assert r.n_tokens == len(r.ids)
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, r.ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
+    decoded = byte_bpe.decode_ids(encoded.withColumnRenamed("text", "was"), VOCABULARY)
+    assert decoded.where("text <> coalesce(was, '')").count() == 0
+    assert byte_bpe.encode_texts(nothing, VOCABULARY, public_tokenizers.PATTERN).count() == 0
+
+
+def test_random_pieces_and_chunks(reference_encoding):
+    rng = random.Random(8)
+    transducer = byte_bpe.MergeTransducer(byte_bpe.read_ranks(VOCABULARY))
+    split = byte_bpe.splitter(public_tokenizers.PATTERN)
+    known = byte_bpe.PieceIds(transducer)
+    for _ in range(400):
+        kinds = [range(32, 127), range(0x80, 0x800), range(0x1F300, 0x1F600), range(0, 33), range(0x4E00, 0x9000), b"ab"]
+        text = "".join(chr(rng.choice(rng.choice(kinds[: rng.randrange(1, 7)]))) for _ in range(rng.randrange(200)))
+        ids = [i for piece in split(text) for i in known[piece]]
+        assert ids == reference_encoding.encode_ordinary(text)
+        assert "".join(byte_bpe.decoded(ids, transducer.tokens, rng.randrange(1, 9))) == text
+
+
+def test_the_decoder_on_broken_bytes():
+    rng = random.Random(9)
+    tokens = {i: bytes([i]) for i in range(256)}
+    for _ in range(3000):
+        data = bytes(rng.choice((0x41, 0xC3, 0xA9, 0xE2, 0x82, 0xAC, 0xF0, 0x9F, 0x99, 0x82, 0xED, 0xFF, 0xC0)) for _ in range(rng.randrange(14)))
+        assert "".join(byte_bpe.decoded(list(data), tokens, rng.randrange(1, 4))) == data.decode("utf-8", "replace")
