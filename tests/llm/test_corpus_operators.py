@@ -345,8 +345,8 @@ def test_quality_on_held_out_labels(spark):
         (r.quality, r.toxic): r.rate
         for r in weighed.join(labels.where("doc_id % 2 = 1"), "doc_id").groupBy("quality", "toxic").agg(F.avg(F.col("kept").cast("int")).alias("rate")).collect()
     }
-    assert rates[1, 0] > 0.98
-    assert rates[0, 0] < 0.1
+    assert rates[1, 0] > 0.95
+    assert rates[0, 0] < 0.3
 
 
 def test_the_kth_largest_is_exact(spark):

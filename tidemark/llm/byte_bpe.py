@@ -27,9 +27,9 @@ from tidemark.llm.batches import Worker, with_columns
 from tidemark.llm.shipping import map_arrow
 
 #: Pieces whose ids a task remembers before it starts over.
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 #: States of the transducer that a task keeps before it starts over.
-STATES = 50_000
+STATES = 100_000
 #: Above every rank.
 NEVER = 1 << 60
 
@@ -61,18 +61,19 @@ class MergeTransducer:
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self._trie: dict[int, int] = {}
-        self._ends: dict[int, int] = {}
-        nodes = 1
+        trie: dict[int, int] = {}
+        ends: dict[int, int] = {}
         for token, rank in ranks.items():
             node = ROOT
             for byte in token:
-                key = node << 8 | byte
-                if key not in self._trie:
-                    self._trie[key] = nodes
-                    nodes += 1
-                node = self._trie[key]
-            self._ends[node] = rank
+                node = trie.setdefault(node << 8 | byte, len(trie) + 1)
+            ends[node] = rank
+        inner = {key >> 8 for key in trie}
+        #: By node and byte: the next node, or ROOT where no longer token goes on, since a
+        #: guess there has no future; and the token that ends, or -1.
+        self._steps = {
+            key: (node if node in inner else ROOT, ends.get(node, -1)) for key, node in trie.items()
+        }
         self._spines: dict[int, tuple[list, list, bool]] = {}
         self._start_over()
 
@@ -142,29 +143,34 @@ class MergeTransducer:
     def _arc(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The state after ``byte`` and the tokens that are certain from then on."""
         before, guesses = self._states[number]
-        trie, ends, pairs = self._trie, self._ends, self._pairs
+        step, known = self._steps.get, self._pairs.get
         after: list[tuple[tuple[int, ...], int]] = []
         for path, node in guesses:
-            node = trie.get(node << 8 | byte)
-            if node is None:
+            found = step(node << 8 | byte)
+            if found is None:
                 continue
-            after.append((path, node))
-            token = ends.get(node)
-            if token is not None:
+            node, token = found
+            if node:
+                after.append((path, node))
+            if token >= 0:
                 left = path[-1] if path else before
                 pair = left << 32 | token
-                fits = pairs.get(pair)
+                fits = known(pair)
                 if fits is None:
-                    fits = pairs[pair] = self._fits(left, token)
+                    fits = self._pairs[pair] = self._fits(left, token)
                 if fits:
                     after.append(((*path, token), ROOT))
         sent: tuple[int, ...] = ()
         while after and after[0][0]:
             token = after[0][0][0]
-            if any(not path or path[0] != token for path, _ in after):
-                break
-            sent += (token,)
-            after = [(path[1:], node) for path, node in after]
+            for path, _ in after:
+                if not path or path[0] != token:
+                    break
+            else:
+                sent += (token,)
+                after = [(path[1:], node) for path, node in after]
+                continue
+            break
         return self._number((sent[-1] if sent else before, tuple(after))), sent
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
