@@ -27,9 +27,9 @@ from tidemark.llm.batches import Worker, with_columns
 from tidemark.llm.shipping import map_arrow
 
 #: Pieces whose ids a task remembers before it starts over.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 #: States of the transducer that a task keeps before it starts over.
-STATES = 100_000
+STATES = 50_000
 #: Above every rank.
 NEVER = 1 << 60
 
