@@ -47,6 +47,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         public_tokenizers.path(VOCABULARY),
         public_tokenizers.PATTERN,
         outputs=("ids", "n_tokens", "ids_sha256", "decoded_sha256"),
+        kept=100_000,  # the stages before have filled the executors' heaps
     ).drop("text")
 
 

@@ -26,10 +26,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from tidemark.llm.batches import Worker, with_columns
 from tidemark.llm.shipping import map_arrow
 
-#: Pieces whose ids a task remembers before it starts over.
-REMEMBERED = 150_000
-#: States of the transducer that a task keeps before it starts over.
-STATES = 50_000
+#: Pieces with ids, and states of the transducer, that a worker keeps before it starts over.
+KEPT = 250_000
 #: Above every rank.
 NEVER = 1 << 60
 
@@ -58,8 +56,8 @@ def merge_bytes(data: bytes, ranks: dict[bytes, int]) -> list[int]:
 class MergeTransducer:
     """Encodes pieces of bytes; its states and arcs appear as they are needed."""
 
-    def __init__(self, ranks: dict[bytes, int]) -> None:
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], most: int = KEPT) -> None:
+        self.ranks, self._most = ranks, most
         self.tokens = {rank: token for token, rank in ranks.items()}
         trie: dict[int, int] = {}
         ends: dict[int, int] = {}
@@ -75,10 +73,22 @@ class MergeTransducer:
             key: (node if node in inner else ROOT, ends.get(node, -1)) for key, node in trie.items()
         }
         self._spines: dict[int, tuple[list, list, bool]] = {}
+        #: By inner node: the first byte, and the lowest rank of a merge that uses this
+        #: byte up in one of the tokens below.
+        self._openings: dict[int, tuple[bytes, int]] = {}
+        for token, rank in ranks.items():
+            _, first, exact = self._spine(rank)
+            if exact:
+                byte_used, node = first[0][1], ROOT
+                for byte in token[:-1]:
+                    node = self._steps[node << 8 | byte][0]
+                    if byte_used < self._openings.get(node, (b"", NEVER + 1))[1]:
+                        self._openings[node] = token[:1], byte_used
         self._start_over()
 
     def _start_over(self) -> None:
         self._pairs: dict[int, bool] = {}
+        self._begins: dict[int, bool] = {}
         self._numbers: dict[tuple, int] = {}
         self._states: list[tuple] = []
         self._arcs: dict[int, tuple[int, tuple[int, ...]]] = {}
@@ -140,24 +150,48 @@ class MergeTransducer:
                 j += 1
         return False
 
+    def _can_begin(self, left: int, node: int) -> bool:
+        """Whether a token below ``node`` may follow ``left``.
+
+        None can if a merge of their first byte with the end of ``left`` comes before
+        every merge that uses the byte up inside them.
+        """
+        if node not in self._openings:
+            return False
+        byte, used = self._openings[node]
+        if left < 0:
+            return True
+        for part, part_used in self._spine(left)[0]:
+            across = self.ranks.get(part + byte, NEVER)
+            if across < part_used and across <= used and across != NEVER:
+                return False
+            if part_used > used or part_used == NEVER:
+                break
+        return True
+
     def _arc(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The state after ``byte`` and the tokens that are certain from then on."""
         before, guesses = self._states[number]
-        step, known = self._steps.get, self._pairs.get
+        step, known, begins = self._steps.get, self._pairs.get, self._begins.get
         after: list[tuple[tuple[int, ...], int]] = []
         for path, node in guesses:
             found = step(node << 8 | byte)
             if found is None:
                 continue
             node, token = found
+            left = (path[-1] if path else before) << 32
             if node:
-                after.append((path, node))
+                pair = left | node
+                open_ = begins(pair)
+                if open_ is None:
+                    open_ = self._begins[pair] = self._can_begin(left >> 32, node)
+                if open_:
+                    after.append((path, node))
             if token >= 0:
-                left = path[-1] if path else before
-                pair = left << 32 | token
+                pair = left | token
                 fits = known(pair)
                 if fits is None:
-                    fits = self._pairs[pair] = self._fits(left, token)
+                    fits = self._pairs[pair] = self._fits(left >> 32, token)
                 if fits:
                     after.append(((*path, token), ROOT))
         sent: tuple[int, ...] = ()
@@ -171,13 +205,17 @@ class MergeTransducer:
                 after = [(path[1:], node) for path, node in after]
                 continue
             break
-        return self._number((sent[-1] if sent else before, tuple(after))), sent
+        if sent:
+            before = sent[-1]
+        if all(path for path, _ in after):
+            before = -1  # every guess brings its own left neighbour
+        return self._number((before, tuple(after))), sent
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
         """Ids of one piece; a piece that is a token is that token."""
         if (whole := self.ranks.get(piece)) is not None:
             return (whole,)
-        if len(self._states) > STATES:
+        if len(self._states) > self._most:
             self._start_over()
         number, sent, arcs = self._start, [], self._arcs
         for byte in piece:
@@ -197,12 +235,12 @@ class MergeTransducer:
 class PieceIds(dict):
     """Ids by piece of text, made by the transducer when missing."""
 
-    def __init__(self, transducer: MergeTransducer) -> None:
+    def __init__(self, transducer: MergeTransducer, most: int = KEPT) -> None:
         super().__init__()
-        self._encode = transducer.encode
+        self._encode, self._most = transducer.encode, most
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        if len(self) >= REMEMBERED:
+        if len(self) >= self._most:
             self.clear()
         ids = self[piece] = self._encode(piece.encode())
         return ids
@@ -301,14 +339,14 @@ _FIELDS = {
 
 
 @lru_cache(maxsize=1)
-def _piece_ids(vocabulary: str) -> tuple[PieceIds, dict[int, bytes]]:
+def _piece_ids(vocabulary: str, most: int) -> tuple[PieceIds, dict[int, bytes]]:
     """Kept from task to task of a worker process; what it remembers changes no result."""
-    transducer = MergeTransducer(read_ranks(vocabulary))
-    return PieceIds(transducer), transducer.tokens
+    transducer = MergeTransducer(read_ranks(vocabulary), most)
+    return PieceIds(transducer, most), transducer.tokens
 
 
-def _encoder(vocabulary: str, pattern: str, outputs: tuple[str, ...]) -> Worker:
-    ids_of, tokens = _piece_ids(vocabulary)
+def _encoder(vocabulary: str, pattern: str, outputs: tuple[str, ...], most: int) -> Worker:
+    ids_of, tokens = _piece_ids(vocabulary, most)
     known = ids_of.__getitem__
     digits = {token: str(token) for token in tokens}.__getitem__
     pieces = splitter(pattern)
@@ -346,6 +384,7 @@ def encode_texts(
     pattern: str,
     text: str = "text",
     outputs: tuple[str, ...] = ("ids", "n_tokens"),
+    kept: int = KEPT,
 ) -> DataFrame:
     """``df`` with the ids of each text and what else of ``outputs`` is asked for.
 
@@ -354,9 +393,10 @@ def encode_texts(
     n_tokens, ids_sha256 (decimal ids joined by commas) and decoded_sha256 (what the
     decoder makes of the ids). Null and empty texts have no ids; rows that repeat are
     encoded each; an empty table stays empty. Columns with the names of outputs give way.
+    ``kept`` bounds a worker's memory, about 1 KB each, and changes no result.
     """
     fields = [StructField(name, _FIELDS[name][0]) for name in outputs]
-    return with_columns(df, text, fields, partial(_encoder, vocabulary, pattern, outputs))
+    return with_columns(df, text, fields, partial(_encoder, vocabulary, pattern, outputs, kept))
 
 
 def _decoder(vocabulary: str) -> Worker:
