@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import plan_of, rows
+from tidemark.operators.evolve import as_stored
 from tidemark import names as N
 from tidemark.operators import align, merged_schema
 from tidemark.sources import (
@@ -267,3 +268,10 @@ def test_json_lines_and_broken_files(spark, tmp_path):
     broken.write_text('[{"id": "a"}, {"id": ')
     with pytest.raises(Exception, match="(?i)malformed"):
         read_json_snapshot(spark, str(broken), "id string").collect()
+
+
+def test_stored_types_hold_where_nothing_is_lost():
+    stored = T.StructType.fromDDL("share double, code string, n bigint")
+    arriving = T.StructType.fromDDL("code bigint, fresh bigint, n double, share bigint")
+    fitted = as_stored(arriving, stored)
+    assert fitted == T.StructType.fromDDL("code string, fresh bigint, n double, share double")

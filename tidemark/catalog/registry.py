@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,10 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class StagedClock:
-    """A clock that stands still until it is set: results do not depend on today."""
+    """A clock that goes on by ``step`` with each look, or stands still until it is set:
+    results do not depend on today."""
 
-    def __init__(self, at: datetime) -> None:
-        self.at = at
+    def __init__(self, at: datetime, step: timedelta = timedelta(0)) -> None:
+        self.at, self.step = at, step
 
     def __call__(self) -> datetime:
+        self.at += self.step
         return self.at

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from contextlib import suppress
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,9 +18,10 @@ from tidemark.catalog.scenarios import (
     run_snapshots,
     snapshots,
     without_root,
+    write_json_arrays,
 )
 from tidemark.operators import RunContext, latest_per_key, lineage
-from tidemark.plans import Layers, audited, ingest_record, ingest_snapshot, read_run_log
+from tidemark.plans import Layers, audited, ingest_record, ingest_snapshot, read_run_log, run_chain
 from tidemark.session import new_work_path
 from tidemark.sources import AppendTable, CurrentTable, HistoryTable
 from tidemark.streaming import follow_landing
@@ -67,12 +69,43 @@ def end_to_end_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _current(spark, run_snapshots(spark, sf_dir, "chain", files=True))
 
 
-@query(f"""
+STATE_SQL = f"""
 WITH {SNAPSHOTS_SQL}
 SELECT event_id, upper(event_type) AS event_type, upper(props) AS props, ts, user_id, value,
        hash_chave, hash_columns
 FROM versions WHERE age = 1
+"""
+
+
+@query(STATE_SQL)
+def same_second_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots of one second: the later ingested one holds the newest versions."""
+    days = SNAPSHOT_DAYS[:1] * len(SNAPSHOT_DAYS)
+    layers = run_snapshots(spark, sf_dir, "second", incremental=False, days=days)
+    return CurrentTable(spark, layers.current).read().drop(*N.RUN_COLUMNS)
+
+
+@query("""
+SELECT event_id, event_type, props, CAST(ts AS VARCHAR) AS ts, user_id, value
+FROM events WHERE ts < TIMESTAMP '2024-01-15'
+UNION
+SELECT event_id, event_type, props, CAST(ts AS VARCHAR), user_id, floor(value) FROM events
 """)
+def scan_json_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column of fractions that arrives with whole numbers only, without a schema."""
+    layers = Layers.under(new_work_path(spark, "drift"), "events")
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("string"))
+    early = events.filter(F.col("ts") < "2024-01-15")
+    whole = events.withColumn("value", F.floor("value"))
+    for number, snapshot in enumerate((early, whole)):
+        landed = write_json_arrays(snapshot, "event_id", f"{layers.stage}/{number}")
+        clock = StagedClock(SNAPSHOT_DAYS[number])
+        ingest_snapshot(spark, landed, layers, "event_id", clock)
+    history = HistoryTable(spark, layers.history).read()
+    return history.select("event_id", "event_type", "props", "ts", "user_id", "value")
+
+
+@query(STATE_SQL)
 def landing_stream_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same state when a file stream picks the snapshots up."""
     root = new_work_path(spark, "landing-stream")
@@ -94,37 +127,79 @@ def landing_stream_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CurrentTable(spark, layers.current).read().drop(*N.RUN_COLUMNS)
 
 
+def _timed_runs(spark: SparkSession, sf_dir: str) -> Layers:
+    layers = Layers.under(new_work_path(spark, "audit"), "events")
+    clock = StagedClock(SNAPSHOT_DAYS[0], timedelta(seconds=1))
+    run_chain(spark, [table(spark, sf_dir, "events")], layers, "event_id", clock)
+    return layers
+
+
 @query("""
-SELECT '/5-logs/1-bronze/events_20240105_100000' AS id_log_file_path,
-       'BRONZE_LOG_events' AS process_name, '2024-01-05 10:00:00' AS start_time_script,
-       '2024-01-05 10:00:00' AS end_time_script, '2024-01-05 10:00:00' AS start_create_session,
-       '2024-01-05 10:00:00' AS end_create_session, '/1-stage/events' AS input_path,
-       '/2-bronze/events' AS output_path, '2024-01-05 10:00:00' AS start_reading_file,
-       '2024-01-05 10:00:00' AS end_reading_file,
-       '2024-01-05 10:00:00' AS start_add_control_columns,
-       '2024-01-05 10:00:00' AS end_add_control_columns,
-       '2024-01-05 10:00:00' AS start_merge_delta, '2024-01-05 10:00:00' AS end_merge_delta,
-       CAST(count(*) AS VARCHAR) AS records_processed, 'SUCESSO' AS status, '' AS msg_erro
+SELECT '/5-logs/1-bronze/events_20240105_100001' AS id_log_file_path,
+       'BRONZE_LOG_events' AS process_name, '/1-stage/events' AS input_path,
+       '/2-bronze/events' AS output_path, CAST(count(*) AS VARCHAR) AS records_processed,
+       'SUCESSO' AS status, '' AS msg_erro,
+       '2024-01-05 10:00:01' AS start_time_script,
+       '2024-01-05 10:00:02' AS start_create_session,
+       '2024-01-05 10:00:03' AS end_create_session,
+       '2024-01-05 10:00:04' AS start_reading_file,
+       '2024-01-05 10:00:05' AS end_reading_file,
+       '2024-01-05 10:00:06' AS start_add_control_columns,
+       '2024-01-05 10:00:07' AS end_add_control_columns,
+       '2024-01-05 10:00:08' AS start_merge_delta,
+       '2024-01-05 10:00:09' AS end_merge_delta,
+       '2024-01-05 10:00:10' AS end_time_script
 FROM events
 """)
 def run_log_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layers = Layers.under(new_work_path(spark, "audit"), "events")
-    ingest_snapshot(
-        spark, table(spark, sf_dir, "events"), layers, "event_id", StagedClock(SNAPSHOT_DAYS[0])
-    )
+    """Every column of an ingest run; the clock goes on by a second with each look."""
+    layers = _timed_runs(spark, sf_dir)
     log = read_run_log(spark, layers.ingest_log)
     return log.withColumns(
         {c: without_root(layers, c) for c in (N.LOG_ID, "input_path", "output_path")}
     )
 
 
+@query("""
+SELECT '/5-logs/2-silver/events_20240105_100011' AS id_log_file_path,
+       'SILVER_LOG_events' AS process_name, '2024-01-05' AS date_run, 'SUCESSO' AS status,
+       'EXECUTADO COM SUCESSO' AS msg, '/2-bronze/events' AS input_path,
+       '/3-silver/events' AS output_path, CAST(count(*) AS VARCHAR) AS records_inserted,
+       '0' AS records_updated,
+       '2024-01-05 10:00:11' AS start_time_script,
+       '2024-01-05 10:00:12' AS start_bronze_reading,
+       '2024-01-05 10:00:13' AS end_bronze_reading,
+       '2024-01-05 10:00:14' AS start_filter_data,
+       '2024-01-05 10:00:15' AS end_filter_data,
+       '2024-01-05 10:00:16' AS start_filter_new_data,
+       '2024-01-05 10:00:17' AS end_filter_new_data,
+       '2024-01-05 10:00:18' AS start_transform_strings,
+       '2024-01-05 10:00:19' AS end_transform_strings,
+       '2024-01-05 10:00:20' AS start_add_column_log,
+       '2024-01-05 10:00:21' AS end_add_column_log,
+       '2024-01-05 10:00:22' AS start_update_delta_silver,
+       '2024-01-05 10:00:23' AS end_update_delta_silver,
+       '2024-01-05 10:00:24' AS end_time_script
+FROM events
+""")
+def refresh_log_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column of a refresh run, with the same clock."""
+    layers = _timed_runs(spark, sf_dir)
+    log = read_run_log(spark, layers.refresh_log)
+    return log.withColumns(
+        {c: without_root(layers, c) for c in (N.LOG_ID, "input_path", "output_path")}
+    )
+
+
 @query("""
 SELECT 1 AS run, 'SUCESSO' AS status, CAST(count(*) AS VARCHAR) AS records_processed,
        '' AS msg_erro FROM orders
 UNION ALL
 SELECT 2, 'IGNORADO', '0', 'there already is a table at /2-bronze/events'
 UNION ALL
-SELECT 3, 'ERRO', '0', 'snapshot has no column [''o_customer'']' FROM orders HAVING count(*) > 0
+SELECT 3, 'ERRO', '0', 'snapshot has no column [''o_customer'']; it has [''o_orderkey'', '
+       || '''o_custkey'', ''o_orderstatus'', ''o_totalprice'', ''o_orderdate'', ''o_orderpriority'']'
+FROM orders HAVING count(*) > 0
 """)
 def run_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run that succeeds, one that finds its work done, and one that fails."""
@@ -143,8 +218,7 @@ def run_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
         run_number.alias("run"),
         "status",
         "records_processed",
-        # Only the beginning: the list of the columns there are follows.
-        F.split_part(without_root(layers, "msg_erro"), F.lit(";"), F.lit(1)).alias("msg_erro"),
+        without_root(layers, "msg_erro"),
     )
 
 

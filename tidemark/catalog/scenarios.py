@@ -42,27 +42,40 @@ def snapshots(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     ]
 
 
+def write_json_arrays(df: DataFrame, unique_id: str, path: str, per_array: int = 1000) -> str:
+    """Land ``df`` as files that each hold one JSON array of near ``per_array`` rows."""
+    arrays = df.count() // per_array + 1
+    packed = df.groupBy(F.pmod(F.xxhash64(unique_id), F.lit(arrays)).alias("slice")).agg(
+        F.to_json(F.collect_list(F.struct(*df.columns))).alias("value")
+    )
+    packed.write.option("maxRecordsPerFile", 1).partitionBy("slice").text(path)
+    return f"{path}/slice=*"
+
+
 def run_snapshots(
-    spark: SparkSession, sf_dir: str, label: str, incremental: bool = True, files: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    label: str,
+    incremental: bool = True,
+    files: bool = False,
+    days: tuple[datetime, ...] = SNAPSHOT_DAYS,
 ) -> Layers:
-    """Run the chain over the three snapshots, from frames or from JSON files."""
+    """Run the chain over the three snapshots, from frames or from files of JSON arrays."""
     root = new_work_path(spark, label)
     layers = Layers.under(root, "events")
-    clock = StagedClock(SNAPSHOT_DAYS[0])
+    clock = StagedClock(days[0])
 
     def arriving() -> Iterator[DataFrame | str]:
         for number, (day, snapshot) in enumerate(
-            zip(SNAPSHOT_DAYS, snapshots(spark, sf_dir), strict=True)
+            zip(days, snapshots(spark, sf_dir), strict=True)
         ):
             clock.at = day
             if files:
-                path = f"{layers.stage}/{number}"
-                snapshot.write.json(path)
-                yield path
+                yield write_json_arrays(snapshot, "event_id", f"{layers.stage}/{number}")
             else:
                 yield snapshot
 
-    options = {"schema": SNAPSHOT_SCHEMA, "multi_line": False} if files else {}
+    options = {"schema": SNAPSHOT_SCHEMA} if files else {}
     run_chain(spark, arriving(), layers, SNAPSHOT_KEYS, clock, incremental, **options)
     return layers
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import names as N
 from tidemark.catalog.registry import query, table
+from tidemark.catalog.scenarios import write_json_arrays
 from tidemark.functions import fingerprint
 from tidemark.session import new_work_path
 from tidemark.sources import (
@@ -18,21 +19,6 @@ from tidemark.sources import (
 )
 
 
-def write_json_arrays(df: DataFrame, dense_id: str, path: str, per_array: int = 1000) -> None:
-    """Land ``df`` as files that each hold one indented-free JSON array.
-
-    A dense id bounds the rows of an array, and one array goes into each file.
-    """
-    packed = df.groupBy(F.floor(F.col(dense_id) / per_array).alias("slice")).agg(
-        F.to_json(F.collect_list(F.struct(*df.columns))).alias("value")
-    )
-    (
-        packed.write.option("maxRecordsPerFile", 1)
-        .partitionBy("slice")
-        .text(path)
-    )
-
-
 @query("""
 SELECT event_id, event_type, props, CAST(ts AS VARCHAR) AS ts, user_id, value FROM events
 """)
@@ -40,9 +26,9 @@ def scan_json_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_work_path(spark, "landing")
     events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("string"))
     nested = events.withColumn("roi", F.struct(F.col("value").alias("times")))
-    write_json_arrays(nested, "event_id", path)
+    landed = write_json_arrays(nested, "event_id", path)
     schema = "event_id bigint, event_type string, props string, ts string, user_id bigint, value double"
-    return read_json_snapshot(spark, f"{path}/slice=*", schema)
+    return read_json_snapshot(spark, landed, schema)
 
 
 @query("""
@@ -54,8 +40,8 @@ def scan_json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_work_path(spark, "landing")
     customers = table(spark, sf_dir, "customer")
     nested = customers.withColumn("roi", F.struct(F.col("c_acctbal").alias("times")))
-    write_json_arrays(nested, "c_custkey", path)
-    return read_json_snapshot(spark, f"{path}/slice=*", drop=("roi",))
+    landed = write_json_arrays(nested, "c_custkey", path)
+    return read_json_snapshot(spark, landed, drop=("roi",))
 
 
 @query("SELECT * FROM orders")

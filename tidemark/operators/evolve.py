@@ -33,6 +33,24 @@ def merged_schema(stored: T.StructType, incoming: T.StructType) -> T.StructType:
     )
 
 
+def as_stored(incoming: T.StructType, stored: T.StructType) -> T.StructType:
+    """The incoming fields, those that the stored type holds without loss under that type.
+
+    Whole numbers fit a stored double, and everything a stored string. A column without
+    any value is inferred as a string; it fits every type. Other changes stay as they are.
+    """
+    types = {f.name: f.dataType for f in stored.fields}
+
+    def fitted(field: T.StructField) -> T.DataType:
+        wanted = types.get(field.name, field.dataType)
+        widens = isinstance(field.dataType, T.LongType) and isinstance(wanted, T.DoubleType)
+        text = isinstance(wanted, T.StringType) and isinstance(field.dataType, T.AtomicType)
+        empty = isinstance(field.dataType, (T.StringType, T.NullType))
+        return wanted if widens or text or empty else field.dataType
+
+    return T.StructType([T.StructField(f.name, fitted(f), True) for f in incoming.fields])
+
+
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     """``df`` with exactly the columns of ``schema``, absent ones as null."""
     have = set(df.columns)

@@ -66,7 +66,8 @@ def ingest_snapshot(
     """Add the new rows of one snapshot to the history; returns the log row.
 
     ``source`` is a path of JSON files, several paths, or a frame; columns named in
-    ``drop`` are left out. It is computed once: a first load writes it to the table, a
+    ``drop`` are left out. Files without a ``schema`` are read with the types that the
+    history has, where these hold the values. The source is computed once: a first load writes it to the table, a
     merge to the shared work folder, from where its digests and rows are read.
     """
     run = RunContext(layers.process, layers.ingest_log, clock)
@@ -83,8 +84,9 @@ def ingest_snapshot(
             if is_frame:
                 snapshot = source.drop(*drop)
             else:
+                stored = history.schema() if schema is None else None
                 snapshot = read_json_snapshot(
-                    spark, source, schema, multi_line, drop, provenance=source_name is None
+                    spark, source, schema, multi_line, drop, source_name is None, stored
                 )
         with record.step("add_control_columns"):
             named = N.SOURCE_NAME in snapshot.columns and source_name is None

@@ -99,10 +99,10 @@ def audited(
 
 
 def read_run_log(spark: SparkSession, log_path: str) -> DataFrame | None:
-    """All runs of one log, None before the first; a file per run."""
+    """All runs of one log, None before the first; a file per run, all of one schema."""
     if not path_exists(spark, log_path):
         return None
-    return spark.read.option("mergeSchema", True).parquet(log_path)
+    return spark.read.option("mergeSchema", False).parquet(log_path)
 
 
 def typed_run_log(log: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import names as N
+from tidemark.operators.evolve import as_stored
 
 
 def read_json_snapshot(
@@ -18,6 +19,7 @@ def read_json_snapshot(
     multi_line: bool = True,
     drop: Sequence[str] = N.DROPPED_ON_READ,
     provenance: bool = False,
+    stored: T.StructType | None = None,
 ) -> DataFrame:
     """Snapshot file, or files, as a frame.
 
@@ -27,13 +29,19 @@ def read_json_snapshot(
     reads the data an extra time, and a column that is integral in one snapshot
     and fractional in another changes its type and so every row digest.
     A file that does not parse fails the read. ``provenance`` adds the file each
-    row came from as the source-name column.
+    row came from as the source-name column. Without a schema, ``stored`` gives the types
+    of columns that an earlier snapshot has fixed, where these hold the new values
+    without loss; a string column whose values do not parse as such fails the read.
     """
     reader = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST")
     if schema is not None:
         reader = reader.schema(schema)
     paths = [path] if isinstance(path, str) else list(path)
     df = reader.json(paths)
+    if schema is None and stored is not None:
+        fitted = as_stored(df.schema, stored)
+        if fitted != df.schema:
+            df = reader.schema(fitted).json(paths)
     kept = [c for c in df.columns if c not in drop]
     columns = [F.col(f"`{c}`") for c in kept]
     if provenance:

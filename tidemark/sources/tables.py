@@ -146,6 +146,11 @@ class StoredTable:
     def exists(self) -> bool:
         return bool(self._numbers())
 
+    def schema(self) -> T.StructType | None:
+        """Columns and types without a job; none where there is no table."""
+        last = self.last_release()
+        return None if last is None else _schema_of(last)
+
     def find(self) -> DataFrame | None:
         """The table, or None where there is none yet."""
         last = self.last_release()
