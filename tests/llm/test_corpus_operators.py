@@ -322,6 +322,31 @@ def test_mix_keeps_to_its_targets(spark, documents, texts, nothing):
     assert mixing.mixed_documents(nothing).count() == 0
 
 
+def test_long_documents_stay_in_proportion(spark):
+    """Sources at 0.1, 0.4 and 1.3 times their size, all of texts of many blocks."""
+    rng = random.Random(11)
+    many = {0: 1200, 1: 600, 2: 277, **{i: 165 for i in range(3, 21)}}
+    rows = [
+        (1000 * s + i, " ".join(["w"] * rng.choice((300, 600))) + f" {i}", f"s{s:02}") for s, n in many.items() for i in range(n)
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    words = F.regexp_count("text", F.lit(mixing.WORD)).cast("long")
+    sizes = df.groupBy("source").agg(F.sum(words).alias("source_size"))
+    target = {r.source: (r.target, r.source_size) for r in mixing.targets(sizes).collect()}
+    copies = mixing.mixed_documents(df).groupBy("doc_id", "source").agg(F.count("*").alias("n"), F.first(words).alias("size")).collect()
+    assert max(r.n for r in copies) <= mixing.MOST_PASSES
+    for s, ratio in (("s00", 0.1), ("s01", 0.4), ("s02", 1.3)):
+        goal, size = target[s]
+        assert abs(goal / size - ratio) < 0.05
+        mine = [r for r in copies if r.source == s]
+        assert abs(sum(r.n * r.size for r in mine) / goal - 1) < 0.2
+        for kind in (301, 601):
+            whole = sum(1 for i, t, own in rows if own == s and len(t.split()) == kind)
+            assert abs(sum(r.n for r in mine if r.size == kind) / (ratio * whole) - 1) < 0.35
+    everything = sum(size for _, size in target.values())
+    assert abs(sum(r.n * r.size for r in copies) / everything - 1) < 0.04
+
+
 def test_permutations_are_permutations():
     for size in (1, 2, 3, 5, 64, 65, 1000, 4097):
         image = mixing.permuted(np.arange(size), np.full(size, size), np.full(size, 12345, np.uint64))

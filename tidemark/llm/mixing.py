@@ -27,6 +27,10 @@ STRANDS = 1024
 #: No source is passed more often than this.
 MOST_PASSES = 3
 SEED = 20_240_229
+#: A whole copy of a text, in the units in which copies are added up.
+ONE = 1 << 20
+#: Parts of a size class whose texts are put in order together.
+PARTS = 16
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -257,32 +261,74 @@ def mix_sources(df: DataFrame, id_: str = "doc_id", **how) -> DataFrame:
     )
 
 
-def mixed_documents(df: DataFrame, id_: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
-    """The rows of ``df`` as often as the mix takes them: words taken over words, rounded.
-
-    Rows of equal id, source and size are repeated alike, by the mean of what is taken of
-    them. Rows without words are not taken.
+def mixed_documents(
+    df: DataFrame,
+    id_: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    seed: int = SEED,
+    **how,
+) -> DataFrame:
+    """The rows of ``df`` as often as the mix takes them: words taken over words, rounded
+    so that each source keeps its target whatever the length of its texts.
+
+    A source's texts stand in a row by size class; a text spans its mean number of copies
+    there, and has as many copies as grid points of distance one fall into its span
+    (systematic sampling). So a source is off by about one text, and so is each class.
+    Rows of equal id, source and size share a span; each takes the part that a hash of its
+    text picks, so only wholly equal rows are rounded alike. Rows without words are not taken.
     """
+    spark = df.sparkSession
+    kind, part = F.floor(8 * F.log2("mix_size")).cast("int"), F.pmod(F.xxhash64(F.lit(seed), "mix_id", "mix_size"), F.lit(PARTS))
     per_entry = (
-        mix_sources(df, id_, text=text, source=source, **how)
+        mix_sources(df, id_, text=text, source=source, seed=seed, **how)
         .groupBy(id_, "source", "size")
         .agg(F.sum("taken").alias("taken"), F.count("*").alias("rows"))
+        .where("taken > 0")
         .select(
             F.col(id_).alias("mix_id"),
             F.col("source").alias("mix_source"),
             F.col("size").alias("mix_size"),
-            F.floor(F.col("taken") / F.greatest(F.col("size") * F.col("rows"), F.lit(1)) + 0.5).cast("int").alias("times"),
+            "rows",
+            # Whole numbers, whose sums do not depend on their order.
+            F.round(F.col("taken") / (F.col("size") * F.col("rows")) * ONE).cast("long").alias("mean"),
+        )
+        .withColumns({"kind": kind, "part": part.cast("int")})
+    )
+    per_entry = written(per_entry, new_work_path(spark, "mix-copies"))
+    span = F.col("mean") * F.col("rows")
+    before = Window.partitionBy("s_source").orderBy("s_kind", "s_part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = (
+        per_entry.groupBy(F.col("mix_source").alias("s_source"), F.col("kind").alias("s_kind"), F.col("part").alias("s_part"))
+        .agg(F.sum(span).alias("part_span"))
+        .withColumn("part_first", F.coalesce(F.sum("part_span").over(before), F.lit(0)))
+    )
+    inside = (
+        Window.partitionBy("mix_source", "kind", "part")
+        .orderBy("mix_size", F.xxhash64(F.lit(seed), "mix_id"), "mix_id")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    grid = F.pmod(F.xxhash64(F.lit("copies"), F.lit(seed), "mix_source"), F.lit(ONE))
+    placed = (
+        per_entry.withColumn("inside", F.coalesce(F.sum(span).over(inside), F.lit(0)))
+        .join(
+            firsts,
+            F.col("mix_source").eqNullSafe(F.col("s_source"))
+            & (F.col("kind") == F.col("s_kind"))
+            & (F.col("part") == F.col("s_part")),
         )
-        .where(F.col("times") > 0)
+        .select("mix_id", "mix_source", "mix_size", "rows", "mean", (F.col("part_first") + F.col("inside") + grid).alias("first"))
     )
     size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
+    own = F.col("first") + F.pmod(F.xxhash64(df[text]), F.col("rows")) * F.col("mean")
+    times = F.floor((own + F.col("mean")) / ONE) - F.floor(own / ONE)
     return (
         df.join(
-            per_entry,
+            placed,
             F.col(id_).eqNullSafe(F.col("mix_id"))
             & F.col(source).eqNullSafe(F.col("mix_source"))
             & (size == F.col("mix_size")),
         )
-        .withColumn("mix_id", F.explode(F.array_repeat(F.lit(1), F.col("times"))))
+        .withColumn("mix_id", F.explode(F.array_repeat(F.lit(1), times.cast("int"))))
         .select(*(df[c] for c in df.columns))
     )
