@@ -289,6 +289,26 @@ def test_anchors_on_random_characters():
     assert personal_data.redacted(text, spans) == 'token = "<SECRET>" see <URL> and <ACCOUNT> account no: <ACCOUNT>'
 
 
+def test_accounts_in_groups_and_cues_in_any_case():
+    automaton = personal_data.anchors()
+    for text, expected in {
+        "IBAN: DE89 3704 0044 0532 0130 00 was used": "IBAN: <ACCOUNT> was used",
+        "iban DE89": "iban DE89",
+        "Iban: gb82-west-1234-5698-7654-32.": "Iban: <ACCOUNT>.",
+        "IBAN: DE89370400440532013000 2 items": "IBAN: <ACCOUNT> 2 items",
+        "account: 1234 5678 9012 and": "account: <ACCOUNT> and",
+        "account no: 12 34 56 78.": "account no: <ACCOUNT>.",
+        "SSN: 123-45-6789, born": "SSN: <ACCOUNT>, born",
+        "User ID: ab12cd": "User ID: <ACCOUNT>",
+        "UserID=u77731": "UserID=<ACCOUNT>",
+        "API Key: abc12345xyz": "API Key: <SECRET>",
+        "account: 1 2": "account: 1 2",
+    }.items():
+        assert personal_data.redacted(text, personal_data.spans_of(text, automaton)) == expected
+    text = "0" * 5000 + "1.2.3.4"
+    assert personal_data.spans_of(text, automaton) == [(0, len(text), "ip")]
+
+
 def test_mix_keeps_to_its_targets(spark, documents, texts, nothing):
     found = mixing.mix_sources(documents, block=8).collect()
     again = mixing.mix_sources(documents.repartition(7), block=8).collect()

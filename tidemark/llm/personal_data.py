@@ -47,6 +47,12 @@ SCHEME = re.compile(r"[a-z+.-]*[a-z]")
 LINK = re.compile(r"://[^\s/@:]+(?::[^\s/@]*)?@[^\s\"'<>]+")
 LABELLED = re.compile(r"[\x20\t]*(?:[:=#]|(?:no|number|is)\b\.?:?)[\x20\t]*[\"']?([A-Za-z0-9_+/=.-]{4,})")
 
+#: What goes on over single blanks and hyphens: the groups of an IBAN, or of digits.
+IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?:[\x20-]?[A-Za-z0-9]){11,30}")
+GROUPED = re.compile(r"[0-9]+(?:[\x20-][0-9]+)+(?![A-Za-z0-9_])")
+LABEL = re.compile(r"[\x20\t]*(?:[:=#]|(?:no|number|is)\b\.?:?)[\x20\t]*[\"']?", re.ASCII | re.IGNORECASE)
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+
 Span = tuple[int, int, str]
 
 
@@ -55,15 +61,39 @@ def luhn(digits: str) -> bool:
     return (sum(map(int, digits[-1::-2])) + sum(d // 10 + d % 10 for d in doubled)) % 10 == 0
 
 
+def iban_end(text: str, at: int) -> int:
+    """Where the IBAN that starts at ``at`` ends, or -1: the longest run of its letters and
+    digits, to the end of a group, whose check digits hold (mod 97)."""
+    match = IBAN.match(text, at)
+    end = match.end() if match else -1
+    while match and end > at:
+        number = text[at:end].replace(" ", "").replace("-", "").upper()
+        if len(number) < 15:
+            break
+        if not text[end : end + 1].isalnum() and int("".join(str(int(c, 36)) for c in number[4:] + number[:4])) % 97 == 1:
+            return end
+        end -= 1
+        while text[end - 1] in " -":
+            end -= 1
+    return -1
+
+
+def account_end(text: str, at: int) -> int:
+    """Where the account number that starts at ``at`` ends if it is in groups, or -1."""
+    end = iban_end(text, at)
+    if end < 0 and (match := GROUPED.match(text, at)) and sum(c in "0123456789" for c in match[0]) >= 4:
+        end = match.end()
+    return end
+
+
 def anchors() -> ahocorasick.Automaton:
-    """At-signs, schemes, plus signs, digits, and cues in lower, upper and title case."""
+    """At-signs, schemes, plus signs, digits, and cues, for texts in which A-Z are lowered."""
     found = ahocorasick.Automaton()
     for sign in ("@", "://", "+", *"0123456789"):
         found.add_word(sign, (sign, len(sign)))
     for kind, words in CUES.items():
         for word in words:
-            for form in {word, word.upper(), word.capitalize()}:
-                found.add_word(form, (kind, len(form)))
+            found.add_word(word, (kind, len(word)))
     found.make_automaton()
     return found
 
@@ -76,7 +106,7 @@ def spans_of(text: str, automaton: ahocorasick.Automaton) -> list[Span]:
     """All spans of ``text`` by start, then kind; offsets count code points."""
     found: list[Span] = []
     email_end = ip_end = digits_end = 0
-    for last, (sign, size) in automaton.iter(text):
+    for last, (sign, size) in automaton.iter(text.translate(LOWER)):
         at = last + 1 - size
         if sign == "@":
             if at < email_end:
@@ -113,9 +143,14 @@ def spans_of(text: str, automaton: ahocorasick.Automaton) -> list[Span]:
                 match = IP.match(text, at)
                 if match:
                     ip_end = match.end()
-                    if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in match[0].split(".")):
+                    if all(len(d := p.lstrip("0") or "0") <= 3 and int(d) <= 255 for p in match[0].split(".")):
                         found.append((at, ip_end, "ip"))
         elif not _word_before(text, at):
+            if sign == "account" and (label := LABEL.match(text, last + 1)):
+                end = account_end(text, label.end())
+                if end > 0:
+                    found.append((label.end(), end, sign))
+                    continue
             match = LABELLED.match(text, last + 1)
             value = match[1].rstrip(".") if match else ""
             if len(value) >= (8 if sign == "secret" else 4) and any(c in "0123456789" for c in value):
