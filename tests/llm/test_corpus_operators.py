@@ -104,6 +104,37 @@ def test_licence_places_match_brute_force(documents, texts, nothing):
     assert licences.scan_licences(nothing).count() == 0
 
 
+def test_stretched_notices_are_found_at_every_start(spark):
+    rng, rows = random.Random(6), []
+    for notice in list(licences.TEMPLATES)[1:3]:
+        for inserted in (5, 15, 40):
+            for offset in range(70):
+                words = notice.split()
+                for _ in range(inserted):
+                    words.insert(rng.randrange(1, len(words)), f"v{rng.randrange(9)}")
+                rows.append((len(rows), " ".join(["x"] * offset + words + ["y"] * 30)))
+
+    def expected(text):
+        words, labels, score = text.split(), set(), 0.0
+        for texts, share in ((licences.BASE_PHRASES, 100), (licences.TEMPLATES, licences.CONTAINMENT)):
+            for notice, label in texts.items():
+                own = set(notice.split())
+                if share == 100:
+                    size = len(notice.split())
+                    held = max(float(words[s : s + size] == notice.split()) for s in range(len(words)))
+                else:
+                    held = max(len(own.intersection(words[s : s + licences.WINDOW])) / len(own) for s in range(len(words)))
+                if 100 * held >= share:
+                    labels.add(label)
+                    score = max(score, held)
+        return ",".join(sorted(labels)), score
+
+    found = licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: (r.labels, r.score) for r in found.collect()}
+    assert got == {i: expected(t) for i, t in rows}
+    assert sum(labels != "" for labels, _ in got.values()) > 350
+
+
 def shingles(text):
     words = WORD.findall(lower(text or ""))
     if len(words) < 5:

@@ -1,6 +1,8 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-Blocks are overlapping windows of words, wide enough to hold any template whole. Tokens
+Blocks are windows of words, wide enough to hold any template whole: overlapping ones on
+a fixed grid for phrases whose words stand together, and for each notice the fullest of
+all windows of a text, wherever it starts. Tokens
 are ordered by how rare they are in all texts, so a block and a template that share
 enough must share one of their first tokens (prefix filter), at places that leave enough
 tokens behind them (positional filter), and the block must have enough tokens at all
@@ -98,19 +100,40 @@ def token_counts(df: DataFrame, text: str, templates: Templates) -> dict[str, in
     return {templates.vocabulary[r["token"]]: r["n"] for r in rows}
 
 
+def fullest(known: list[int], own: frozenset[int], need: int) -> int | None:
+    """The first start of a window that holds most of ``own``, or None below ``need``."""
+    places = [i for i, r in enumerate(known) if r in own]
+    inside: Counter = Counter()
+    best, most, end = None, need - 1, 0
+    for start in places:
+        while end < len(places) and places[end] < start + WINDOW:
+            inside[known[places[end]]] += 1
+            end += 1
+        if len(inside) > most:
+            best, most = start, len(inside)
+        inside[known[start]] -= 1
+        if not inside[known[start]]:
+            del inside[known[start]]
+    return best
+
+
 def blocks(df: DataFrame, id_: str, text: str, order: list[str], templates: Templates) -> DataFrame:
     """A row for each text: ``n_words``, and the windows that can match a template.
 
     A window is its first word's number and its words as ranks in ``order`` (rarest
-    first), -1 for words of no template. Windows without a word of a template's prefix
-    are left out, since they share too little with any.
+    first), -1 for words of no template. Of the grid, windows without a word of a phrase's
+    prefix are left out, since they hold no phrase. Of all other windows, the first that
+    holds most of a notice stays, if that is enough; it begins with a word of the notice.
     """
     ranks = {w.encode(): i for i, w in enumerate(order)}
     rank = {w: i for i, w in enumerate(order)}
-    prefix = set()
-    for words, _, need, _ in templates.rows:
+    prefix, wanted = set(), []
+    for words, _, need, base in templates.rows:
         own = sorted({rank[w] for w in words})
-        prefix.update(own[: len(own) - need + 1])
+        if base:
+            prefix.update(own[: len(own) - need + 1])
+        else:
+            wanted.append((frozenset(own), need))
     stride = templates.stride
     window = pa.struct([("first", pa.int32()), ("ranks", pa.list_(pa.int16()))])
 
@@ -122,6 +145,10 @@ def blocks(df: DataFrame, id_: str, text: str, order: list[str], templates: Temp
             for i in hits
             for k in range(max(0, (i - WINDOW) // stride + 1), i // stride + 1)
         }
+        present = set(known)
+        for own, need in wanted:
+            if len(own & present) >= need and (best := fullest(known, own, need)) is not None:
+                starts.add(best)
         return [{"first": s, "ranks": known[s : s + WINDOW]} for s in sorted(starts)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +218,7 @@ def matches(found: DataFrame, order: list[str], templates: Templates) -> DataFra
         candidates.join(F.broadcast(by_template), "template")
         .withColumn("shared", shared)
         .where(F.col("shared") >= F.col("need"))
-        .withColumn("places", F.when(F.col("base"), places))
+        .withColumn("places", F.when(F.col("base") & (F.col("first") % templates.stride == 0), places))
         .where(~F.col("base") | (F.size("places") > 0))
         .select(
             "id", "digest", "first", "label", "base", "places",
