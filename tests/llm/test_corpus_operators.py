@@ -218,6 +218,36 @@ def test_captures_of_odd_urls(spark):
     assert url_lists.filter_captures(captures.where("false"), entries).count() == 0
 
 
+def test_captures_by_time_and_deep_patterns(spark):
+    captures = spark.createDataFrame(
+        [
+            (1, "https://example.com/a/b/c?q=1#f", "2024-01-05 09:00:00"), (2, "https://example.com/a/b", "2024-01-05 19:00:00"),
+            (3, "http://day.com/x", "2024-01-05 07:00:00"), (4, "http://day.com/x", "2024-01-05 09:00:00"),
+            (5, "http://day.com/x", "2024-01-05 21:00:00"), (6, "http://www.Mixed.com:8080/Path/Two/", "2024-01-06 00:00:00"),
+            (7, "http://w.com/p?q=1", "2024-01-06 00:00:00"), (8, "http://w.com/p?q=2", "2024-01-06 00:00:00"),
+            (9, "http://again.com", "2024-01-05 12:00:00"), (10, "http://again.com", "2024-01-05 21:00:00"),
+            (11, "http://www.mixed.com/path/two", "2024-01-06 00:00:00"),
+        ],
+        "page_id long, url string, at string",
+    ).withColumn("fetched_on", F.col("at").cast("timestamp"))
+    entries = spark.createDataFrame(
+        [
+            ("example.com/a/b", "block", "2024-01-05 18:00:00"), ("example.com/a", "allow", "2024-01-01 00:00:00"),
+            ("day.com", "block", "2024-01-05 08:00:00"), ("day.com", "allow", "2024-01-05 20:00:00"),
+            ("WWW.Mixed.com/Path/Two", "block", "2024-01-01 00:00:00"), ("http://u@W.com:80/p?q=1", "allow", "2024-01-01 00:00:00"),
+            ("w.com/p/", "block", "2024-01-01 00:00:00"),
+            ("again.com", "remove", "2024-01-05 08:00:00"), ("again.com", "block", "2024-01-05 20:00:00"),
+        ],
+        "pattern string, action string, at string",
+    ).withColumn("listed_on", F.col("at").cast("timestamp"))
+    got = {r.page_id: (r.verdict, r.pattern) for r in url_lists.filter_captures(captures, entries).collect()}
+    assert got == {
+        1: ("allow", "example.com/a"), 2: ("block", "example.com/a/b"), 3: ("none", None), 4: ("block", "day.com"),
+        5: ("allow", "day.com"), 6: ("block", "www.mixed.com/Path/Two"), 7: ("allow", "w.com/p?q=1"),
+        8: ("block", "w.com/p"), 9: ("none", None), 10: ("block", "again.com"), 11: ("none", None),
+    }
+
+
 def test_repetition_matches_brute_force(documents, texts, nothing):
     def counts(text):
         text = text or ""

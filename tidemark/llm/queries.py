@@ -40,7 +40,7 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def url_history(pages: DataFrame) -> DataFrame:
     """A dated list for the hosts, parent domains and first paths that the pages have:
     three entries for each, whose dates and actions follow from the pattern's MD5."""
-    patterns = pages.select(F.explode(url_lists.patterns_of(F.col("url"))).alias("pattern")).distinct()
+    patterns = pages.select(F.explode(url_lists.patterns_of(F.col("url"), depth=1)).alias("pattern")).distinct()
     turn = patterns.select("pattern", F.explode(F.array(*map(F.lit, range(3)))).alias("turn"))
     digest = F.md5(F.concat_ws("#", "pattern", "turn"))
     day = F.conv(F.substring(digest, 1, 6), 16, 10).cast("int") % 400

@@ -8,45 +8,74 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 from pyspark.sql.window import Window
 
 #: Later than any date.
 OPEN = "9999-12-31"
 
 
+_SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*://"
+_USER = "(?:[^/?#@]*@)?"
+
+
+def normal(pattern: Column) -> Column:
+    """A listed pattern as ``patterns_of`` gives it: no scheme, user, port, fragment or
+    slash at the end, the host in lower case. Null without a host."""
+    bare = F.regexp_replace(F.regexp_replace(F.trim(pattern), _SCHEME + _USER, ""), "#.*$", "")
+    host = F.lower(F.regexp_extract(bare, "^([^/?:]+)(?::[0-9]*)?", 1))
+    rest = F.regexp_replace(F.regexp_extract(bare, "^[^/?]*(.*)$", 1), "/+$", "")
+    return F.when(F.length(host) > 0, F.concat(host, rest))
+
+
 def intervals(entries: DataFrame, pattern: str = "pattern", action: str = "action", on: str = "listed_on") -> DataFrame:
     """``pattern, action, valid_from, valid_to`` (exclusive) from dated entries.
 
-    An entry holds until the next one of its pattern; action ``remove`` ends one. Of two
-    entries of a day the alphabetically last action counts. Entries without pattern, date
-    or action are left out. Repeats of an action make intervals that follow each other.
+    An entry holds from its instant (of a date, midnight) until the next one of its
+    pattern; action ``remove`` ends one. Of entries of one instant the alphabetically last
+    action counts. Patterns are those of ``normal``. Entries without pattern, time or
+    action are left out. Repeats of an action make intervals that follow each other.
     """
     dated = (
-        entries.select(F.col(pattern).alias("pattern"), F.col(action).alias("action"), F.col(on).cast("date").alias("valid_from"))
+        entries.select(
+            normal(F.col(pattern)).alias("pattern"),
+            F.col(action).alias("action"),
+            F.col(on).cast("timestamp").alias("valid_from"),
+        )
         .where("pattern IS NOT NULL AND action IS NOT NULL AND valid_from IS NOT NULL")
         .groupBy("pattern", "valid_from")
         .agg(F.max("action").alias("action"))
     )
     after = F.lead("valid_from").over(Window.partitionBy("pattern").orderBy("valid_from"))
     return (
-        dated.withColumn("valid_to", F.coalesce(after, F.lit(OPEN).cast("date")))
+        dated.withColumn("valid_to", F.coalesce(after, F.lit(OPEN).cast("timestamp")))
         .where("action <> 'remove'")
         .select("pattern", "action", "valid_from", "valid_to")
     )
 
 
-def patterns_of(url: Column) -> Column:
-    """The patterns that can name a URL, most specific first: host with the first part of
-    the path, host, and each parent domain of at least two labels. Null without a host."""
-    host = F.lower(F.regexp_extract(url, "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)", 1))
-    part = F.regexp_extract(url, "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)", 1)
+def patterns_of(url: Column, depth: int | None = None) -> Column:
+    """The patterns that can name a URL, most specific first: host with path and query, host
+    with each prefix of the path's parts (with ``depth``, only those of so few parts and no
+    query), host, and each parent domain of at least two labels. Null without a host."""
+    host = F.lower(F.regexp_extract(url, _SCHEME + _USER + "([^/?#:@]+)", 1))
+    path = F.regexp_extract(url, _SCHEME + "[^/?#]+/([^?#]*)", 1)
+    parts = F.split(path, "/")
     labels = F.split(host, "\\.")
     domains = F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
-    first = F.when(F.length(part) > 0, F.array(F.concat(host, F.lit("/"), part))).otherwise(F.array().cast("array<string>"))
-    return F.when(F.length(host) > 0, F.concat(first, domains))
+    most = F.size(parts) if depth is None else F.least(F.size(parts), F.lit(depth))
+    prefixes = F.transform(
+        F.reverse(F.sequence(F.lit(1), most)),
+        lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(parts, 1, i), "/")),
+    )
+    inner = F.filter(prefixes, lambda p: ~p.endswith("/"))
+    if depth is None:
+        query = F.regexp_replace(F.regexp_extract(url, _SCHEME + "[^/?#]+([^?#]*[?][^#]*)", 1), "/+$", "")
+        inner = F.concat(F.when(F.length(query) > 0, F.array(F.concat(host, query))).otherwise(F.array().cast("array<string>")), inner)
+    return F.when(F.length(host) > 0, F.concat(inner, domains))
 
 
 def filter_captures(
@@ -56,19 +85,20 @@ def filter_captures(
     url: str = "url",
     fetched: str = "fetched_on",
 ) -> DataFrame:
-    """A row for each capture: id, fetch date, ``verdict`` and the ``pattern`` behind it.
+    """A row for each capture: id, fetch time, ``verdict`` and the ``pattern`` behind it.
 
-    The verdict is the action of the most specific entry that was active on the fetch
-    date, or ``none``. A URL that is null or has no host, and a fetch date that is null,
-    have no verdict but ``none``. Equal captures are looked up once and returned as often
+    The verdict is the action of the most specific entry that was active at the fetch
+    time, or ``none``; a date is its midnight and stays a date. A URL that is null or has
+    no host, and a fetch time that is null, have no verdict but ``none``. Equal captures are looked up once and returned as often
     as they come. Empty tables give no rows, or only ``none``. Extra columns are not read.
 
     A host may hold a third of all captures: the join is an equality of patterns whose
     large partitions Spark splits, and its other side has the few intervals of a pattern.
     """
     spans = intervals(entries)
+    day = captures.schema[fetched].dataType == DateType()
     wanted = (
-        captures.select(F.col(id_).alias("id"), F.col(url).alias("url"), F.col(fetched).cast("date").alias("fetched"))
+        captures.select(F.col(id_).alias("id"), F.col(url).alias("url"), F.col(fetched).cast("timestamp").alias("fetched"))
         .groupBy("id", "url", "fetched")
         .agg(F.count("*").alias("rows"))
     )
@@ -91,7 +121,7 @@ def filter_captures(
         wanted.join(active, same, "left")
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
         .select(
-            F.col("id").alias(id_), F.col("fetched").alias(fetched),
+            F.col("id").alias(id_), F.col("fetched").cast("date" if day else "timestamp").alias(fetched),
             F.coalesce("action", F.lit("none")).alias("verdict"), "pattern",
         )
     )
