@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import licences, repetition
+from tidemark.llm import licences, passages, repetition
 
 WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
@@ -118,3 +118,81 @@ b AS (SELECT r, min_by(action, place) AS action, min_by(pattern, place) AS patte
     ON k.key = v.pattern AND fetched_on >= valid_from AND fetched_on < valid_to AND action <> 'remove' GROUP BY r)
 SELECT page_id, fetched_on, coalesce(action, 'none') AS verdict, pattern FROM c LEFT JOIN b USING (r)
 """
+
+FILL_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+c AS (SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1) AS one, ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1) AS two,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+           OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+         WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, array_to_string(u[1 : least(one, two)], '') AS prefix, array_to_string(u[greatest(one, two) + 1 :], '') AS suffix,
+    array_to_string(u[least(one, two) + 1 : greatest(one, two)], '') AS middle FROM c)
+SELECT doc_id, len(u)::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+    sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                     WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+def _passage_sql() -> str:
+    def words(columns: str, of: str) -> str:
+        lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        return f"SELECT {columns}, regexp_extract_all({lowered}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM {of}"
+
+    slop = passages.SLOP
+    return f"""
+WITH d AS ({words("row_number() OVER () AS r, doc_id", "documents")}),
+i AS (SELECT *, least({passages.WINDOW}, len(words)) AS size FROM ({words("item_id", "benchmark")}) WHERE len(words) > 0),
+w AS (SELECT row_number() OVER () AS id, * FROM (SELECT item_id, size, words[s + 1 : s + size] AS gram
+        FROM (SELECT *, unnest(range(0, len(words) - size + 1)) AS s FROM i))),
+g AS (SELECT r, s, size, words[s + 1 : s + size] AS gram
+        FROM (SELECT r, words, size, unnest(range(0, len(words) - size + 1)) AS s FROM d, (SELECT DISTINCT size FROM w))),
+exact AS (SELECT r, s, g.size, item_id FROM g JOIN w USING (gram)),
+hit AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(s, s + size)) FROM exact) GROUP BY r),
+named AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+        FROM exact GROUP BY r),
+place AS (SELECT r, i - 1 AS p, words[i] AS term FROM (SELECT r, words, unnest(range(1, len(words) + 1)) AS i FROM d)),
+often AS (SELECT term, count(*) AS n FROM place GROUP BY term),
+rarest AS (SELECT id, j, term FROM (SELECT id, i - 1 AS j, gram[i] AS term FROM (SELECT id, gram, unnest(range(1, size + 1)) AS i FROM w))
+        JOIN often USING (term) QUALIFY row_number() OVER (PARTITION BY id ORDER BY n, j) = 1),
+spot AS (SELECT DISTINCT id, r, p - j + off AS s FROM rarest JOIN place USING (term), range(-{slop}, {slop} + 1) x(off)),
+near AS (SELECT r, count(DISTINCT item_id) AS n_near_items FROM spot JOIN w USING (id) JOIN d USING (r)
+        WHERE len(list_filter(range(0, size), lambda k: list_contains(
+            words[greatest(1, s + k - {slop} + 1) : greatest(0, s + k + {slop} + 1)], gram[k + 1]))) = size GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+    coalesce(n_near_items, 0)::BIGINT AS n_near_items
+FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r) LEFT JOIN near USING (r)
+"""
+
+
+PASSAGE_SQL = _passage_sql()
+
+RUNS_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS own,
+    xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT),
+        lambda sum, byte: list_reduce([xor(sum, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, (a & 1) * 3988292384)))) AS h
+  FROM documents),
+g AS (SELECT *, len(own) AS n, h // 10 AS g, (h // 10) % len(own) AS a FROM d),
+t AS (SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(0, n), lambda i:
+        own[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) ELSE own END AS words FROM g),
+w AS (SELECT r, n, i - 1 AS i, words[i] AS word FROM (SELECT r, n, words, unnest(range(1, n + 1)) AS i FROM t)),
+pair AS (SELECT x.r, y.i - x.i AS q, x.i FROM w x JOIN w y ON x.r = y.r AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+stretch AS (SELECT r, q, min(i) AS start, count(*) + q AS length
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM pair)
+    GROUP BY r, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+run AS (SELECT * FROM stretch x WHERE NOT EXISTS (SELECT 1 FROM stretch y WHERE y.r = x.r AND y.q < x.q AND x.q % y.q = 0
+    AND y.start <= x.start AND y.start + y.length >= x.start + x.length)),
+best AS (SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY r ORDER BY length / q DESC, start, q) = 1),
+every AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS lines
+    FROM run GROUP BY r),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS words FROM w WHERE NOT EXISTS
+    (SELECT 1 FROM run WHERE run.r = w.r AND w.i >= start + q AND w.i < start + length) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, q::BIGINT AS period,
+    (1000 * length // q)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+    sha256(coalesce(kept.words, '')) AS collapsed_sha256
+FROM t LEFT JOIN best USING (r) LEFT JOIN every USING (r) LEFT JOIN kept USING (r)
+"""

@@ -5,22 +5,33 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
     byte_bpe,
+    fill_in_middle,
     licences,
     mixing,
     near_duplicates,
     nearest,
+    passages,
+    periodic_runs,
     personal_data,
     quality,
     repetition,
     sharding,
     url_lists,
 )
-from tidemark.llm.oracles import LICENCE_SQL, NEAREST_SQL, REPETITION_SQL, URL_SQL
+from tidemark.llm.oracles import (
+    FILL_SQL,
+    LICENCE_SQL,
+    NEAREST_SQL,
+    PASSAGE_SQL,
+    REPETITION_SQL,
+    RUNS_SQL,
+    URL_SQL,
+)
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -102,6 +113,74 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("text")
 
 
+def planted(documents: DataFrame) -> DataFrame:
+    """``documents`` with a run in one text of ten: from a word on, a stretch of the text
+    again and again. Which texts, where and how long follows from the id's checksum."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeating(words: Column) -> Column:
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        unit = F.slice(words, a + 1, p)
+        times = F.ceil((n - a) / p).cast("int")
+        tail = F.slice(F.flatten(F.array_repeat(unit, times)), F.lit(1), n - a)
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")
+
+    # An array of one, so that the words are taken once.
+    words = F.array(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    made = F.transform(words, lambda w: F.when(F.size(w) > 0, repeating(w)))[0]
+    text = F.when(h % 10 == 0, F.coalesce(made, F.col("text"))).otherwise(F.col("text"))
+    return documents.select("doc_id", text.alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(planted(table(spark, sf_dir, "documents")), digest=True)
+    fuller = F.expr(
+        "array_sort(runs, (x, y) -> CASE WHEN x.length * y.period <> y.length * x.period "
+        "THEN sign(y.length * x.period - x.length * y.period) WHEN x.start <> y.start "
+        "THEN sign(x.start - y.start) ELSE sign(x.period - y.period) END::int)"
+    )
+    best = F.get(fuller, F.lit(0))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(F.col("id").alias("doc_id"), "runs", "collapsed", best.alias("best"), lines.alias("lines")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join("lines", "").cast("binary"), 256).alias("runs_sha256"),
+        F.col("collapsed").alias("collapsed_sha256"),
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    again = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(again.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near_items").cast("long").alias("n_near_items"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -121,6 +200,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_classifier,
         op9_nearest,
         op10_byte_bpe,
+        op11_periodic_runs,
+        op12_fill_in_middle,
+        op13_decontamination,
         pipeline,
     )
 }
@@ -129,4 +211,7 @@ SQL: dict[str, str] = {
     "op3_url_filter": URL_SQL,
     "op4_quality_rules": REPETITION_SQL,
     "op9_nearest": NEAREST_SQL,
+    "op11_periodic_runs": RUNS_SQL,
+    "op12_fill_in_middle": FILL_SQL,
+    "op13_decontamination": PASSAGE_SQL,
 }

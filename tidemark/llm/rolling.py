@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 #: Odd multipliers below 2**64; each is its own hash function, none has a meaning.
 BASE = 0x9E3779B97F4A7C15
@@ -56,10 +57,13 @@ def lowered(data: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """The words (runs of anything but space and 9 to 13) of a slice of texts."""
+    """The words of a slice of texts: runs of the bytes in ``word_bytes``, by default of
+    anything but space and 9 to 13."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray) -> None:
-        word = _WORD_BYTE[data]
+    def __init__(
+        self, data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray = _WORD_BYTE
+    ) -> None:
+        word = word_bytes[data]
         before = np.empty(len(data), bool)
         before[:1] = False
         before[1:] = word[:-1]
@@ -77,6 +81,21 @@ class Words:
         self.first = np.concatenate(([0], np.cumsum(self.per_doc)))
 
 
+def numbered(data: np.ndarray, words: Words) -> tuple[np.ndarray, pa.Array]:
+    """A number for each word, the same for equal words and for no others, and the words by number."""
+    ends = np.zeros(len(words.starts) + 1, np.int64)
+    np.cumsum(words.ends - words.starts, out=ends[1:])
+    steps = np.zeros(len(data) + 1, np.int8)
+    steps[words.starts] += 1
+    steps[words.ends] -= 1
+    letters = data[np.cumsum(steps[:-1], dtype=np.int8).astype(bool)]
+    binary = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(words.starts), [None, pa.py_buffer(ends), pa.py_buffer(letters)]
+    )
+    encoded = binary.dictionary_encode()
+    return encoded.indices.to_numpy(), encoded.dictionary
+
+
 def code_points(data: np.ndarray) -> np.ndarray:
     """Prefix sums of the characters that begin at each byte."""
     sums = np.zeros(len(data) + 1, np.int64)
