@@ -70,7 +70,9 @@ def texts(spark):
 @pytest.fixture(scope="module")
 def documents(spark, texts):
     rows = [(i, t, s, "clash", "clash", "clash", "clash", "clash", "clash", "clash") for i, t, s in texts]
-    return spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
+    held = spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
+    yield held
+    held.unpersist(blocking=True)
 
 
 @pytest.fixture(scope="module")

@@ -5,13 +5,14 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import fill_in_middle, passages, periodic_runs
+from tidemark.llm import fill_in_middle, near_duplicates, passages, periodic_runs, repetition
 
 BLANK = r"[^\x20\x09-\x0d]+"
 TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -217,3 +218,32 @@ def test_passages_without_items_or_documents(spark, contaminated):
     assert none.where("n_hit > 0 OR size(near_items) > 0").count() == 0
     assert none.count() == len(rows)
     assert passages.decontaminate(docs.where("false"), bench).count() == 0
+
+
+def thue_morse():
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_made_to_collide_are_told_apart(spark):
+    """Polynomial hashes modulo a power of two are equal for these two words."""
+    one, two = thue_morse()
+    lines = spark.createDataFrame([(1, f"{one}\n{two}"), (2, f"{one}\n{one}")], "doc_id long, text string")
+    judged = repetition.judge_repetition(lines).orderBy("doc_id").collect()
+    assert [r.n_dup_lines for r in judged] == [0, 1]
+    windows = [f"x y {one} x y {two}", f"x y {one} x y {one}"]
+    texts = spark.createDataFrame(list(enumerate(windows)), "doc_id long, text string")
+    judged = repetition.judge_repetition(texts).orderBy("doc_id").collect()
+    assert [r.n_repeat_words for r in judged] == [0, 6]
+    pair = spark.createDataFrame([(1, one), (2, two), (3, two)], "doc_id long, text string")
+    found = near_duplicates.near_duplicates(pair).orderBy("doc_id").collect()
+    assert [r.component_id for r in found] == [1, 2, 2]
+
+
+def test_a_long_text_takes_a_bounded_multiple_of_its_size():
+    data = np.frombuffer(b"several words of some length and a line\n" * 250_000, np.uint8)
+    tracemalloc.start()
+    repetition.measures(data, np.array([0, len(data)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45 * len(data)

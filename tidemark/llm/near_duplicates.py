@@ -48,7 +48,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
     """The sorted shingle hashes of each text of a slice; A-Z count as a-z."""
     data = rolling.lowered(data)
     words = rolling.Words(data, offsets)
-    hashes = rolling.Spans(data).hashes(words.starts, words.ends)
+    hashes = rolling.word_hashes(data, words)
     full = rolling.grams(hashes, SHINGLE)
     short = {n: rolling.grams(hashes, n) ^ np.uint64(n) for n in range(1, SHINGLE)}
     for first, count in zip(words.first.tolist(), words.per_doc.tolist()):

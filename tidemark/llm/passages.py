@@ -133,7 +133,7 @@ def build_index(df: DataFrame, terms: DataFrame, id_: str, text: str, slop: int
         data, offsets = utf8(part.column("text"))
         data = rolling.lowered(data)
         words = rolling.Words(data, offsets, _BYTES)
-        numbers, dictionary = rolling.numbered(data, words)
+        numbers, dictionary = rolling.numbered(data, words.starts, words.ends)
         block = part.column("row")[0].as_py()
         docs = np.arange(part.num_rows)
         firsts = (words.first[:-1] + gap * docs).astype("<i4")

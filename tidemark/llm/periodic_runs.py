@@ -198,7 +198,7 @@ def _first_pass(tile: int, digest: bool):
     def solve(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         data, offsets = utf8(part.column("text"))
         words = rolling.Words(data, offsets)
-        numbers, _ = rolling.numbered(data, words)
+        numbers, _ = rolling.numbered(data, words.starts, words.ends)
         rows, ids = part.column("row").to_pylist(), part.column("id").to_pylist()
         short = words.per_doc <= tile
         own = np.flatnonzero(short)

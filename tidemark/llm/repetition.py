@@ -1,7 +1,8 @@
 """Repetition coverage: how much of a text lies inside n-grams and lines it repeats.
 
-Rolling hashes of several lengths are taken in numpy over a whole slice of texts at once;
-a text's own number goes into each key, so only copies inside one text meet.
+Rolling hashes of several lengths are taken in numpy over a whole slice of texts at once.
+They start from exact numbers of words, so no spelling of words makes two of them one; a
+text's own number goes into each key, so only copies inside one text meet.
 """
 
 from __future__ import annotations
@@ -44,11 +45,13 @@ def _in_repeats(words: rolling.Words, hashes: np.ndarray, n: int, first: bool) -
 def measures(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     """The counts of each text of a slice."""
     docs = len(offsets) - 1
-    spans, words = rolling.Spans(data), rolling.Words(data, offsets)
+    words = rolling.Words(data, offsets)
     chars = rolling.code_points(data)
-    hashes = spans.hashes(words.starts, words.ends)
+    numbers, _ = rolling.numbered(data, words.starts, words.ends)
+    hashes = rolling.mixed(numbers.astype(np.uint64) + np.uint64(1))
     sizes = chars[words.ends] - chars[words.starts]
-    symbols = np.concatenate(([0], np.cumsum(_SYMBOL[data])))
+    symbols = np.zeros(len(data) + 1, np.int32)
+    np.cumsum(_SYMBOL[data], out=symbols[1:])
 
     def total(values: np.ndarray, of: np.ndarray = words.doc) -> np.ndarray:
         return np.bincount(of, weights=values, minlength=docs).astype(np.int64)
@@ -56,7 +59,7 @@ def measures(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     out = {
         "n_words": words.per_doc,
         "word_chars": total(sizes),
-        "n_symbols": symbols[offsets[1:]] - symbols[offsets[:-1]],
+        "n_symbols": (symbols[offsets[1:]] - symbols[offsets[:-1]]).astype(np.int64),
         "n_repeat_words": total(_in_repeats(words, hashes, BASE_WINDOW, first=True)),
     }
     for n in GRAM_LIMITS:
@@ -71,8 +74,8 @@ def measures(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     worded = last_word > first_word
     starts, ends = starts[worded], ends[worded]
     line_doc = np.searchsorted(offsets, starts, "right") - 1
-    own = rolling.mixed(line_doc.astype(np.uint64) + np.uint64(1))
-    _, later = rolling.repeated(spans.hashes(starts, ends) + own)
+    lines, _ = rolling.numbered(data, starts, ends)
+    _, later = rolling.repeated(lines.astype(np.int64) * docs + line_doc)
     sums = np.concatenate(([0], np.cumsum(sizes)))
     line_chars = sums[last_word[worded]] - sums[first_word[worded]]
     out["n_dup_lines"] = total(later, line_doc)

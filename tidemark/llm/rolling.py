@@ -6,6 +6,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from xxhash import xxh3_64_intdigest
 
 #: Odd multipliers below 2**64; each is its own hash function, none has a meaning.
 BASE = 0x9E3779B97F4A7C15
@@ -38,7 +39,11 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 class Spans:
-    """Hashes of byte ranges of one buffer, from the prefix sums of a polynomial."""
+    """Hashes of byte ranges of one buffer, from the prefix sums of a polynomial.
+
+    Some different texts have equal hashes whatever the multiplier, so these serve only
+    where a collision does no harm, such as the buckets of a model.
+    """
 
     def __init__(self, data: np.ndarray) -> None:
         size = 1 << max(21, int(len(data)).bit_length())
@@ -81,24 +86,32 @@ class Words:
         self.first = np.concatenate(([0], np.cumsum(self.per_doc)))
 
 
-def numbered(data: np.ndarray, words: Words) -> tuple[np.ndarray, pa.Array]:
-    """A number for each word, the same for equal words and for no others, and the words by number."""
-    ends = np.zeros(len(words.starts) + 1, np.int64)
-    np.cumsum(words.ends - words.starts, out=ends[1:])
+def numbered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """A number for each of the stretches ``starts`` to ``ends`` of ``data``, the same for
+    equal ones and for no others, and the stretches by number. They must not overlap."""
+    at = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=at[1:])
     steps = np.zeros(len(data) + 1, np.int8)
-    steps[words.starts] += 1
-    steps[words.ends] -= 1
-    letters = data[np.cumsum(steps[:-1], dtype=np.int8).astype(bool)]
+    steps[starts] += 1
+    steps[ends] -= 1
+    held = data[np.cumsum(steps[:-1], dtype=np.int8).astype(bool)]
     binary = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(words.starts), [None, pa.py_buffer(ends), pa.py_buffer(letters)]
+        pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(held)]
     )
     encoded = binary.dictionary_encode()
     return encoded.indices.to_numpy(), encoded.dictionary
 
 
+def word_hashes(data: np.ndarray, words: Words) -> np.ndarray:
+    """A 64-bit hash of each word; no choice of letters makes words collide by design."""
+    numbers, distinct = numbered(data, words.starts, words.ends)
+    hashes = np.array([xxh3_64_intdigest(word) for word in distinct.to_pylist()], np.uint64)
+    return hashes[numbers]
+
+
 def code_points(data: np.ndarray) -> np.ndarray:
     """Prefix sums of the characters that begin at each byte."""
-    sums = np.zeros(len(data) + 1, np.int64)
+    sums = np.zeros(len(data) + 1, np.int32)
     np.cumsum(_FIRST_BYTE[data], out=sums[1:])
     return sums
 
