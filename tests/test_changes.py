@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from tidemark.functions import fingerprint
 from tidemark.operators import (
     changed_rows,
     insert_only,
+    lineage,
     merge_actions,
     merge_metrics,
     unseen_rows,
@@ -171,3 +173,103 @@ def test_upsert_size_identities_hold(spark):
         assert sizes.source_rows == sizes.inserted + sizes.updated == len(new)
         assert sizes.inserted + sizes.updated + sizes.copied == sizes.rows_after
         assert sizes.rows_after == len({**old, **new})
+
+
+@contextmanager
+def settings(spark, **values):
+    """Session settings for one block; dots are written as two underscores."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def digests(spark, first, last):
+    return spark.range(first, last).selectExpr("sha2(string(id), 256) AS hash_columns", "id")
+
+
+def test_a_stage_too_large_to_broadcast_filters_the_scan_of_the_history(spark, tmp_path):
+    digests(spark, 0, 5000).write.parquet(str(tmp_path / "history"))
+    history = spark.read.parquet(str(tmp_path / "history"))
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="1k",
+    ):
+        fresh = unseen_rows(digests(spark, 4990, 6000), history)
+        assert rows(fresh, "id") == [(i,) for i in range(5000, 6000)]
+        plan = fresh._jdf.queryExecution().optimizedPlan().toString()
+    scan_of_history = plan.split("LeftSemi")[1].split("Relation")[0]
+    assert "might_contain" in scan_of_history and "bloom_filter_agg" in scan_of_history
+    small = unseen_rows(digests(spark, 4990, 6000), history)
+    assert rows(small, "id") == [(i,) for i in range(5000, 6000)]
+
+
+def test_digests_in_bytes_tell_apart_what_their_text_does(spark):
+    """Hex digests, other text, text that is hex of another length, empty text and nulls."""
+    values = ["ab" * 32, "AB", "ab", "0ab", "", "x" * 64, "ab" * 31, "é", None]
+    history = spark.createDataFrame([(v,) for v in values[::2]], "hash_columns string")
+    stage = spark.createDataFrame([(v,) for v in values], "hash_columns string")
+    assert rows(unseen_rows(stage, history)) == sorted(
+        ((v,) for v in [*values[1::2], None]), key=lambda r: (r[0] is not None, r[0])
+    )
+
+
+def sides(spark, tmp_path):
+    keyed = "concat('k', id) AS hash_chave"
+    spark.range(1000).selectExpr(keyed).union(spark.range(1).selectExpr("null")).write.parquet(str(tmp_path / "t"))
+    return spark.read.parquet(str(tmp_path / "t")), spark.range(990, 1010).selectExpr(keyed)
+
+
+def test_merge_counts_leave_the_target_where_it_is(spark, tmp_path):
+    target, source = sides(spark, tmp_path)
+    counts = merge_metrics(target, source)
+    assert rows(counts) == [(20, 10, 10, 991, 1011)]
+    plan = plan_of(counts)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    # What is exchanged are counts, not keys.
+    assert "hashpartitioning(hash_chave" not in plan
+    actions = merge_actions(target, source)
+    assert rows(actions.groupBy("action").count()) == [("COPY", 991), ("INSERT", 10), ("UPDATE", 10)]
+    assert "hashpartitioning(hash_chave" not in plan_of(actions)
+
+
+def test_merge_counts_of_a_source_too_large_to_broadcast(spark, tmp_path):
+    target, source = sides(spark, tmp_path)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        assert rows(merge_metrics(target, source)) == [(20, 10, 10, 991, 1011)]
+        assert rows(merge_metrics(target.limit(0), source)) == [(20, 20, 0, 0, 20)]
+        assert rows(merge_metrics(target, source.limit(0))) == [(0, 0, 0, 1001, 1001)]
+
+
+def test_rows_of_one_run_are_dealt_out(spark):
+    """Nearly all rows come from one run; without broadcasts no task gets many of them."""
+    run_of = "CASE WHEN id < 11000 THEN 'big' WHEN id < 11900 THEN concat('r', id % 5) END AS key_log_file_path"
+    written_rows = spark.range(12_000).selectExpr("id", run_of)
+    log = spark.createDataFrame([("big", "a"), ("r0", "b"), ("r1", "c"), ("idle", "d")], "id_log_file_path string, note string")
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__shuffle__partitions="8",
+    ):
+        whole = written_rows.join(log, F.col("key_log_file_path") == F.col("id_log_file_path"))
+        dealt = lineage(written_rows, log, split_rows=100)
+        assert dealt.columns == whole.columns
+        assert rows(dealt) == rows(whole)
+        sizes = sorted(r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 8
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_runs_that_are_small_are_joined_plainly(spark):
+    written_rows = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "key_log_file_path string, n int")
+    log = spark.createDataFrame([("a", "x")], "id_log_file_path string, note string")
+    assert rows(lineage(written_rows, log), "n", "note") == [(1, "x"), (2, "x")]
+    assert lineage(written_rows.limit(0), log).count() == 0
+    assert rows(lineage(written_rows, log, split_rows=1), "n", "note") == [(1, "x"), (2, "x")]

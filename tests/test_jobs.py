@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,8 +21,8 @@ from tidemark.plans import (
     typed_run_log,
 )
 from tidemark.operators import RunContext
-from tidemark.sources import AppendTable, CurrentTable, HistoryTable
-from tidemark.streaming import follow_landing
+from tidemark.sources import BAD_RECORD, AppendTable, CurrentTable, HistoryTable
+from tidemark.streaming import follow_landing, landing, parent_folder
 
 SCHEMA = "id string, name string, price double"
 
@@ -295,3 +296,126 @@ def test_no_column_is_dropped_unless_named(spark, layers, clock):
     frame = spark.createDataFrame([("a", 1.5)], "id string, roi double")
     ingest_snapshot(spark, frame, layers, "id", clock)
     assert rows(HistoryTable(spark, layers.history).read(), "roi") == [(1.5,)]
+
+
+def landed_array(path, records):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(json.dumps(records))
+    return str(path)
+
+
+def test_one_bad_object_of_a_hundred_is_quarantined(spark, layers, clock, tmp_path):
+    records = [{"id": f"k{i}", "name": "n", "price": float(i)} for i in range(100)]
+    records[42]["price"] = "a lot"
+    path = landed_array(tmp_path / "coins.json", records)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        ingest_snapshot(spark, path, layers, "id", clock, schema=SCHEMA)
+    clock.at += timedelta(minutes=1)
+    record = ingest_snapshot(spark, path, layers, "id", clock, schema=SCHEMA, bad_records="quarantine")
+    assert (record["status"], record["records_processed"]) == (N.SUCCEEDED, "99")
+    assert record["msg_erro"] == f"1 bad records in {layers.quarantine}"
+    bad = AppendTable(spark, layers.quarantine).read()
+    assert bad.columns == [BAD_RECORD, *N.RUN_COLUMNS]
+    row = bad.first()
+    assert json.loads(row[BAD_RECORD]) == records[42]
+    assert row[N.RUN_ID] == record[N.LOG_ID] and row[N.SOURCE_NAME].endswith("/coins.json")
+    clock.at += timedelta(minutes=1)
+    clean = landed_array(tmp_path / "clean.json", records[:42])
+    again = ingest_snapshot(spark, clean, layers, "id", clock, schema=SCHEMA, bad_records="quarantine")
+    assert (again["records_processed"], again["msg_erro"]) == ("0", "")
+    assert bad.count() == 1
+    with pytest.raises(ValueError, match="bad_records"):
+        ingest_snapshot(spark, path, layers, "id", clock, bad_records="drop")
+
+
+def test_without_a_schema_a_bad_value_makes_no_column_of_strings(spark, layers, clock, tmp_path):
+    first = landed_array(tmp_path / "1.json", [{"id": "a", "price": 1.5}, {"id": "b", "price": 2.5}])
+    second = landed_array(tmp_path / "2.json", [{"id": "a", "price": 3.5}, {"id": "b", "price": "x"}])
+    for path in (first, second):
+        clock.at += timedelta(minutes=1)
+        ingest_snapshot(spark, path, layers, "id", clock, bad_records="quarantine")
+    assert rows(HistoryTable(spark, layers.history).read(), "id", "price") == [("a", 1.5), ("a", 3.5), ("b", 2.5)]
+    assert AppendTable(spark, layers.quarantine).read().count() == 1
+
+
+def test_prices_of_whole_units_become_fractions_and_keep_their_digests(spark, layers, clock, tmp_path):
+    prices = [[1, 2, 3, None], [1.0, 2.5, 3.0, None], [1.0, 2.5, 4.0, 7.0]]
+    added = []
+    for number, snapshot_ in enumerate(prices):
+        clock.at += timedelta(days=1)
+        records = [{"id": f"k{i}", "price": p} for i, p in enumerate(snapshot_)]
+        path = landed_array(tmp_path / f"{number}.json", records)
+        added.append(ingest_snapshot(spark, path, layers, "id", clock)["records_processed"])
+        refresh_current(spark, layers, clock)
+    assert added == ["4", "1", "2"]
+    current = CurrentTable(spark, layers.current).read()
+    assert dict(current.dtypes)["price"] == "double"
+    assert rows(current, "id", "price") == [("K0", 1.0), ("K1", 2.5), ("K2", 4.0), ("K3", 7.0)]
+
+
+def test_a_run_that_fails_leaves_no_work_folder(spark, layers, clock, monkeypatch):
+    run_chain(spark, [snapshot(spark, coins(range(3)))], layers, "id", clock)
+    clock.at += timedelta(days=1)
+    ingest_snapshot(spark, snapshot(spark, coins(range(1, 4))), layers, "id", clock)
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {p.name for p in shared.iterdir()}
+
+    def broken(*_, **__):
+        raise RuntimeError("no disk")
+
+    monkeypatch.setattr(CurrentTable, "upsert", broken)
+    with pytest.raises(RuntimeError, match="no disk"):
+        refresh_current(spark, layers, clock)
+    assert {p.name for p in shared.iterdir()} == before
+
+
+def land_folder(spark, layers, name, data, files=3):
+    """A snapshot of several files, moved into the landing folder whole."""
+    stage = Path(layers.stage)
+    stage.mkdir(parents=True, exist_ok=True)
+    draft = stage.parent / f"draft-{name}"
+    snapshot(spark, data).repartition(files, "id").write.json(str(draft))
+    draft.rename(stage / name)
+
+
+def follow_folders(spark, layers, clock, tmp_path):
+    follow_landing(
+        spark, layers, "id", SCHEMA, str(tmp_path / "stream"), clock, multi_line=False, snapshot_of=parent_folder
+    ).awaitTermination()
+
+
+def test_a_snapshot_of_several_files_is_one_release(spark, layers, clock, tmp_path):
+    clock.step = timedelta(seconds=1)
+    for number in range(3):
+        land_folder(spark, layers, f"day-{number}", coins([number] * 9))
+    follow_folders(spark, layers, clock, tmp_path)
+    history, current = HistoryTable(spark, layers.history), CurrentTable(spark, layers.current)
+    assert (history.last_release().release, current.last_release().release) == (3, 3)
+    assert {r[0] for r in rows(current.read(), "price")} == {2.0}
+    assert rows(read_run_log(spark, layers.ingest_log), "records_processed") == [("9",)] * 3
+    land_folder(spark, layers, "day-3", coins([5] * 9))
+    follow_folders(spark, layers, clock, tmp_path)
+    assert (history.last_release().release, current.last_release().release) == (4, 4)
+
+
+def test_a_batch_that_is_repeated_goes_on_where_it_stopped(spark, layers, clock, tmp_path, monkeypatch):
+    clock.step = timedelta(seconds=1)
+    for number in range(2):
+        land_folder(spark, layers, f"day-{number}", coins([number] * 4))
+    calls = []
+
+    def failing(*args, **options):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return refresh_current(*args, **options)
+
+    monkeypatch.setattr(landing, "refresh_current", failing)
+    with pytest.raises(Exception, match="lost"):
+        follow_folders(spark, layers, clock, tmp_path)
+    history, current = HistoryTable(spark, layers.history), CurrentTable(spark, layers.current)
+    assert (history.last_release().release, current.last_release().release) == (2, 1)
+    follow_folders(spark, layers, clock, tmp_path)
+    assert (history.last_release().release, current.last_release().release) == (2, 2)
+    assert rows(read_run_log(spark, layers.ingest_log), "records_processed") == [("4",)] * 2
+    assert {r[0] for r in rows(current.read(), "price")} == {1.0}

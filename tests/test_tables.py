@@ -10,6 +10,7 @@ from tidemark.operators.evolve import as_stored
 from tidemark import names as N
 from tidemark.operators import align, merged_schema
 from tidemark.sources import (
+    BAD_RECORD,
     ConcurrentWriteError,
     AppendTable,
     CurrentTable,
@@ -17,6 +18,7 @@ from tidemark.sources import (
     UpsertCounts,
     counted,
     literal_table,
+    read_json_records,
     read_json_snapshot,
 )
 
@@ -275,3 +277,99 @@ def test_stored_types_hold_where_nothing_is_lost():
     arriving = T.StructType.fromDDL("code bigint, fresh bigint, n double, share bigint")
     fitted = as_stored(arriving, stored)
     assert fitted == T.StructType.fromDDL("code string, fresh bigint, n double, share double")
+
+
+def test_a_release_file_that_breaks_off_is_skipped(spark, tmp_path):
+    table = AppendTable(spark, str(tmp_path / "t"))
+    releases = tmp_path / "t" / "releases"
+    table.append(keyed(spark, [("a", 1)]))
+    table.append(keyed(spark, [("b", 2)]))
+    whole = (releases / f"{2:012d}.json").read_text()
+    for number, text in ((3, ""), (4, whole[: len(whole) // 2]), (5, "{}")):
+        (releases / f"{number:012d}.json").write_text(text)
+    assert table.last_release().release == 2
+    assert rows(table.read()) == [("a", 1), ("b", 2)]
+    table.append(keyed(spark, [("c", 3)]))
+    assert table.last_release().release == 6
+    assert rows(table.read()) == [("a", 1), ("b", 2), ("c", 3)]
+    assert [n.name for n in releases.iterdir() if n.name.endswith(".draft")] == []
+
+
+@pytest.mark.parametrize("kind", [AppendTable, CurrentTable])
+def test_a_first_release_file_that_breaks_off_is_skipped(spark, tmp_path, kind):
+    releases = tmp_path / "t" / "releases"
+    releases.mkdir(parents=True)
+    (releases / f"{1:012d}.json").write_text("")
+    table = kind(spark, str(tmp_path / "t"))
+    assert not table.exists()
+    table.append(keyed(spark, [("a", 1)])) if kind is AppendTable else table.upsert(keyed(spark, [("a", 1)]))
+    assert rows(table.read()) == [("a", 1)]
+    assert table.last_release().release == 2
+
+
+def test_reading_a_history_of_many_releases_starts_no_job(spark, tmp_path):
+    table = HistoryTable(spark, str(tmp_path / "h"))
+    for day in range(4):
+        batch = keyed(spark, [(f"k{day}", day)]).withColumn(N.INGESTED_ON, F.lit(f"2025-06-0{day + 1}"))
+        table._append(batch, table.last_release(), True, moment=f"2025-06-0{day + 1} 00:00:00")
+    spark.sparkContext.setJobGroup("reading", "reading")
+    try:
+        table.read()
+        table.read_news(2)
+        assert table.schema().names == ["hash_chave", "v", N.INGESTED_ON]
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("reading")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
+def test_whole_numbers_become_fractions_when_such_arrive(spark, tmp_path, fmt):
+    table = AppendTable(spark, str(tmp_path / "t"), fmt)
+    table.append(keyed(spark, [("a", 1), ("b", None)], "hash_chave string, v bigint"))
+    table.append(keyed(spark, [("c", 2)], "hash_chave string, v bigint").withColumn("w", F.lit("x")))
+    table.append(keyed(spark, [("d", 2.5)], "hash_chave string, v double"))
+    assert dict(table.read().dtypes) == {"hash_chave": "string", "v": "double", "w": "string"}
+    assert rows(table.read()) == [("a", 1.0, None), ("b", None, None), ("c", 2.0, "x"), ("d", 2.5, None)]
+    assert len(table.last_release().schemas) == 3
+    with pytest.raises(ValueError, match="v is stored as double, but arrives as string"):
+        table.append(keyed(spark, [("e", "x")], "hash_chave string, v string"))
+
+
+def test_without_evolution_nothing_is_widened(spark, tmp_path):
+    table = AppendTable(spark, str(tmp_path / "t"))
+    table.append(keyed(spark, [("a", 1)], "hash_chave string, v bigint"))
+    with pytest.raises(ValueError, match="v is stored as bigint, but arrives as double"):
+        table.append(keyed(spark, [("b", 1.5)], "hash_chave string, v double"), evolve=False)
+
+
+def test_an_upsert_widens_the_rows_it_keeps(spark, tmp_path):
+    table = CurrentTable(spark, str(tmp_path / "c"))
+    table.upsert(keyed(spark, [("a", 1), ("b", 2)], "hash_chave string, v bigint"))
+    assert table.upsert(keyed(spark, [("b", 2.5)], "hash_chave string, v double")) == UpsertCounts(0, 1, 1)
+    assert rows(table.read()) == [("a", 1.0), ("b", 2.5)]
+
+
+def test_bad_records_of_arrays_and_lines_are_told_apart(spark, tmp_path):
+    files = {
+        "array.json": '[{"id": "a", "p": 1}, {"id": "b", "p": "word"}, null, 5,\n {"id": "c", "p": 2.5, "more": []}]',
+        "object.json": '{"id": "d", "p": 3}',
+        "broken.json": '[{"id": "e", "p": 1}, {"id": ',
+        "empty.json": " \n",
+        "none.json": "[]",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    found = read_json_records(spark, str(tmp_path), "id string, p double")
+    assert found.columns == ["id", "p", N.SOURCE_NAME, BAD_RECORD]
+    good = found.where(F.col(BAD_RECORD).isNull())
+    assert rows(good, "id", "p") == [("a", 1.0), ("c", 2.5), ("d", 3.0)]
+    bad = rows(found.where(F.col(BAD_RECORD).isNotNull()), F.regexp_extract(N.SOURCE_NAME, "[a-z]+.json$", 0), BAD_RECORD)
+    assert [name for name, _ in bad] == ["array.json"] * 3 + ["broken.json"]
+    assert {text for _, text in bad} >= {"null", "5", files["broken.json"]}
+    lines = tmp_path / "lines"
+    lines.write_text('{"id": "a", "p": 1}\n\n{"id": "b" "p": 2}\n{"id": "c", "p": "x"}\n')
+    found = read_json_records(spark, str(lines), "id string, p double", multi_line=False)
+    assert rows(found.where(F.col(BAD_RECORD).isNull()), "id") == [("a",)]
+    assert rows(found.where(F.col(BAD_RECORD).isNotNull()), BAD_RECORD) == [
+        ('{"id": "b" "p": 2}',), ('{"id": "c", "p": "x"}',)
+    ]

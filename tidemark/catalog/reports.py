@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import names as N
 from tidemark.catalog.registry import query, table
 from tidemark.operators import latest_per_key
 from tidemark.plans import gold
+from tidemark.session import new_work_path, written
+from tidemark.sources import CurrentTable, HistoryTable
 
 
-@query("""
+DAILY_SQL = """
 WITH days AS (
   SELECT event_type, CAST(ts AS DATE) AS day, arg_min(value, (ts, event_id)) AS opened,
          arg_max(value, (ts, event_id)) AS closed, min(value) AS lowest, max(value) AS highest,
@@ -21,12 +24,28 @@ SELECT *, closed - opened AS change_in_day,
        closed - lag(closed) OVER w AS change_from_previous,
        (closed - lag(closed) OVER w) / nullif(lag(closed) OVER w, 0) AS relative_change
 FROM days WINDOW w AS (PARTITION BY event_type ORDER BY day)
-""")
+"""
+
+
+@query(DAILY_SQL)
 def daily_variation(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     return gold.daily_variation(events, ["event_type"], "ts", "value", ["event_id"])
 
 
+@query(DAILY_SQL)
+def daily_variation_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same kept up to date: three releases that all touch every day, a refresh after
+    each, which reads the new release alone and merges it into the stored days."""
+    root = new_work_path(spark, "daily")
+    history, states = HistoryTable(spark, f"{root}/history"), CurrentTable(spark, f"{root}/states")
+    events = table(spark, sf_dir, "events").withColumn(N.INGESTED_ON, F.lit("2024-02-01"))
+    for turn in range(3):
+        history.append(events.where(F.col("event_id") % 3 == turn))
+        gold.refresh_daily_states(history, states, ["event_type"], "ts", "value", ["event_id"])
+    return gold.variation_of_states(states.read(), ["event_type"])
+
+
 LATEST_ORDER_SQL = """
 latest AS (
   SELECT * FROM orders
@@ -49,7 +68,8 @@ FROM latest
 """)
 def rank_by_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = _latest_orders(spark, sf_dir).select("o_custkey", "o_totalprice")
-    return gold.rank_by_value(latest, "o_totalprice")
+    # Written, since ranking looks at its input twice.
+    return gold.rank_by_value(written(latest, new_work_path(spark, "latest")), "o_totalprice")
 
 
 @query("""
@@ -66,6 +86,24 @@ def rank_with_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+WITH priced AS (
+  SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN NULL WHEN l_orderkey % 3 = 0 THEN 30000.0
+         ELSE l_extendedprice END::DOUBLE AS price FROM lineitem
+)
+SELECT *, CASE WHEN price IS NOT NULL THEN rank() OVER (ORDER BY price DESC NULLS LAST) END AS rank,
+       CASE WHEN price IS NOT NULL THEN dense_rank() OVER (ORDER BY price DESC NULLS LAST) END AS dense_rank
+FROM priced
+""")
+def rank_with_hot_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the rows without a value, and one value on a third of the others."""
+    price = F.when(F.col("l_linenumber") % 2 == 0, None).when(F.col("l_orderkey") % 3 == 0, 30000.0)
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", price.otherwise(F.col("l_extendedprice")).cast("double").alias("price")
+    )
+    return gold.rank_by_value(lines, "price")
+
+
 @query(f"""
 WITH {LATEST_ORDER_SQL}
 SELECT o_custkey, o_totalprice,

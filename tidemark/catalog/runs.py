@@ -21,10 +21,18 @@ from tidemark.catalog.scenarios import (
     write_json_arrays,
 )
 from tidemark.operators import RunContext, latest_per_key, lineage
-from tidemark.plans import Layers, audited, ingest_record, ingest_snapshot, read_run_log, run_chain
+from tidemark.plans import (
+    Layers,
+    audited,
+    ingest_record,
+    ingest_snapshot,
+    read_run_log,
+    run_chain,
+    typed_run_log,
+)
 from tidemark.session import new_work_path
-from tidemark.sources import AppendTable, CurrentTable, HistoryTable
-from tidemark.streaming import follow_landing
+from tidemark.sources import BAD_RECORD, AppendTable, CurrentTable, HistoryTable
+from tidemark.streaming import follow_landing, parent_folder
 
 
 @query(f"""
@@ -105,6 +113,81 @@ def scan_json_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.select("event_id", "event_type", "props", "ts", "user_id", "value")
 
 
+@query("""
+SELECT event_id, event_type, props, CAST(ts AS VARCHAR) AS ts, user_id, floor(value) AS value
+FROM events WHERE ts < TIMESTAMP '2024-01-15'
+UNION
+SELECT event_id, event_type, props, CAST(ts AS VARCHAR), user_id, value FROM events
+""")
+def scan_json_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column of whole numbers to which fractions arrive: it becomes one of doubles, and
+    rows whose number was whole already are known."""
+    layers = Layers.under(new_work_path(spark, "widened"), "events")
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("string"))
+    whole = events.filter(F.col("ts") < "2024-01-15").withColumn("value", F.floor("value"))
+    for number, snapshot in enumerate((whole, events)):
+        landed = write_json_arrays(snapshot, "event_id", f"{layers.stage}/{number}")
+        ingest_snapshot(spark, landed, layers, "event_id", StagedClock(SNAPSHOT_DAYS[number]))
+    history = HistoryTable(spark, layers.history).read()
+    return history.select("event_id", "event_type", "props", "ts", "user_id", "value")
+
+
+@query("""
+SELECT event_id, CASE WHEN event_id % 100 = 7 THEN 'quarantine' WHEN event_id % 100 = 8 THEN 'broken'
+       ELSE 'history' END AS kept_in,
+       CASE WHEN event_id % 100 IN (7, 8) THEN NULL ELSE value END AS value,
+       (SELECT count(*) FILTER (WHERE event_id % 100 IN (7, 8)) FROM events) AS bad_records,
+       '2024-01-05' AS dt_ingestao
+FROM events
+""")
+def scan_json_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot lines of which some hold a word for a number and some break off: all good
+    records reach the history, the text of the others the quarantine."""
+    layers = Layers.under(new_work_path(spark, "quarantine"), "events")
+    events = table(spark, sf_dir, "events").select("event_id", "value")
+    line = F.to_json(F.struct("event_id", "value"))
+    turn = F.col("event_id") % 100
+    worded = F.to_json(F.struct("event_id", F.lit("n/a").alias("value")))
+    landed = F.when(turn == 7, worded).when(turn == 8, F.substring_index(line, "}", 1)).otherwise(line)
+    events.select(landed.alias("value")).write.text(layers.stage)
+    ingest_snapshot(
+        spark, layers.stage, layers, "event_id", StagedClock(SNAPSHOT_DAYS[0]),
+        "event_id bigint, value double", multi_line=False, bad_records="quarantine",
+    )
+    note = read_run_log(spark, layers.ingest_log).select("msg_erro").scalar()
+    told = F.regexp_extract(note, "^[0-9]+", 0).cast("long").alias("bad_records")
+    good = HistoryTable(spark, layers.history).read().select(
+        "event_id", F.lit("history").alias("kept_in"), "value", told, N.INGESTED_ON
+    )
+    text = F.col(BAD_RECORD)
+    bad = AppendTable(spark, layers.quarantine).read().select(
+        F.regexp_extract(text, '"event_id":([0-9]+)', 1).cast("long").alias("event_id"),
+        F.when(F.endswith(text, F.lit("}")), "quarantine").otherwise("broken").alias("kept_in"),
+        F.lit(None).cast("double").alias("value"),
+        told,
+        N.INGESTED_ON,
+    )
+    return good.unionByName(bad)
+
+
+@query(f"SELECT *, 3 AS releases FROM ({STATE_SQL})")
+def landing_stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three snapshots of several files each, landed before the stream looks: as many
+    releases of the current table."""
+    root = new_work_path(spark, "landing-folders")
+    layers = Layers.under(root, "events")
+    for number, snapshot in enumerate(snapshots(spark, sf_dir)):
+        snapshot.repartition(4).write.json(f"{layers.stage}/{number}")
+    follow_landing(
+        spark, layers, SNAPSHOT_KEYS, SNAPSHOT_SCHEMA, f"{root}/stream",
+        StagedClock(SNAPSHOT_DAYS[0], timedelta(seconds=1)), multi_line=False,
+        snapshot_of=parent_folder,
+    ).awaitTermination()
+    current = CurrentTable(spark, layers.current)
+    releases = F.lit(current.last_release().release).alias("releases")
+    return current.read().drop(*N.RUN_COLUMNS).select("*", releases)
+
+
 @query(STATE_SQL)
 def landing_stream_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same state when a file stream picks the snapshots up."""
@@ -258,17 +341,53 @@ def run_log_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
+WITH {SNAPSHOTS_SQL},
+runs AS (
+  SELECT n, stamp, day, count(*) AS changed,
+         count(*) FILTER (WHERE NOT EXISTS (
+           SELECT 1 FROM history e WHERE e.hash_chave = h.hash_chave AND e.n < h.n)) AS inserted
+  FROM history h GROUP BY n, stamp, day
+)
+SELECT '/5-logs/2-silver/events_' || stamp AS id_log_file_path, 'SILVER_LOG_events' AS process_name,
+       CAST(day AS DATE) AS date_run, 'SUCESSO' AS status, 'EXECUTADO COM SUCESSO' AS msg,
+       '/2-bronze/events' AS input_path, '/3-silver/events' AS output_path,
+       inserted AS records_inserted, changed - inserted AS records_updated,
+       {", ".join(f"CAST(day || ' 10:00:00' AS TIMESTAMP) AS {c}" for c in N.REFRESH_LOG_COLUMNS
+                  if c.startswith(("start_", "end_")))}
+FROM runs
+""")
+def typed_log_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column of the refresh log in its own type; the clock stands still in each run."""
+    layers = run_snapshots(spark, sf_dir, "typed-audit")
+    log = typed_run_log(read_run_log(spark, layers.refresh_log))
+    paths = {c: without_root(layers, c) for c in (N.LOG_ID, "input_path", "output_path")}
+    return log.withColumns(paths)
+
+
+LINEAGE_SQL = f"""
 WITH {SNAPSHOTS_SQL}
 SELECT hash_columns, '/5-logs/1-bronze/events_' || stamp AS id_log_file_path,
        'BRONZE_LOG_events' AS process_name, 'SUCESSO' AS status,
        CAST(count(*) OVER (PARTITION BY n) AS VARCHAR) AS records_processed
 FROM history
-""")
+"""
+
+
+@query(LINEAGE_SQL)
+def lineage_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with runs of more than a hundred rows dealt out over tasks."""
+    return _traced(run_snapshots(spark, sf_dir, "lineage-split"), spark, 100)
+
+
+@query(LINEAGE_SQL)
 def lineage_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each row of the history with the audit of the run that wrote it."""
-    layers = run_snapshots(spark, sf_dir, "lineage")
+    return _traced(run_snapshots(spark, sf_dir, "lineage"), spark)
+
+
+def _traced(layers: Layers, spark: SparkSession, *split_rows: int) -> DataFrame:
     history = HistoryTable(spark, layers.history).read()
-    traced = lineage(history, read_run_log(spark, layers.ingest_log))
+    traced = lineage(history, read_run_log(spark, layers.ingest_log), *split_rows)
     return traced.select(
         N.ROW_HASH,
         without_root(layers, N.LOG_ID),

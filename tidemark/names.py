@@ -17,15 +17,16 @@ ROW_HASH = "hash_columns"
 HASH_SEPARATOR = "||"
 HASH_BITS = 256
 
-# Nested column of the landed snapshots that is not kept.
 #: Release of the history that a row came with; a folder name, not a stored column.
 RELEASE = "tidemark_release"
+# Columns of the landed snapshots that are not kept.
 DROPPED_ON_READ: tuple[str, ...] = ()
 
 # Folders of the layers below a common root.
 STAGE_FOLDER = "1-stage"
 HISTORY_FOLDER = "2-bronze"
 CURRENT_FOLDER = "3-silver"
+QUARANTINE_FOLDER = "4-quarantine"
 INGEST_LOG_FOLDER = "5-logs/1-bronze"
 REFRESH_LOG_FOLDER = "5-logs/2-silver"
 

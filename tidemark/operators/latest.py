@@ -17,20 +17,24 @@ _POSITION = "__position"
 _ORDERABLE = (T.AtomicType, T.StructType, T.ArrayType)
 
 
+def sortable_columns(df: DataFrame) -> list[str]:
+    """Columns of types that have an order (and a hash), all but maps and variants."""
+    return [
+        f.name
+        for f in df.schema.fields
+        if isinstance(f.dataType, _ORDERABLE)
+        and "map<" not in f.dataType.simpleString()
+        and "variant" not in f.dataType.simpleString()
+    ]
+
+
 def total_order(df: DataFrame, first: Sequence[str] = ()) -> list[Column]:
     """Descending order over ``first`` and then every other column that sorts.
 
     Rows that still tie are equal in all those columns, so it does not matter
     which of them is taken.
     """
-    rest = [
-        f.name
-        for f in df.schema.fields
-        if f.name not in first
-        and isinstance(f.dataType, _ORDERABLE)
-        and "map<" not in f.dataType.simpleString()
-        and "variant" not in f.dataType.simpleString()
-    ]
+    rest = [c for c in sortable_columns(df) if c not in first]
     return [F.desc(quoted(c)) for c in [*first, *rest]]
 
 

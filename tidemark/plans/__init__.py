@@ -1,8 +1,12 @@
 from tidemark.plans.gold import (
+    daily_states,
     daily_variation,
+    merged_states,
     rank_by_value,
+    refresh_daily_states,
     segment_indicators,
     top_by_value,
+    variation_of_states,
 )
 from tidemark.plans.jobs import (
     Layers,
@@ -23,15 +27,19 @@ __all__ = [
     "Layers",
     "RunRecord",
     "audited",
+    "daily_states",
     "daily_variation",
     "ingest_record",
     "ingest_snapshot",
+    "merged_states",
     "rank_by_value",
     "read_run_log",
     "refresh_current",
+    "refresh_daily_states",
     "refresh_record",
     "run_chain",
     "segment_indicators",
     "top_by_value",
     "typed_run_log",
+    "variation_of_states",
 ]

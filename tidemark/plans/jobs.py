@@ -17,9 +17,9 @@ from tidemark.operators.changes import changed_rows
 from tidemark.operators.control import RunContext, add_control_columns, replace_run_columns
 from tidemark.operators.latest import latest_versions
 from tidemark.plans.run_log import audited, ingest_record, refresh_record
-from tidemark.sources.snapshots import read_json_snapshot
-from tidemark.session import new_work_path, remove_path, written
-from tidemark.sources.tables import CurrentTable, HistoryTable
+from tidemark.sources.snapshots import BAD_RECORD, read_json_records, read_json_snapshot
+from tidemark.session import work_path, written
+from tidemark.sources.tables import AppendTable, CurrentTable, HistoryTable
 
 Clock = Callable[[], datetime]
 
@@ -34,6 +34,7 @@ class Layers:
     current: str
     ingest_log: str
     refresh_log: str
+    quarantine: str = ""
 
     @classmethod
     def under(cls, root: str, process: str) -> Layers:
@@ -45,6 +46,7 @@ class Layers:
             current=f"{root}/{N.CURRENT_FOLDER}/{process}",
             ingest_log=f"{root}/{N.INGEST_LOG_FOLDER}/{process}",
             refresh_log=f"{root}/{N.REFRESH_LOG_FOLDER}/{process}",
+            quarantine=f"{root}/{N.QUARANTINE_FOLDER}/{process}",
         )
 
 
@@ -62,14 +64,25 @@ def ingest_snapshot(
     distinct: bool = False,
     null_token: str | None = None,
     evolve: bool = True,
+    bad_records: str = "fail",
+    batch: str | None = None,
 ) -> dict[str, str]:
     """Add the new rows of one snapshot to the history; returns the log row.
 
     ``source`` is a path of JSON files, several paths, or a frame; columns named in
     ``drop`` are left out. Files without a ``schema`` are read with the types that the
-    history has, where these hold the values. The source is computed once: a first load writes it to the table, a
-    merge to the shared work folder, from where its digests and rows are read.
+    history has, where these hold the values; a column of whole numbers to which fractions
+    arrive becomes one of doubles, and digests of values that stay do not change. The source
+    is computed once: a first load writes it to the table, a merge to the shared work
+    folder, from where its digests and rows are read.
+
+    A record that does not parse fails the run. With ``bad_records="quarantine"`` the files
+    are parsed once to the work folder, the good records go on, the text of the others is
+    kept in the quarantine table with run and file, and the log says how many there were.
+    ``batch`` names what the rows came with, for ``HistoryTable.has_batch``.
     """
+    if bad_records not in ("fail", "quarantine"):
+        raise ValueError(f"bad_records is 'fail' or 'quarantine', not {bad_records!r}")
     run = RunContext(layers.process, layers.ingest_log, clock)
     is_frame = isinstance(source, DataFrame)
     if is_frame:
@@ -77,25 +90,43 @@ def ingest_snapshot(
     else:
         origin = source_name or (source if isinstance(source, str) else ",".join(source))
     record = ingest_record(run, origin, layers.history)
-    with audited(spark, record):
+    with audited(spark, record), work_path(spark, "records") as work:
         with record.step("create_session"):
             history = HistoryTable(spark, layers.history)
         with record.step("reading_file"):
+            bad = None
+            stored = history.schema() if schema is None and not is_frame else None
             if is_frame:
                 snapshot = source.drop(*drop)
-            else:
-                stored = history.schema() if schema is None else None
+            elif bad_records == "fail":
                 snapshot = read_json_snapshot(
                     spark, source, schema, multi_line, drop, source_name is None, stored
                 )
+            else:
+                records = read_json_records(spark, source, schema, multi_line, drop, stored)
+                records = written(records, work)
+                bad = records.where(F.col(BAD_RECORD).isNotNull()).select(N.SOURCE_NAME, BAD_RECORD)
+                snapshot = records.where(F.col(BAD_RECORD).isNull()).drop(BAD_RECORD)
+                snapshot = snapshot.drop(N.SOURCE_NAME) if source_name else snapshot
         with record.step("add_control_columns"):
             named = N.SOURCE_NAME in snapshot.columns and source_name is None
             name = F.col(N.SOURCE_NAME) if named else origin
-            staged = add_control_columns(snapshot, keys, run, name, null_token)
+            widened = history.widened(snapshot.schema)
+            staged = add_control_columns(snapshot, keys, run, name, null_token, widened)
         with record.step("merge_delta"):
             added = history.insert_unseen(
-                staged, compare, distinct, evolve, day=run.ingested_on, moment=run.updated_at
+                staged,
+                compare,
+                distinct,
+                evolve,
+                day=run.ingested_on,
+                moment=run.updated_at,
+                batch=batch,
             )
+            if bad is not None and bad.head(1):
+                kept = replace_run_columns(bad, run, F.col(N.SOURCE_NAME))
+                found = AppendTable(spark, layers.quarantine).append(kept)
+                record.note = f"{found} bad records in {layers.quarantine}"
         record.update(records_processed=added)
     return record.values
 
@@ -119,33 +150,26 @@ def refresh_current(
     run = RunContext(layers.process, layers.refresh_log, clock)
     record = refresh_record(run, layers.history, layers.current)
     with audited(spark, record, N.REFRESH_SUCCEEDED_MESSAGE, N.REFRESH_FAILED_PREFIX):
-        news = None
         current = CurrentTable(spark, layers.current)
         with record.step("bronze_reading"):
-            last = current.last_release() if incremental else None
-            seen = None if last is None else last.source
+            known = current.last_release()
+            seen = known.source if known and incremental else None
             history, release = HistoryTable(spark, layers.history).read_news(seen)
             require_columns(history, N.CONTROL_COLUMNS, "history")
         with record.step("filter_data"):
             latest = latest_versions(history)
-        with record.step("filter_new_data"):
-            known = current.find()
-            if known is None:
-                changed = latest
-            else:
-                news = new_work_path(spark, "news")
-                changed = changed_rows(written(latest, news), known)
-        with record.step("transform_strings"):
-            cleaned = clean_strings(changed, exclude=[*N.CONTROL_COLUMNS, *exclude])
-        with record.step("add_column_log"):
-            values = [c for c in cleaned.columns if c not in N.CONTROL_COLUMNS]
-            ordered = cleaned.select(*[F.col(f"`{c}`") for c in values], *N.HASH_COLUMNS)
-            stamped = replace_run_columns(ordered, run, layers.history)
-        with record.step("update_delta_silver"):
-            # One row per key: the latest of each.
-            counts = current.upsert(stamped, unique=True, evolve=evolve, source=release)
-            if news is not None:
-                remove_path(spark, news)
+        with work_path(spark, "news") as news:
+            with record.step("filter_new_data"):
+                changed = changed_rows(written(latest, news), current.read()) if known else latest
+            with record.step("transform_strings"):
+                cleaned = clean_strings(changed, exclude=[*N.CONTROL_COLUMNS, *exclude])
+            with record.step("add_column_log"):
+                values = [c for c in cleaned.columns if c not in N.CONTROL_COLUMNS]
+                ordered = cleaned.select(*[F.col(f"`{c}`") for c in values], *N.HASH_COLUMNS)
+                stamped = replace_run_columns(ordered, run, layers.history)
+            with record.step("update_delta_silver"):
+                # One row per key: the latest of each.
+                counts = current.upsert(stamped, unique=True, evolve=evolve, source=release)
         record.update(records_inserted=counts.inserted, records_updated=counts.updated)
     return record.values
 

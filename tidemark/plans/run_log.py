@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tidemark import names as N
 from tidemark.functions.clock import parse_instant
 from tidemark.operators.control import RunContext
-from tidemark.sources.tables import one_row, path_exists
+from tidemark.sources.releases import path_exists
+from tidemark.sources.tables import one_row
 
 
 class RunRecord:
@@ -21,6 +22,8 @@ class RunRecord:
         self.run = run
         self.columns = tuple(columns)
         self.message = message
+        #: What a run that succeeds has to say in place of the usual message.
+        self.note = ""
         self.values = dict.fromkeys(columns, "")
         self.update(
             id_log_file_path=run.run_id,
@@ -88,7 +91,7 @@ def audited(
     """
     try:
         yield record
-        record.close(N.SUCCEEDED, success)
+        record.close(N.SUCCEEDED, record.note or success)
     except FileExistsError as reason:
         record.close(N.SKIPPED, str(reason))
     except Exception as error:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +15,11 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A snapshot too large to broadcast, up to 4 million digests, still becomes a Bloom
+    # filter of 8 MB on the scan of the history it is merged into.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "128m",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
     # Run clocks and landed instants carry no zone.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "zstd",
@@ -54,6 +61,16 @@ def new_work_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def work_path(spark: SparkSession, label: str) -> Iterator[str]:
+    """A new work path that is removed when the block ends, however it ends."""
+    path = new_work_path(spark, label)
+    try:
+        yield path
+    finally:
+        remove_path(spark, path)
+
+
 def written(df: DataFrame, path: str) -> DataFrame:
     """``df`` computed now, as a table at ``path``.
 

@@ -1,28 +1,35 @@
-from tidemark.sources.snapshots import literal_table, read_json_snapshot
+from tidemark.sources.releases import ConcurrentWriteError, Release, path_exists
+from tidemark.sources.snapshots import (
+    BAD_RECORD,
+    literal_table,
+    read_json_records,
+    read_json_snapshot,
+)
 from tidemark.sources.tables import (
     AppendTable,
-    ConcurrentWriteError,
     CurrentTable,
     HistoryTable,
     StoredTable,
     UpsertCounts,
     counted,
     one_row,
-    path_exists,
     write_counted,
 )
 
 __all__ = [
+    "BAD_RECORD",
     "AppendTable",
     "ConcurrentWriteError",
     "CurrentTable",
     "HistoryTable",
+    "Release",
     "StoredTable",
     "UpsertCounts",
     "counted",
     "literal_table",
     "one_row",
     "path_exists",
+    "read_json_records",
     "read_json_snapshot",
     "write_counted",
 ]

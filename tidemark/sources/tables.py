@@ -1,77 +1,45 @@
 """Stored tables: files in a folder, and a list of what has been released.
 
 Each write fills folders of its own and ends with one file in the ``releases``
-folder of the table, named by its number: the folders, how many rows the table holds
-now, their schema, the clock of the run, and the release of the table it was made from.
-Readers go by these. So a write that was cut short stays unseen, a table is never
-overwritten while it is being read, and no file footers are read to find the schema.
-The file is created exclusively: of two writers that start from one release the second
-fails, and neither touches the files of the other.
+folder of the table, named by its number: every folder the table now consists of, with
+the schema it was written under, and how many rows there are. Readers need the newest of
+these alone. So a write that was cut short stays unseen, a table is never overwritten
+while it is being read, and no file footers are read to find the schema. The file is
+written under another name and moved into place unless there is one already: of two writers
+that start from one release the second fails, and neither touches the files of the other.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import names as N
 from tidemark.functions.hashing import quoted, require_columns
 from tidemark.operators.changes import unseen_rows
-from tidemark.operators.evolve import align, merged_schema
+from tidemark.operators.evolve import align, merged_schema, union_evolving, widened_columns
 from tidemark.operators.latest import latest_versions
-from tidemark.session import new_work_path, remove_path
+from tidemark.session import remove_path, work_path
+from tidemark.sources.releases import (
+    NOTHING,
+    ConcurrentWriteError,
+    Part,
+    Release,
+    newest_release,
+    path_exists,
+    publish_text,
+    release_file,
+)
 
 _ATTEMPT = "tidemark_attempt"
 _PLACES = [T.StructField(N.RELEASE, T.LongType()), T.StructField(_ATTEMPT, T.StringType())]
-_RELEASE_SCHEMA = (
-    "release long, parts array<string>, rows long, schema string, moment string, source long"
-)
-
-
-class ConcurrentWriteError(RuntimeError):
-    """Another writer has released the number that this one was to make."""
-
-
-def _file_system(spark: SparkSession, path: str) -> tuple:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the file system of ``path`` has it; asks without a job."""
-    files, place = _file_system(spark, path)
-    return files.exists(place)
-
-
-def file_names(spark: SparkSession, folder: str) -> list[str]:
-    """Names in a folder, none where it is missing; asks without a job."""
-    files, place = _file_system(spark, folder)
-    return [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    files, place = _file_system(spark, path)
-    source = files.open(place)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
-    finally:
-        source.close()
-
-
-def create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a file that must not be there yet."""
-    files, place = _file_system(spark, path)
-    target = files.create(place, False)
-    try:
-        target.write(bytearray(text.encode()))
-    finally:
-        target.close()
 
 
 def one_row(spark: SparkSession, **values: Column) -> DataFrame:
@@ -131,25 +99,21 @@ class StoredTable:
         self.path = path.rstrip("/")
         self.fmt = fmt
 
-    def last_release(self) -> Row | None:
-        """The newest release, or None where nothing has been released."""
-        numbers = self._numbers()
-        return self._row(numbers[-1]) if numbers else None
+    def _last(self) -> Release:
+        return newest_release(self.spark, f"{self.path}/releases")
 
-    def releases(self) -> DataFrame | None:
-        """One row per release, None where nothing has been released."""
-        folder = f"{self.path}/releases"
-        if not path_exists(self.spark, folder):
-            return None
-        return self.spark.read.schema(_RELEASE_SCHEMA).json(folder)
+    def last_release(self) -> Release | None:
+        """The newest release that can be read, or None where nothing has been released."""
+        last = self._last()
+        return last if last.release else None
 
     def exists(self) -> bool:
-        return bool(self._numbers())
+        return self.last_release() is not None
 
     def schema(self) -> T.StructType | None:
         """Columns and types without a job; none where there is no table."""
         last = self.last_release()
-        return None if last is None else _schema_of(last)
+        return None if last is None else last.schema()
 
     def find(self) -> DataFrame | None:
         """The table, or None where there is none yet."""
@@ -162,58 +126,45 @@ class StoredTable:
             raise FileNotFoundError(f"no table at {self.path}")
         return found
 
-    def _numbers(self) -> list[int]:
-        names = file_names(self.spark, f"{self.path}/releases")
-        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
-
-    def _file(self, number: int) -> str:
-        return f"{self.path}/releases/{number:012d}.json"
-
-    def _row(self, number: int) -> Row:
-        return Row(**json.loads(read_text(self.spark, self._file(number))))
-
-    def _read_release(self, release: Row) -> DataFrame:
-        return self._read_parts(release.parts, _schema_of(release))
-
-    def _read_parts(self, parts: list[str], schema: T.StructType) -> DataFrame:
-        if not parts:
-            return self.spark.createDataFrame([], schema)
-        stored = self.spark.read.format(self.fmt).schema(schema).option("basePath", f"{self.path}/data")
-        return stored.load([f"{self.path}/{p}" for p in parts])
+    def _read_release(self, release: Release) -> DataFrame:
+        return self._read_parts(release, release.parts)
+
+    def _read_parts(
+        self, release: Release, parts: Iterable[Part], places: list[T.StructField] | None = None
+    ) -> DataFrame:
+        """``parts`` under the newest schema, each read with the types it was written with."""
+        newest = release.schema()
+        whole = T.StructType([*newest.fields, *(places or [])])
+        alike: dict[str, list[str]] = {}
+        for part in parts:
+            stored = {f.name: f.dataType for f in release.schema(part.schema).fields}
+            fields = [T.StructField(f.name, stored.get(f.name, f.dataType)) for f in newest.fields]
+            written_as = T.StructType([*fields, *(places or [])])
+            alike.setdefault(written_as.json(), []).append(f"{self.path}/{part.path}")
+        if not alike:
+            return self.spark.createDataFrame([], whole)
+        reader = self.spark.read.format(self.fmt).option("basePath", f"{self.path}/data")
+        groups = [
+            # The reader moves partition columns to the tail, so put them back in their places.
+            align(reader.schema(T.StructType.fromJson(json.loads(own))).load(paths), whole)
+            for own, paths in alike.items()
+        ]
+        return reduce(union_evolving, groups)
 
-    def _release(
-        self,
-        number: int,
-        parts: list[str],
-        rows: int,
-        schema: T.StructType,
-        moment: str | None = None,
-        source: int | None = None,
-    ) -> None:
-        row = {
-            "release": number,
-            "parts": parts,
-            "rows": rows,
-            "schema": schema.json(),
-            "moment": moment,
-            "source": source,
-        }
+    def _release(self, release: Release, own: Iterable[Part]) -> None:
+        file = release_file(f"{self.path}/releases", release.release)
         try:
-            create_text(self.spark, self._file(number), json.dumps(row))
+            publish_text(self.spark, file, release.text())
         except Exception as error:
-            if not path_exists(self.spark, self._file(number)):
+            if not path_exists(self.spark, file):
                 raise
-            for part in parts:
-                remove_path(self.spark, f"{self.path}/{part}")
+            for part in own:
+                remove_path(self.spark, f"{self.path}/{part.path}")
             raise ConcurrentWriteError(
-                f"release {number} of {self.path} was made by another writer"
+                f"release {release.release} of {self.path} was made by another writer"
             ) from error
 
 
-def _schema_of(release: Row) -> T.StructType:
-    return T.StructType.fromJson(json.loads(release.schema))
-
-
 def _attempt() -> str:
     return uuid.uuid4().hex[:12]
 
@@ -226,54 +177,50 @@ class AppendTable(StoredTable):
 
         With ``evolve`` off, columns the table lacks are left out.
         """
-        return self._append(df, self.last_release(), evolve)
+        return self._append(df, self._last(), evolve)
 
     def create(self, df: DataFrame) -> int:
         """First load that insists on being the first."""
-        if self.exists():
+        last = self._last()
+        if last.release:
             raise FileExistsError(f"there already is a table at {self.path}")
-        return self._append(df, None, True)
+        return self._append(df, last, True)
 
     def _append(
         self,
         df: DataFrame,
-        last: Row | None,
+        last: Release | None,
         evolve: bool,
         constants: Mapping[str, str] | None = None,
         moment: str | None = None,
+        batch: str | None = None,
     ) -> int:
-        if last is None:
-            schema, number, before = merged_schema(T.StructType(), df.schema), 1, 0
-        else:
-            stored = _schema_of(last)
-            schema, number, before = merged_schema(stored, df.schema), last.release + 1, last.rows
-            if not evolve:
-                require_columns(df, stored.names, "appended rows")
-                schema = stored
-        part = f"data/{N.RELEASE}={number}/{_ATTEMPT}={_attempt()}"
+        last = last or NOTHING
+        schema = merged_schema(last.schema(), df.schema, widen=evolve)
+        if last.release and not evolve:
+            require_columns(df, last.schema().names, "appended rows")
+            schema = last.schema()
+        schemas = last.schemas if schema.json() in last.schemas[-1:] else (*last.schemas, schema.json())
+        number = last.following
+        path = f"data/{N.RELEASE}={number}/{_ATTEMPT}={_attempt()}"
         added = write_counted(
-            align(df, schema), f"{self.path}/{part}", self.fmt, self.partition_by, constants
+            align(df, schema), f"{self.path}/{path}", self.fmt, self.partition_by, constants
         )
-        if added or last is None:
-            self._release(number, [part], before + added, schema, moment)
+        if added or not last.release:
+            part = Part(path, number, len(schemas) - 1, moment, batch)
+            self._release(Release(number, last.rows + added, schemas, (*last.parts, part)), [part])
         else:
-            remove_path(self.spark, f"{self.path}/{part}")
+            remove_path(self.spark, f"{self.path}/{path}")
         return added
 
-    def _read_release(self, release: Row, after: int = 0, numbered: bool = False) -> DataFrame:
+    def _read_release(self, release: Release, after: int = 0, numbered: bool = False) -> DataFrame:
         """Rows of the releases above ``after``, from their folders alone.
 
         ``numbered`` adds the release of each row.
         """
-        schema = _schema_of(release)
-        rows = self.releases().where(F.col("release").between(after + 1, release.release))
-        # A few names for each run.
-        parts = sorted(rows.agg(F.flatten(F.collect_list("parts")).alias("parts")).first().parts)
-        names = [*schema.names, N.RELEASE] if numbered else schema.names
-        if not parts:
-            return self.spark.createDataFrame([], T.StructType([*schema.fields, *_PLACES])).select(names)
-        # The reader moves partition columns to the tail, so put them back in their places.
-        return self._read_parts(parts, T.StructType([*schema.fields, *_PLACES])).select(names)
+        names = release.schema().names
+        later = [p for p in release.parts if p.release > after]
+        return self._read_parts(release, later, _PLACES).select([*names, N.RELEASE] if numbered else names)
 
 
 class HistoryTable(AppendTable):
@@ -296,17 +243,29 @@ class HistoryTable(AppendTable):
         last = self.last_release()
         if last is None:
             raise FileNotFoundError(f"no table at {self.path}")
-        if seen is None:
-            return self._read_release(last, numbered=True), last.release
-        late = F.col("release") > seen
-        order = self.releases().agg(
-            F.max(F.when(~late, F.col("moment"))).alias("seen"),
-            F.min(F.when(late, F.col("moment"))).alias("news"),
-            F.count_if(F.col("moment").isNull()).alias("unknown"),
-        ).first()
-        in_order = not order.unknown and (order.news is None or order.news > order.seen)
-        after = seen if in_order else 0
-        return self._read_release(last, after, numbered=True), last.release
+        moments = [(p.release > (seen or 0), p.moment) for p in last.parts]
+        known = [m for late, m in moments if not late]
+        in_order = None not in [m for _, m in moments] and all(
+            late <= m for late in known for new, m in moments if new
+        )
+        return self._read_release(last, seen or 0 if in_order else 0, numbered=True), last.release
+
+    def read_after(self, seen: int) -> tuple[DataFrame, int]:
+        """The rows of the releases after ``seen``, and the number of the newest."""
+        last = self.last_release()
+        if last is None:
+            raise FileNotFoundError(f"no table at {self.path}")
+        return self._read_release(last, seen), last.release
+
+    def has_batch(self, batch: str) -> bool:
+        """Whether a release came with this batch."""
+        last = self.last_release()
+        return last is not None and any(p.batch == batch for p in last.parts)
+
+    def widened(self, incoming: T.StructType) -> list[str]:
+        """Columns that ``incoming`` has as fractions and that held whole numbers at first."""
+        last = self._last()
+        return widened_columns([*(last.schema(i) for i in range(len(last.schemas))), incoming])
 
     def insert_unseen(
         self,
@@ -316,11 +275,12 @@ class HistoryTable(AppendTable):
         evolve: bool = True,
         day: str | None = None,
         moment: str | None = None,
+        batch: str | None = None,
     ) -> int:
         """Append the rows that are new; on the first load, all of them.
 
         ``day`` and ``moment`` say that these are the day of ingestion and the
-        run start in every row.
+        run start in every row; ``batch`` names what the rows came with.
 
         ``compare="history"`` takes a row for known if any version ever had its
         digest; ``compare="latest"`` only if the newest version of its key has,
@@ -328,21 +288,18 @@ class HistoryTable(AppendTable):
         """
         if compare not in ("history", "latest"):
             raise ValueError(f"compare is 'history' or 'latest', not {compare!r}")
-        last = self.last_release()
+        last = self._last()
         constants = {} if day is None else {N.INGESTED_ON: day}
-        if last is None:
+        if not last.release:
             first = stage.dropDuplicates([N.ROW_HASH]) if distinct else stage
-            return self._append(first, None, True, constants, moment)
+            return self._append(first, last, True, constants, moment, batch)
         known = self._read_release(last, numbered=compare == "latest")
         if compare == "latest":
             known = latest_versions(known)
-        work = new_work_path(self.spark, "stage")
-        try:
+        with work_path(self.spark, "stage") as work:
             fresh = unseen_rows(stage, known, distinct=distinct, work=work)
             # Few rows from many tasks: let adaptive execution size the files.
-            return self._append(fresh.hint("rebalance"), last, evolve, constants, moment)
-        finally:
-            remove_path(self.spark, work)
+            return self._append(fresh.hint("rebalance"), last, evolve, constants, moment, batch)
 
 
 @dataclass(frozen=True)
@@ -357,14 +314,14 @@ class CurrentTable(StoredTable):
 
     def overwrite(self, df: DataFrame, on: str = N.KEY_HASH) -> int:
         """Make ``df`` the table, with the schema of ``df``."""
-        return self._replace(df, self.last_release())
+        return self._replace(df, self._last())
 
-    def _replace(self, df: DataFrame, last: Row | None, source: int | None = None) -> int:
-        number = 1 if last is None else last.release + 1
+    def _replace(self, df: DataFrame, last: Release, source: int | None = None) -> int:
+        number = last.following
         schema = merged_schema(T.StructType(), df.schema)
-        part = f"data/{number}-{_attempt()}/changed"
-        rows = write_counted(df, f"{self.path}/{part}", self.fmt)
-        self._release(number, [part], rows, schema, source=source)
+        part = Part(f"data/{number}-{_attempt()}/changed", number, 0)
+        rows = write_counted(df, f"{self.path}/{part.path}", self.fmt)
+        self._release(Release(number, rows, (schema.json(),), (part,), source), [part])
         return rows
 
     def upsert(
@@ -384,31 +341,31 @@ class CurrentTable(StoredTable):
         ``source`` is the release of the history the rows come from.
         """
         require_columns(changed, [on], "changed rows")
-        last = self.last_release()
-        if last is None:
+        last = self._last()
+        if not last.release:
             if not unique:
                 self._require_unique(changed, on)
-            return UpsertCounts(self._replace(changed, None, source), 0, 0)
-        stored = _schema_of(last)
-        schema = merged_schema(stored, changed.schema)
+            return UpsertCounts(self._replace(changed, last, source), 0, 0)
+        stored = last.schema()
+        schema = merged_schema(stored, changed.schema, widen=evolve)
         if not evolve:
             require_columns(changed, stored.names, "changed rows")
             schema = stored
-        number = last.release + 1
+        number = last.following
         folder = f"data/{number}-{_attempt()}"
-        parts = [f"{folder}/changed", f"{folder}/kept"]
-        written = write_counted(align(changed, schema), f"{self.path}/{parts[0]}", self.fmt)
+        parts = tuple(Part(f"{folder}/{side}", number, 0) for side in ("changed", "kept"))
+        written = write_counted(align(changed, schema), f"{self.path}/{parts[0].path}", self.fmt)
         if written == 0:
             remove_path(self.spark, f"{self.path}/{folder}")
             return UpsertCounts(0, 0, last.rows)
-        keys = self._read_parts(parts[:1], schema).select(on)
+        release = Release(number, written, (schema.json(),), parts, source)
+        keys = self._read_parts(release, parts[:1]).select(on)
         if not unique:
             self._require_unique(keys, on)
-        before = self._read_parts(last.parts, schema)
-        rest = before.join(keys, on, "left_anti").select(schema.names)
-        kept = write_counted(rest, f"{self.path}/{parts[1]}", self.fmt)
+        rest = align(self._read_release(last).join(keys, on, "left_anti"), schema)
+        kept = write_counted(rest, f"{self.path}/{parts[1].path}", self.fmt)
         updated = last.rows - kept
-        self._release(number, parts, written + kept, schema, source=source)
+        self._release(replace(release, rows=written + kept), parts)
         return UpsertCounts(written - updated, updated, kept)
 
     @staticmethod

@@ -1,3 +1,3 @@
-from tidemark.streaming.landing import follow_landing
+from tidemark.streaming.landing import follow_landing, parent_folder
 
-__all__ = ["follow_landing"]
+__all__ = ["follow_landing", "parent_folder"]
