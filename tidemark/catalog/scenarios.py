@@ -12,7 +12,7 @@ from tidemark.catalog.registry import StagedClock, table
 from tidemark.functions import fingerprint
 from tidemark.operators import latest_per_key
 from tidemark.plans import Layers, run_chain
-from tidemark.session import new_work_path
+from tidemark.session import new_work_path, written
 
 # ---------------------------------------------------------------------------
 # Entity snapshots: the newest event of each (user, type) as of a moment. The
@@ -132,14 +132,16 @@ def keyed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The current table and the newest state."""
+    """The current table and the newest state, both stored."""
     orders = keyed_orders(spark, sf_dir)
 
     def newest(df: DataFrame) -> DataFrame:
         return latest_per_key(df, "hash_chave", "o_orderdate", ["o_orderkey"])
 
     early = orders.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
-    return newest(early), newest(orders)
+    return tuple(
+        written(newest(df), new_work_path(spark, name)) for df, name in ((early, "current"), (orders, "latest"))
+    )
 
 
 ORDER_STATES_SQL = """

@@ -79,7 +79,7 @@ def read_json_records(
     texts = spark.read.text(paths, wholetext=multi_line).select(
         F.col("value"), F.col("_metadata.file_path").alias(N.SOURCE_NAME)
     )
-    texts = texts.where(F.trim("value") != "")
+    texts = texts.where(F.col("value").rlike(r"\S"))
     if multi_line:
         elements = F.from_json("value", "array<string>", {"mode": "PERMISSIVE"})
         whole = F.array("value")
