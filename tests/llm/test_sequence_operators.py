@@ -12,7 +12,15 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import fill_in_middle, near_duplicates, passages, periodic_runs, repetition
+from tidemark.llm import (
+    fill_in_middle,
+    mixing,
+    near_duplicates,
+    passages,
+    periodic_runs,
+    quality,
+    repetition,
+)
 
 BLANK = r"[^\x20\x09-\x0d]+"
 TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -247,3 +255,50 @@ def test_a_long_text_takes_a_bounded_multiple_of_its_size():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 45 * len(data)
+
+
+def clashing(spark):
+    """Documents beside columns that have the names the operators use themselves."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "source")
+    names = "kept_id kept_digest digest mix_id mix_source mix_size rows mean first row own_id own_size number block entry copy id size label role".split()
+    return docs.select("*", *(F.lit("clash").alias(n) for n in names))
+
+
+def test_rows_keep_their_columns_whatever_the_names(spark):
+    docs = clashing(spark)
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    assert mixed.where("rows = 'clash' AND first = 'clash'").count() == mixing.mixed_documents(docs.select("doc_id", "text", "source")).count()
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    kept = quality.keep_quality(docs, labels)
+    assert kept.columns == docs.columns
+    assert kept.count() == quality.keep_quality(docs.select("doc_id", "text", "source"), labels).count()
+
+
+def test_slots_are_made_by_many_tasks(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    _, slots = mixing.mix_plan(docs)
+    per_task = slots.groupBy(F.spark_partition_id()).count()
+    assert per_task.count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    again = mixing.mix_plan(docs.repartition(5))[1]
+    assert slots.exceptAll(again).count() == 0
+
+
+@pytest.mark.parametrize("together", [4, 1024])
+def test_thousands_of_sources_meet_their_targets(spark, monkeypatch, together):
+    """Draws in groups of sources add up to every source's quota."""
+    monkeypatch.setattr(mixing, "SOURCES", together)
+    many = 40 if together == 4 else 3000
+    docs = spark.range(4 * many).selectExpr(
+        "id AS doc_id", f"concat('s', id % {many}) AS source", "repeat('w ', int(60 + id * 7919 % 100)) AS text"
+    )
+    _, slots = mixing.mix_plan(docs, block=8, shards=16)
+    got = {r.number: r.n for r in slots.groupBy("number").agg(F.count("*").alias("n")).collect()}
+    found = mixing.mix_sources(docs, block=8, shards=16)
+    off = found.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"))
+    assert off.where("abs(taken - target) > 0.03 * target + 8").count() == 0
+    assert len(got) == many
+    numbered = slots.groupBy("number", "slot").count()
+    assert numbered.where("count > 1").count() == 0
+    shards = [r.n for r in slots.groupBy("shard").agg(F.count("*").alias("n")).collect()]
+    assert max(shards) - min(shards) <= 1

@@ -71,13 +71,6 @@ def targets(sizes: DataFrame) -> DataFrame:
     )
 
 
-def block_quotas(size: np.ndarray, target: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
-    """Blocks of each source, and slots it should get in all."""
-    blocks = -(-size // block)
-    slots = np.rint(target / np.maximum(size, 1) * blocks).astype(np.int64)
-    return blocks, np.minimum(slots, MOST_PASSES * blocks)
-
-
 def shard_draws(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     """Slots of each source (columns) in each shard (rows): multinomial draws by the
     sources' shares, each from a stream of its own."""
@@ -135,22 +128,87 @@ def _source_key(number: np.ndarray, lap: np.ndarray, seed: int) -> np.ndarray:
     return (h + lap.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
 
 
-#: Slots whose block numbers a task works out at once.
-_AT_ONCE = 1 << 18
+#: Slots of one row that a task works out at once.
+_AT_ONCE = 1 << 16
+#: Sources whose draws are made together.
+SOURCES = 1024
+
+
+def _drawn(batches: Iterator[pa.RecordBatch], shards: int, seed: int) -> Iterator[pa.RecordBatch]:
+    """Ranges of slots from the quotas of a group of sources.
+
+    Counts of the groups in each shard come first, from the totals of all groups, and are
+    the same in every task; a group's counts are then shared out among its own sources, which
+    together makes the multinomial draw over all sources.
+    """
+    for batch in batches:
+        for row in batch.to_pylist():
+            quotas = np.array([s["slots"] for s in row["sources"]], np.int64)
+            totals = np.array([t["total"] for t in row["totals"]], np.int64)
+            if not quotas.sum():
+                continue
+            if len(totals) == 1:
+                draws = shard_draws(quotas, shards, seed)
+            else:
+                own = [t["part"] for t in row["totals"]].index(row["part"])
+                counts = settled(shard_draws(totals, shards, seed), totals)[:, own]
+                draws = np.zeros((shards, len(quotas)), np.int64)
+                for shard, slots in enumerate(counts.tolist()):
+                    rng = np.random.Generator(np.random.Philox(key=[seed + row["part"] + 1, shard]))
+                    draws[shard] = rng.multinomial(slots, quotas / quotas.sum())
+            draws = settled(draws, quotas)
+            firsts = np.cumsum(draws, axis=0) - draws
+            shard, source = np.nonzero(draws)
+            count, first = draws[shard, source], firsts[shard, source]
+            pieces = -(-count // _AT_ONCE)
+            turn = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            shard, source, count, first = (np.repeat(x, pieces) for x in (shard, source, count, first))
+            number, blocks = (np.array([s[c] for s in row["sources"]], np.int64)[source] for c in ("number", "blocks"))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(number.astype(np.int32)), pa.array(shard.astype(np.int32)),
+                    pa.array(first + turn * _AT_ONCE), pa.array(np.minimum(count - turn * _AT_ONCE, _AT_ONCE)),
+                    pa.array(blocks),
+                ],
+                ["number", "shard", "first", "count", "blocks"],
+            )
 
 
 def _slot_blocks(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for number, shard, first, count, blocks in zip(*(c.to_pylist() for c in batch.columns)):
-            for at in range(first, first + count, _AT_ONCE):
-                slot = np.arange(at, min(at + _AT_ONCE, first + count), dtype=np.int64)
-                lap, index = slot // blocks, slot % blocks
-                key = _source_key(np.full(len(slot), number), lap, seed)
-                block = permuted(index, np.full(len(slot), blocks), key)
-                own = [np.full(len(slot), number, np.int32), np.full(len(slot), shard, np.int32)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in (*own, slot, block)], ["number", "shard", "slot", "block"]
-                )
+            slot = np.arange(first, first + count, dtype=np.int64)
+            lap, index = slot // blocks, slot % blocks
+            key = _source_key(np.full(len(slot), number), lap, seed)
+            block = permuted(index, np.full(len(slot), blocks), key)
+            own = [np.full(len(slot), number, np.int32), np.full(len(slot), shard, np.int32)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in (*own, slot, block)], ["number", "shard", "slot", "block"]
+            )
+
+
+def _slots(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
+    """The output slots of written ``quotas`` (number, slots, blocks), one row each."""
+    spark = quotas.sparkSession
+    part = F.floor(F.col("number") / SOURCES).alias("part")
+    groups = quotas.groupBy(part).agg(
+        F.sort_array(F.collect_list(F.struct("number", "slots", "blocks"))).alias("sources"),  # at most SOURCES
+        F.sum("slots").alias("total"),
+    )
+    totals = groups.agg(F.sort_array(F.collect_list(F.struct("part", "total")))).scalar()
+    drawn = groups.repartition("part").select("part", "sources", totals.alias("totals")).transform(
+        map_arrow,
+        lambda batches: _drawn(batches, shards, seed),
+        "number int, shard int, first long, count long, blocks long",
+    )
+    # A number of tasks that adaptive execution leaves alone: a row here is many there.
+    slots = quotas.agg(F.sum("slots")).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), slots >> 20)
+    return drawn.repartition(tasks, "number", "shard", "first").transform(
+        map_arrow,
+        lambda batches: _slot_blocks(batches, seed),
+        "number int, shard int, slot long, block long",
+    )
 
 
 def mix_plan(
@@ -171,8 +229,9 @@ def mix_plan(
 
     Equal (source, id, size) are one entry with copies, laid out one after the other.
     Null ids, sources and texts are values like others (a null text has no words); texts
-    without words have one piece of no words. An empty table makes empty parts. Sizes of
-    sources, one row each, are gathered on the driver, where the draws are made.
+    without words have one piece of no words. An empty table makes empty parts. Draws are
+    made in tasks, from the written quotas of ``SOURCES`` sources at a time; nothing of a
+    row for each source reaches the driver.
     """
     spark = df.sparkSession
     counted = (
@@ -187,27 +246,19 @@ def mix_plan(
     )
     counted = written(counted, new_work_path(spark, "mix-entries"))
     sizes = counted.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))
-    by_name = F.struct(F.col("source").isNull(), F.col("source").cast("binary"))
-    rows = targets(sizes).orderBy(by_name).collect()  # one for each source
-    size = np.array([r["source_size"] for r in rows], np.int64)
-    quotas_of = block_quotas(size, np.array([r["target"] or 0.0 for r in rows]), block)
-    draws = settled(shard_draws(quotas_of[1], shards, seed), quotas_of[1])
-    firsts = np.cumsum(draws, axis=0) - draws
-    known = spark.createDataFrame(
-        [(i, r["source"], r["source_size"], r["target"]) for i, r in enumerate(rows)],
-        "number int, name string, source_size long, target double",
-    )
-    drawn = spark.createDataFrame(
-        [
-            (n, s, int(firsts[s, n]), int(draws[s, n]), int(quotas_of[0][n]))
-            for s, n in zip(*(x.tolist() for x in np.nonzero(draws)))
-        ],
-        "number int, shard int, first long, count long, blocks long",
-    )
-    slots = drawn.repartition("number", "shard").transform(
-            map_arrow,
-        lambda batches: _slot_blocks(batches, seed), "number int, shard int, slot long, block long"
+    by_name = Window.orderBy(F.col("source").isNull(), F.col("source").cast("binary"))
+    blocks_of = F.ceil(F.col("source_size") / block).cast("long")
+    asked = F.rint(F.coalesce("target", F.lit(0.0)) / F.greatest("source_size", F.lit(1)) * F.col("blocks"))
+    # One row for each source from here on.
+    quotas = (
+        targets(sizes)
+        .withColumns({"number": F.row_number().over(by_name) - 1, "blocks": blocks_of})
+        .withColumn("slots", F.least(asked.cast("long"), MOST_PASSES * F.col("blocks")))
+        .withColumnRenamed("source", "name")
     )
+    quotas = written(quotas, new_work_path(spark, "mix-quotas"))
+    known = quotas.select("number", "name", "source_size", "target")
+    slots = _slots(quotas.select("number", "slots", "blocks"), shards, seed)
     strand = F.pmod("place", F.lit(STRANDS)).cast("int")
     entries = counted.join(known, F.col("source").eqNullSafe(F.col("name"))).select(
         F.xxhash64("source", "id", "size").alias("entry"),
@@ -276,7 +327,9 @@ def mixed_documents(
     there, and has as many copies as grid points of distance one fall into its span
     (systematic sampling). So a source is off by about one text, and so is each class.
     Rows of equal id, source and size share a span; each takes the part that a hash of its
-    text picks, so only wholly equal rows are rounded alike. Rows without words are not taken.
+    text picks, so only wholly equal rows are rounded alike. Rows without words, null texts
+    among them, are not taken; null ids and sources are values like others. An empty table
+    stays empty; other columns are kept, whatever their names.
     """
     spark = df.sparkSession
     kind, part = F.floor(8 * F.log2("mix_size")).cast("int"), F.pmod(F.xxhash64(F.lit(seed), "mix_id", "mix_size"), F.lit(PARTS))
@@ -319,16 +372,24 @@ def mixed_documents(
         )
         .select("mix_id", "mix_source", "mix_size", "rows", "mean", (F.col("part_first") + F.col("inside") + grid).alias("first"))
     )
-    size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
-    own = F.col("first") + F.pmod(F.xxhash64(df[text]), F.col("rows")) * F.col("mean")
+    size = F.regexp_count(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(WORD)).cast("long")
+    # The rows as they are, in one column, so that their names meet no others.
+    rows = df.select(
+        F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"),
+        F.col(f"`{id_}`").alias("own_id"),
+        F.col(f"`{source}`").alias("own_source"),
+        size.alias("own_size"),
+        F.xxhash64(F.col(f"`{text}`")).alias("own_hash"),
+    )
+    own = F.col("first") + F.pmod("own_hash", F.col("rows")) * F.col("mean")
     times = F.floor((own + F.col("mean")) / ONE) - F.floor(own / ONE)
     return (
-        df.join(
+        rows.join(
             placed,
-            F.col(id_).eqNullSafe(F.col("mix_id"))
-            & F.col(source).eqNullSafe(F.col("mix_source"))
-            & (size == F.col("mix_size")),
+            F.col("own_id").eqNullSafe(F.col("mix_id"))
+            & F.col("own_source").eqNullSafe(F.col("mix_source"))
+            & (F.col("own_size") == F.col("mix_size")),
         )
-        .withColumn("mix_id", F.explode(F.array_repeat(F.lit(1), times.cast("int"))))
-        .select(*(df[c] for c in df.columns))
+        .select("row", F.explode(F.array_repeat(F.lit(1), times.cast("int"))))
+        .select("row.*")
     )

@@ -226,9 +226,18 @@ def weigh_quality(
 
 
 def keep_quality(df: DataFrame, labels: DataFrame, id_: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of ``df`` that ``weigh_quality`` keeps."""
-    kept = weigh_quality(df, labels, id_, text, **how).where("kept").select(
+    """The rows of ``df`` that ``weigh_quality`` keeps, which treats odd rows: of equal rows
+    all stay or go. Other columns are kept, whatever their names; an empty table stays empty.
+    """
+    read = df.select(F.col(f"`{id_}`").alias(id_), F.col(f"`{text}`").alias(text))
+    kept = weigh_quality(read, labels, id_, text, **how).where("kept").select(
         F.col(id_).alias("kept_id"), F.col("digest").alias("kept_digest")
     )
-    own = F.col(id_).eqNullSafe(F.col("kept_id")) & (F.xxhash64(text) == F.col("kept_digest"))
-    return df.join(kept, own, "left_semi")
+    # The rows as they are, in one column, so that their names meet no others.
+    rows = df.select(
+        F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"),
+        F.col(f"`{id_}`").alias("own_id"),
+        F.xxhash64(F.col(f"`{text}`")).alias("own_digest"),
+    )
+    own = F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_digest") == F.col("kept_digest"))
+    return rows.join(kept, own, "left_semi").select("row.*")
