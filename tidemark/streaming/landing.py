@@ -66,7 +66,7 @@ def follow_landing(
         if snapshot_of:
             name = snapshot_of(F.col(N.SOURCE_NAME))
             # A name for each snapshot that has landed since.
-            names = sorted(r[0] for r in batch.select(name).distinct().collect())
+            names = batch.agg(F.sort_array(F.collect_set(name))).first()[0]
             units = [(f"{key}/{n}", batch.where(name == n)) for n in names]
         for unit, rows in units:
             if not HistoryTable(session, layers.history).has_batch(unit):
