@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    components,
     fill_in_middle,
     mixing,
     near_duplicates,
@@ -302,3 +303,58 @@ def test_thousands_of_sources_meet_their_targets(spark, monkeypatch, together):
     assert numbered.where("count > 1").count() == 0
     shards = [r.n for r in slots.groupBy("shard").agg(F.count("*").alias("n")).collect()]
     assert max(shards) - min(shards) <= 1
+
+
+def shingles(text):
+    words = re.findall(BLANK, lower(text or ""))
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} if len(words) > 4 else {tuple(words)} - {()}
+
+
+@pytest.mark.parametrize("similarity", [60, 80, 92])
+def test_links_at_any_similarity_match_brute_force(spark, similarity):
+    rng = random.Random(similarity)
+    rows = []
+    for group in range(14):
+        base = [f"g{group}w{rng.randrange(300)}" for _ in range(90)]
+        for _ in range(9):
+            words = list(base)
+            for _ in range(rng.randrange(12)):
+                words[rng.randrange(90)] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    sets = [shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_duplicates.near_duplicates(frame, similarity=similarity).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: root(i) for i in range(len(rows))}
+    assert len({r.component_id for r in found}) > 14
+
+
+def test_a_similarity_that_signatures_cannot_find_is_refused(spark):
+    for similarity in (0, 10, 101):
+        with pytest.raises(ValueError, match="similarity"):
+            near_duplicates.near_duplicates(spark.createDataFrame([(1, "a")], "doc_id long, text string"), similarity=similarity)
+    counts = [near_duplicates.matches_for(s) for s in (100, 85, 80, 60)]
+    assert counts == sorted(counts, reverse=True) and counts[0] == near_duplicates.COORDINATES
+
+
+def test_components_of_hubs_and_chains(spark, monkeypatch):
+    monkeypatch.setattr(components, "LINKS", 20)
+    star = [(i, 500) for i in range(501, 900)] + [(i, 900) for i in range(100, 300)] + [(900, 899)]
+    chain = [(i + 1, i) for i in range(2000, 2200)]
+    pairs = [(3000 + 2 * i, 3001 + 2 * i) for i in range(50)]
+    links = star + chain + pairs + [(7, 7), (3000, 3001)]
+    found = dict(map(tuple, components.components(spark.createDataFrame(links, "a long, b long")).collect()))
+    wanted = {i: 100 for i in [*range(101, 300), *range(500, 901)]}
+    wanted |= {i: 2000 for i in range(2001, 2201)} | {3001 + 2 * i: 3000 + 2 * i for i in range(50)}
+    assert found == wanted

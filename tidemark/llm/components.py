@@ -8,20 +8,31 @@ from pyspark.sql import functions as F
 from tidemark.session import new_work_path, written
 
 
-def _stars(links: DataFrame, large: bool) -> DataFrame:
-    """One operation over links (a, b) with a > b, given and returned.
+#: Nodes with more links than this are told their smallest neighbour by a broadcast, of
+#: which there are at most ``HUBS``.
+LINKS, HUBS = 1000, 100_000
+
+
+def _stars(links: DataFrame, large: bool, count: int) -> DataFrame:
+    """One operation over ``count`` links (a, b) with a > b, given and returned.
 
     Large star: each node's larger neighbours go to its smallest neighbour. Small star:
-    its smaller ones and itself do. Only smallest neighbours are gathered, so a node with
-    many links makes no large group.
+    its smaller ones and itself do. Only smallest neighbours are gathered, and the links of
+    a node with many of them stay where they are, so no task gets all of these.
     """
     around = links.select(F.col("a").alias("node"), F.col("b").alias("other"))
     if large:
         around = around.unionAll(links.select(F.col("b"), F.col("a")))
-    least = around.groupBy("node").agg(F.min("other").alias("least")).select(
-        F.col("node").alias("centre"), F.least("node", "least").alias("least")
+    least = around.groupBy("node").agg(F.min("other").alias("least"), F.count("*").alias("links")).select(
+        F.col("node").alias("centre"), F.least("node", "least").alias("least"), "links"
     )
-    joined = around.join(least, F.col("node") == F.col("centre"))
+    # Links have two ends, so at most HUBS nodes have more than this.
+    many = max(LINKS, 2 * count // HUBS)
+    hubs = F.broadcast(least.where(F.col("links") > many))
+    same = F.col("node") == F.col("centre")
+    of_hubs = around.join(hubs, same)
+    of_others = around.join(hubs, same, "left_anti").join(least.where(F.col("links") <= many), same)
+    joined = of_hubs.unionAll(of_others)
     moved = joined.where(F.col("other") > F.col("node") if large else F.col("other") != F.col("least")).select(
         F.col("other").alias("a"), F.col("least").alias("b")
     )
@@ -46,6 +57,8 @@ def components(links: DataFrame) -> DataFrame:
     now = written(ordered.distinct(), new_work_path(spark, "links"))
     before, at = None, state(now)
     while at != before and at[0]:
-        now = written(_stars(_stars(now, large=True), large=False), new_work_path(spark, "links"))
+        # No operation makes more links than twice those it is given.
+        larger = _stars(now, large=True, count=at[0])
+        now = written(_stars(larger, large=False, count=2 * at[0]), new_work_path(spark, "links"))
         before, at = at, state(now)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component"))

@@ -14,6 +14,7 @@ list is, and hands on at most one link for each member.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +32,31 @@ SHINGLE = 5
 SIMILARITY = 85
 #: Coordinates of a signature.
 COORDINATES = 64
-#: Coordinates that a pair has to share. At a similarity of 0.85 fewer come up with a
-#: chance of 3e-10; a smaller similarity that passes is turned down on the full sets.
-MATCHES = 34
+#: Chance with which a pair at the wanted similarity may share too few coordinates.
+MISSED = 1e-6
 #: Members of a list or group that are held as one block, and their shingles.
 BLOCK = 256
 BLOCK_SHINGLES = 400_000
 
+
+
+def matches_for(similarity: int) -> int:
+    """Coordinates that a pair has to share: as many as a pair at ``similarity`` percent
+    fails to share with a chance of at most ``MISSED``.
+
+    Each coordinate agrees with the chance of the similarity. A smaller similarity that
+    passes is turned down on the full sets.
+    """
+    chance, below = similarity / 100, 0.0
+    for matches in range(COORDINATES + 1):
+        below += comb(COORDINATES, matches) * chance**matches * (1 - chance) ** (COORDINATES - matches)
+        if below > MISSED:
+            break
+    if not 0 < similarity <= 100 or matches < 1:
+        raise ValueError(f"{COORDINATES} coordinates cannot find pairs at a similarity of {similarity} percent")
+    return matches
+
+
 _RNG = np.random.Generator(np.random.Philox(20_221_103))
 _FLIP = _RNG.integers(0, 1 << 64, COORDINATES, np.uint64)
 _TIMES = _RNG.integers(0, 1 << 64, COORDINATES, np.uint64) | np.uint64(1)
@@ -160,7 +179,7 @@ def _settle(parent: np.ndarray) -> np.ndarray:
         parent = above
 
 
-def _listed_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _listed_together(batches: Iterator[pa.RecordBatch], matches: int) -> Iterator[pa.RecordBatch]:
     """Links of members of one list whose sketches match often enough.
 
     Members already in one local group are not compared, so links are a forest.
@@ -181,7 +200,7 @@ def _listed_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             rows = rows[rows + away < table.num_rows]
             rows = rows[group[rows] == group[rows + away]]
             todo = rows[(parent[rows] != parent[rows + away]) & ((side[rows] < 0) | (side[rows] != side[rows + away]))]
-            same = (sketch[todo] == sketch[todo + away]).sum(axis=1) >= MATCHES
+            same = (sketch[todo] == sketch[todo + away]).sum(axis=1) >= matches
             for a in todo[same].tolist():
                 x, y = a, a + away
                 while parent[x] != x:
@@ -299,8 +318,8 @@ def _confirmed(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[p
             )
 
 
-def candidate_links(classes: DataFrame) -> DataFrame:
-    """Links (a, b) that connect all sets whose signatures match often enough.
+def candidate_links(classes: DataFrame, matches: int) -> DataFrame:
+    """Links (a, b) that connect all sets whose signatures agree in ``matches`` coordinates.
 
     ``classes``: member, tokens, sketch.
     """
@@ -310,7 +329,7 @@ def candidate_links(classes: DataFrame) -> DataFrame:
         F.col("token").alias("list"), "df"
     )
     # Tokens that nobody shares come first in a member's order and fill up its prefix.
-    prefix = COORDINATES - MATCHES + 1
+    prefix = COORDINATES - matches + 1
     rarest = F.slice("lists", F.lit(1), F.greatest(F.lit(0), F.lit(prefix - COORDINATES) + F.size("lists")))
     lists = (
         posted.join(shared, F.col("token") == F.col("list"))
@@ -323,8 +342,7 @@ def candidate_links(classes: DataFrame) -> DataFrame:
     )
     pairs = _pairs_of_blocks(rows, ["token"], F.ceil(F.col("df") / BLOCK), F.col("member"))
     found = pairs.select("token", "i", "j", "side", "member", "sketch").transform(
-            map_arrow,
-        _listed_together, "a long, b long"
+        map_arrow, lambda batches: _listed_together(batches, matches), "a long, b long"
     )
     return written(found, new_work_path(spark, "candidates"))
 
@@ -342,9 +360,11 @@ def near_duplicates(
     Ids are integers. Rows that repeat an id are one node: both texts' links hold for
     both, and both rows are kept or not. A row without an id is linked with nothing, has
     no component and is kept. Texts are compared whole, equal sets only once. An empty
-    table gives none; extra columns are not read.
+    table gives none; extra columns are not read. A similarity so low that signatures
+    cannot find its pairs is refused.
     """
     spark = df.sparkSession
+    matches = matches_for(similarity)
     signed = written(signatures(df, id_, text), new_work_path(spark, "signatures"))
     known = signed.where("n_shingles > 0 AND id IS NOT NULL")
     classes = known.groupBy("set_key").agg(
@@ -357,7 +377,7 @@ def near_duplicates(
     # A member is a class; its number comes from the key, since ids may repeat. Should two
     # share a number, they are candidates together and told apart by key and node.
     classes = written(classes.withColumn("member", F.xxhash64("set_key")), new_work_path(spark, "classes"))
-    groups = written(components(candidate_links(classes)), new_work_path(spark, "groups"))
+    groups = written(components(candidate_links(classes, matches)), new_work_path(spark, "groups"))
     grouped = groups.unionAll(groups.select("component", "component").distinct())
     sized = grouped.toDF("m", "label").join(
         classes.select("member", "node", "set_key", "n_shingles"), F.col("m") == F.col("member")
