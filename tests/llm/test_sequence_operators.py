@@ -21,6 +21,7 @@ from tidemark.llm import (
     periodic_runs,
     quality,
     repetition,
+    url_lists,
 )
 
 BLANK = r"[^\x20\x09-\x0d]+"
@@ -358,3 +359,32 @@ def test_components_of_hubs_and_chains(spark, monkeypatch):
     wanted = {i: 100 for i in [*range(101, 300), *range(500, 901)]}
     wanted |= {i: 2000 for i in range(2001, 2201)} | {3001 + 2 * i: 3000 + 2 * i for i in range(50)}
     assert found == wanted
+
+
+def captured(spark, urls, entries):
+    captures = spark.createDataFrame([(i, u, "2024-02-01") for i, u in enumerate(urls)], "page_id long, url string, fetched_on string")
+    listed = spark.createDataFrame([(p, "block", "2024-01-01") for p in entries], "pattern string, action string, listed_on string")
+    found = url_lists.filter_captures(captures, listed).collect()
+    return [r.pattern for r in sorted(found)]
+
+
+def test_urls_of_any_length_are_looked_up(spark):
+    deep = "http://long.org/" + "a/" * 60_000
+    wide = "http://long.org/" + "x" * 1_000_000
+    labels = "http://" + ".".join(["l"] * 5_000) + ".org/p"
+    asked = "http://long.org/q?" + "k=v&" * 250_000
+    entries = ["long.org/a/a/a", "long.org/x", "l.l.org", "long.org/q", "long.org/qq"]
+    assert captured(spark, [deep, wide, labels, asked], entries) == ["long.org/a/a/a", None, "l.l.org", "long.org/q"]
+    assert captured(spark, [deep, wide], ["org.uk"]) == [None, None]
+    assert captured(spark, [wide], [wide]) == [wide.removeprefix("http://")]
+
+
+def test_addresses_in_brackets_are_hosts(spark):
+    urls = ["http://[2001:db8::1]/p", "http://[2001:aaaa::2]:8080/p/q", "http://u@[::1]", "http://[v1.a.b]/x"]
+    entries = ["[2001:db8::1]", "https://[2001:AAAA::2]:443/p/", "a.b]", "[::1]"]
+    assert captured(spark, urls, entries) == ["[2001:db8::1]", "[2001:aaaa::2]/p", "[::1]", None]
+
+
+def test_a_cut_path_matches_whole_parts_only(spark):
+    urls = ["http://h.org/abcdef", "http://h.org/abc/def", "http://h.org/abc", "http://h.org/ab/c", "http://h.org/abc?x=1"]
+    assert captured(spark, urls, ["h.org/abc"]) == [None, "h.org/abc", "h.org/abc", None, "h.org/abc"]

@@ -10,7 +10,7 @@ from tidemark.session import new_work_path, written
 
 #: Nodes with more links than this are told their smallest neighbour by a broadcast, of
 #: which there are at most ``HUBS``.
-LINKS, HUBS = 1000, 100_000
+LINKS, HUBS = 100, 100_000
 
 
 def _stars(links: DataFrame, large: bool, count: int) -> DataFrame:

@@ -101,22 +101,28 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM s) WHERE rank <= 10
 """
 
-_HOST = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1))"
-_PART = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)', 1)"
+_HOST = r"lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:@\[\]]+)', 1))"
+_PATH = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^?#]*)', 1)"
 URL_SQL = f"""
-WITH c AS (SELECT row_number() OVER () AS r, page_id, (DATE '2024-01-01' + (page_id * 37 % 400)::INT)::DATE AS fetched_on,
-    {_HOST} AS host, {_PART} AS part FROM pages),
-k AS (SELECT r, fetched_on, 0 AS place, host || '/' || part AS key FROM c WHERE host <> '' AND part <> ''
-    UNION ALL SELECT r, fetched_on, i AS place, array_to_string(string_split(host, '.')[i:], '.') AS key
+WITH c AS (SELECT row_number() OVER () AS r, page_id,
+    TIMESTAMP '2024-01-01' + to_days((page_id * 37 % 400)::INT) + to_hours((page_id % 24)::INT) AS fetched_at,
+    {_HOST} AS host, string_split({_PATH}, '/') AS parts FROM pages),
+k AS (SELECT r, fetched_at, -length(key) AS place, 1 AS parent, key FROM (
+        SELECT r, fetched_at, host || '/' || array_to_string(parts[1:i], '/') AS key
+        FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM c WHERE host <> '')) WHERE key NOT LIKE '%/'
+    UNION ALL SELECT r, fetched_at, i AS place, 2 AS parent, array_to_string(string_split(host, '.')[i:], '.') AS key
     FROM (SELECT *, unnest(range(1, greatest(len(string_split(host, '.')) - 1, 1) + 1)) AS i FROM c WHERE host <> '')),
-turns AS (SELECT DISTINCT key AS pattern, turn, md5(key || '#' || turn) AS digest FROM k, range(3) x(turn)),
-e AS (SELECT pattern, (DATE '2024-01-01' + (('0x' || substr(digest, 1, 6))::BIGINT % 400)::INT)::DATE AS valid_from,
+listed AS (SELECT DISTINCT key FROM k WHERE len(string_split(key, '/')) <= 4),
+turns AS (SELECT key AS pattern, md5(key || '#' || turn) AS digest FROM listed, range(3) x(turn)),
+e AS (SELECT pattern, TIMESTAMP '2024-01-01' + to_days((('0x' || substr(digest, 1, 6))::BIGINT % 400)::INT)
+        + to_hours((('0x' || substr(digest, 9, 4))::BIGINT % 24)::INT) AS valid_from,
     max(CASE ('0x' || substr(digest, 7, 1))::BIGINT % 3 WHEN 0 THEN 'block' WHEN 1 THEN 'allow' ELSE 'remove' END) AS action
     FROM turns GROUP BY 1, 2),
-v AS (SELECT *, coalesce(lead(valid_from) OVER (PARTITION BY pattern ORDER BY valid_from), DATE '9999-12-31') AS valid_to FROM e),
-b AS (SELECT r, min_by(action, place) AS action, min_by(pattern, place) AS pattern FROM k JOIN v
-    ON k.key = v.pattern AND fetched_on >= valid_from AND fetched_on < valid_to AND action <> 'remove' GROUP BY r)
-SELECT page_id, fetched_on, coalesce(action, 'none') AS verdict, pattern FROM c LEFT JOIN b USING (r)
+v AS (SELECT *, coalesce(lead(valid_from) OVER (PARTITION BY pattern ORDER BY valid_from), TIMESTAMP '9999-12-31') AS valid_to FROM e),
+b AS (SELECT r, min_by(action, (parent, place)) AS action, min_by(pattern, (parent, place)) AS pattern FROM k JOIN v
+    ON k.key = v.pattern AND fetched_at >= valid_from AND fetched_at < valid_to AND action <> 'remove' GROUP BY r)
+SELECT page_id, strftime(fetched_at, '%Y-%m-%d %H:%M:%S') AS fetched_at, coalesce(action, 'none') AS verdict, pattern
+FROM c LEFT JOIN b USING (r)
 """
 
 FILL_SQL = """

@@ -49,25 +49,37 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def url_history(pages: DataFrame) -> DataFrame:
-    """A dated list for the hosts, parent domains and first paths that the pages have:
-    three entries for each, whose dates and actions follow from the pattern's MD5."""
-    patterns = pages.select(F.explode(url_lists.patterns_of(F.col("url"), depth=1)).alias("pattern")).distinct()
+    """A dated list for the hosts, parent domains and paths of up to three parts that the
+    pages have: three entries for each, whose instants and actions follow from the pattern's
+    MD5. Half of the entries are written as a URL: upper-case host, port, slash at the end."""
+    patterns = pages.select(F.explode(url_lists.patterns_of(F.col("url"), depth=3)).alias("pattern")).distinct()
     turn = patterns.select("pattern", F.explode(F.array(*map(F.lit, range(3)))).alias("turn"))
     digest = F.md5(F.concat_ws("#", "pattern", "turn"))
-    day = F.conv(F.substring(digest, 1, 6), 16, 10).cast("int") % 400
-    kind = F.conv(F.substring(digest, 7, 1), 16, 10).cast("int") % 3
+
+    def drawn(first: int, count: int, below: int) -> Column:
+        return (F.conv(F.substring(digest, first, count), 16, 10).cast("int") % below).cast("int")
+
+    host = F.substring_index("pattern", "/", 1)
+    written_out = F.concat(F.lit("HTTPS://"), F.upper(host), F.lit(":443"), F.expr("substring(pattern, length(substring_index(pattern, '/', 1)) + 1)"), F.lit("/"))
     return turn.select(
-        "pattern",
-        F.element_at(F.array(F.lit("block"), F.lit("allow"), F.lit("remove")), kind + 1).alias("action"),
-        F.date_add(F.lit("2024-01-01").cast("date"), day).alias("listed_on"),
+        F.when(drawn(8, 1, 2) == 1, written_out).otherwise(F.col("pattern")).alias("pattern"),
+        F.element_at(F.array(F.lit("block"), F.lit("allow"), F.lit("remove")), drawn(7, 1, 3) + 1).alias("action"),
+        _instant(drawn(1, 6, 400), drawn(9, 4, 24)).alias("listed_on"),
     )
 
 
+def _instant(days: Column, hours: Column) -> Column:
+    """So many days and hours after the start of 2024."""
+    start = F.lit("2024-01-01").cast("timestamp")
+    return start + F.make_dt_interval(days, hours)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    fetched = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") * 37 % 400).cast("int"))
-    captures = pages.select("page_id", "url", fetched.alias("fetched_on"))
-    return url_lists.filter_captures(captures, url_history(pages))
+    fetched = _instant((F.col("page_id") * 37 % 400).cast("int"), (F.col("page_id") % 24).cast("int"))
+    captures = pages.select("page_id", "url", fetched.alias("fetched_at"))
+    found = url_lists.filter_captures(captures, url_history(pages), fetched="fetched_at")
+    return found.withColumn("fetched_at", F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
