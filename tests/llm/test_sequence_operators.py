@@ -8,6 +8,7 @@ import re
 import tracemalloc
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -15,10 +16,13 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     components,
     fill_in_middle,
+    licences,
     mixing,
     near_duplicates,
+    oracles,
     passages,
     periodic_runs,
+    personal_data,
     quality,
     repetition,
     url_lists,
@@ -388,3 +392,42 @@ def test_addresses_in_brackets_are_hosts(spark):
 def test_a_cut_path_matches_whole_parts_only(spark):
     urls = ["http://h.org/abcdef", "http://h.org/abc/def", "http://h.org/abc", "http://h.org/ab/c", "http://h.org/abc?x=1"]
     assert captured(spark, urls, ["h.org/abc"]) == [None, "h.org/abc", "h.org/abc", None, "h.org/abc"]
+
+
+def test_identifiers_in_other_spellings():
+    automaton = personal_data.anchors()
+    for text, expected in {
+        "see HTTPS://bob:pw@host.org/x now": "see <URL> now",
+        "Ftp+Tls://a@b.c": "<URL>",
+        "password: hunterhunter": "password: <SECRET>",
+        "api_key = 'abcdefghij' # own": "api_key = '<SECRET>' # own",
+        "passwd=letmeinplease, then": "passwd=<SECRET>, then",
+        "password: required for every user": "password: required for every user",
+        "password is mandatory": "password is mandatory",
+        "account no 12345 2024-05-06": "account no <ACCOUNT> 2024-05-06",
+        "account: 1234 5678 2024-05-06, due": "account: <ACCOUNT> 2024-05-06, due",
+        "account: 2024-05-067": "account: <ACCOUNT>",
+        "account: 1234 5678 9012": "account: <ACCOUNT>",
+    }.items():
+        assert personal_data.redacted(text, personal_data.spans_of(text, automaton)) == expected
+
+
+def test_sql_and_operator_agree_on_stretched_notices(spark, tmp_path):
+    """Every notice with words put in, at the starts of a window and a half."""
+    rng, rows = random.Random(21), [(0, None), (1, "")]
+    for notice in licences.TEMPLATES:
+        for inserted in (0, 5, 30, 50):
+            for start in rng.sample(range(96), 12):
+                words = notice.split()
+                for _ in range(inserted):
+                    words.insert(rng.randrange(1, len(words)), f"x{rng.randrange(10**6)}")
+                rows.append((len(rows), " ".join([f"y{i}" for i in range(start)] + words + ["end"] * 5)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    frame.coalesce(1).write.parquet(str(tmp_path / "documents"))
+    with duckdb.connect() as connection:
+        connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents/*.parquet')")
+        wanted = connection.execute(oracles.LICENCE_SQL).fetchall()
+    names = "doc_id n_words n_base first_word last_word base_labels labels score".split()
+    found = licences.scan_licences(frame).select(*names).collect()
+    assert Counter(map(tuple, found)) == Counter(wanted)
+    assert sum(1 for r in found if r.labels) > len(rows) / 2

@@ -42,14 +42,17 @@ IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 HANDLE = re.compile(r"@[A-Za-z][A-Za-z0-9_]{2,29}(?![A-Za-z0-9_@.-])")
-SCHEME = re.compile(r"[a-z+.-]*[a-z]")
+SCHEME = re.compile(r"[A-Za-z+.-]*[A-Za-z]")
 #: A link that names a person: credentials before its host.
 LINK = re.compile(r"://[^\s/@:]+(?::[^\s/@]*)?@[^\s\"'<>]+")
 LABELLED = re.compile(r"[\x20\t]*(?:[:=#]|(?:no|number|is)\b\.?:?)[\x20\t]*[\"']?([A-Za-z0-9_+/=.-]{4,})")
 
 #: What goes on over single blanks and hyphens: the groups of an IBAN, or of digits.
 IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?:[\x20-]?[A-Za-z0-9]){11,30}")
-GROUPED = re.compile(r"[0-9]+(?:[\x20-][0-9]+)+(?![A-Za-z0-9_])")
+#: A date after the number is none of its groups.
+GROUPED = re.compile(r"[0-9]+(?:[\x20-](?![0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9]))[0-9]+)+(?![A-Za-z0-9_])")
+#: A secret of letters alone: set by a sign, and the last of its line or in quotes.
+SET = re.compile(r"[\x20\t]*[:=][\x20\t]*(?:\"[A-Za-z_+/=.-]{8,}\"|'[A-Za-z_+/=.-]{8,}'|[A-Za-z_+/=.-]{8,}(?=[\x20\t]*(?:[,;\r\n]|$)))")
 LABEL = re.compile(r"[\x20\t]*(?:[:=#]|(?:no|number|is)\b\.?:?)[\x20\t]*[\"']?", re.ASCII | re.IGNORECASE)
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
@@ -126,7 +129,7 @@ def spans_of(text: str, automaton: ahocorasick.Automaton) -> list[Span]:
                 found.append((at, match.end(), "phone"))
         elif sign == "://":
             start = at
-            while start > 0 and (text[start - 1].islower() and text[start - 1].isascii() or text[start - 1] in "+.-"):
+            while start > 0 and (text[start - 1].isalpha() and text[start - 1].isascii() or text[start - 1] in "+.-"):
                 start -= 1
             match = LINK.match(text, at)
             if match and start < at and SCHEME.fullmatch(text, start, at):
@@ -153,7 +156,9 @@ def spans_of(text: str, automaton: ahocorasick.Automaton) -> list[Span]:
                     continue
             match = LABELLED.match(text, last + 1)
             value = match[1].rstrip(".") if match else ""
-            if len(value) >= (8 if sign == "secret" else 4) and any(c in "0123456789" for c in value):
+            if len(value) < (8 if sign == "secret" else 4):
+                continue
+            if any(c in "0123456789" for c in value) or sign == "secret" and SET.match(text, last + 1):
                 found.append((match.start(1), match.start(1) + len(value), sign))
     rank = {kind: i for i, kind in enumerate(KINDS)}
     return sorted(set(found), key=lambda span: (span[0], rank[span[2]], span[1]))

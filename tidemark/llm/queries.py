@@ -95,7 +95,8 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outputs = (*(f"n_{kind}" for kind in personal_data.BASE_KINDS), "base_sha256", "spans")
+    base, own = personal_data.BASE_KINDS, personal_data.KINDS[len(personal_data.BASE_KINDS) :]
+    outputs = (*(f"n_{kind}" for kind in base), "base_sha256", "spans", *(f"n_{kind}" for kind in own))
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return personal_data.find_personal_data(documents, outputs=outputs).drop("text")
 
