@@ -19,6 +19,7 @@ from tidemark.llm import (
     licences,
     mixing,
     near_duplicates,
+    nearest,
     oracles,
     passages,
     periodic_runs,
@@ -431,3 +432,20 @@ def test_sql_and_operator_agree_on_stretched_notices(spark, tmp_path):
     found = licences.scan_licences(frame).select(*names).collect()
     assert Counter(map(tuple, found)) == Counter(wanted)
     assert sum(1 for r in found if r.labels) > len(rows) / 2
+
+
+def test_repeated_queries_have_a_list_each(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(40)]
+    rows += [(0, rows[0][1]), (0, rng.standard_normal(8).tolist()), (7, rows[3][1])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = nearest.nearest(frame, frame.where("vec_id = 0"), k=10).collect()
+
+    def wanted(query):
+        return sorted((float(np.sqrt(sum((a - b) ** 2 for a, b in zip(v, query)))), i) for i, v in rows if i != 0)[:10]
+
+    lists = [wanted(v) for i, v in rows if i == 0]
+    assert Counter((r["rank"], r["id"]) for r in found) == Counter(
+        (place, i) for near in lists for place, (_, i) in enumerate(near, start=1)
+    )
+    assert len(found) == 30

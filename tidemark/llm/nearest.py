@@ -100,8 +100,8 @@ def _bounds(codes: np.ndarray, length: np.ndarray, fit: np.ndarray, query: np.nd
     return both - scale * near, both - scale * far
 
 
-def _search(batches: Iterator[pa.RecordBatch], ids, queries, turned, k: int, width: float) -> Iterator[pa.RecordBatch]:
-    """The ``k`` nearest of a partition for each query, by exact distance then id."""
+def _search(batches: Iterator[pa.RecordBatch], rows_of, ids, queries, turned, k: int, width: float) -> Iterator[pa.RecordBatch]:
+    """The ``k`` nearest of a partition for each query row, by exact distance then id."""
     reach = np.full((len(ids), k), np.inf)  # the k smallest largest-possible squares so far
     best: list[list[tuple[float, int]]] = [[] for _ in ids]
     step = max(1, CELLS // max(1, len(ids)))
@@ -118,10 +118,11 @@ def _search(batches: Iterator[pa.RecordBatch], ids, queries, turned, k: int, wid
             for q, v in zip(*(list(x) for x in _grouped((low <= reach[:, -1:] + slack) & ~itself))):
                 found = list(zip(exact(vectors[v], queries[q]).tolist(), own[v].tolist()))
                 best[q] = sorted(best[q] + found)[:k]
-    rows = [(int(ids[q]), i, d) for q, found in enumerate(best) for d, i in found]
+    rows = [(int(rows_of[q]), int(ids[q]), i, d) for q, found in enumerate(best) for d, i in found]
+    row, query, near, score = zip(*rows) if rows else [()] * 4
     yield pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.float64())],
-        ["query_id", "id", "score"],
+        [pa.array(row, pa.int64()), pa.array(query, pa.int64()), pa.array(near, pa.int64()), pa.array(score, pa.float64())],
+        ["query_row", "query_id", "id", "score"],
     )
 
 
@@ -144,7 +145,8 @@ def nearest(
     smaller id; a row is never its own neighbour (by id); fewer rows than ``k`` give all.
     Vectors that are null, zero, or hold null or non-finite components take no part, as
     query or as candidate, nor do rows without an id; empty tables give none. All vectors
-    must be of one size. Repeated ids are candidates each. Extra columns are not read.
+    must be of one size. Repeated ids are candidates each, and queries each: every query
+    row has a list of its own. Extra columns are not read.
 
     Every row is coded; queries are sent in blocks of ``QUERY_BYTES`` to all codes, and
     each task hands on ``k`` rows for a query.
@@ -157,19 +159,21 @@ def nearest(
     if len(centre):
         turn = rotation(len(centre))
         coded = written(encode_vectors(base, centre, turn), new_work_path(spark, "codes"))
-        wanted = written(usable(queries, id_, vector), new_work_path(spark, "queries"))
+        numbered = usable(queries, id_, vector).withColumn("query_row", F.monotonically_increasing_id())
+        wanted = written(numbered, new_work_path(spark, "queries"))
         each = max(1, QUERY_BYTES // (8 * len(centre)))
         count = -(-wanted.count() // each)
         for block in range(count):
             own = wanted.where(F.pmod(F.xxhash64("id"), F.lit(count)) == block).toArrow()
             ids = own.column("id").to_numpy().astype(np.int64)
             vectors = _matrix(own.column("vector").combine_chunks()) if len(ids) else np.zeros((0, len(centre)))
-            sent = spark.sparkContext.broadcast((ids, vectors, (vectors - centre) @ turn.T))
+            numbers = own.column("query_row").to_numpy()
+            sent = spark.sparkContext.broadcast((numbers, ids, vectors, (vectors - centre) @ turn.T))
             found.append(
                 coded.transform(
             map_arrow,
                     lambda batches, sent=sent: _search(batches, *sent.value, k, width),
-                    "query_id long, id long, score double",
+                    "query_row long, query_id long, id long, score double",
                 )
             )
     if not found:
@@ -177,7 +181,7 @@ def nearest(
     merged = found[0]
     for more in found[1:]:
         merged = merged.unionAll(more)
-    order = Window.partitionBy("query_id").orderBy("score", "id")
+    order = Window.partitionBy("query_row").orderBy("score", "id")
     return (
         merged.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
