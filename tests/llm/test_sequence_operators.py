@@ -6,7 +6,7 @@ import hashlib
 import random
 import re
 import tracemalloc
-from collections import Counter
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
@@ -449,3 +449,71 @@ def test_repeated_queries_have_a_list_each(spark):
         (place, i) for near in lists for place, (_, i) in enumerate(near, start=1)
     )
     assert len(found) == 30
+
+
+def brute_nearest(rows, queries, k):
+    """Lists of (id, distance) for each query row, in doubles."""
+    lists = []
+    for own, query in queries:
+        near = sorted((float(np.sqrt(((np.array(v) - query) ** 2).sum())), i) for i, v in rows if i != own)
+        lists.append([(i, d) for d, i in near[:k]])
+    return lists
+
+
+@pytest.mark.parametrize("size", [3, 64, 300])
+def test_estimates_bound_the_distances(size):
+    rng = np.random.default_rng(size)
+    vectors, queries = rng.standard_normal((400, size)), rng.standard_normal((50, size))
+    queries[0] = vectors[0]
+    turn = nearest.rotation(size, nearest.code_bits(size))
+    assert np.allclose(turn.T @ turn, np.eye(size))
+    away = vectors @ turn.T
+    length = np.sqrt((away * away).sum(axis=1))
+    fit = np.abs(away).sum(axis=1) / np.sqrt(away.shape[1]) / length
+    codes = np.packbits(away > 0, axis=1).view(np.uint64)
+    likely, low = nearest.Estimates(queries @ turn.T, nearest.WIDTH).bounds(codes, length, fit)
+    true = ((queries[:, None] - vectors[None]) ** 2).sum(axis=2)
+    assert (low <= true + 1e-9).all()
+    scale = 2 * np.sqrt((queries**2).sum(axis=1))[:, None] * length
+    assert np.abs((likely - true) / scale).max() < nearest.WIDTH * 1.1 / np.sqrt(nearest.code_bits(size) - 1)
+
+
+def test_recall_against_every_distance(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((20, 40))
+    rows = [(i, (centres[i % 20] + 0.4 * rng.standard_normal(40)).tolist()) for i in range(6000)]
+    rows += [(6000 + i, rows[7][1]) for i in range(1500)]  # one vector on a fifth of the rows
+    path = str(tmp_path / "vectors")
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5).write.parquet(path)
+    frame = spark.read.parquet(path)
+    got = defaultdict(list)
+    for r in nearest.nearest(frame, frame.where("vec_id % 50 = 0")).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.id)
+    queries = [(i, v) for i, v in rows if i % 50 == 0]
+    wanted = {q: [i for i, _ in near] for (q, _), near in zip(queries, brute_nearest(rows, queries, 10))}
+    assert set(got) == set(wanted)
+    same = sum(len(set(got[q]) & set(wanted[q])) for q in wanted)
+    assert same >= 0.99 * 10 * len(wanted)
+    assert got[7000] == wanted[7000]  # ties by the smaller id
+
+
+@pytest.mark.parametrize("factor", [1e160, 1e300, 1e-200])
+def test_nearest_of_very_large_and_very_small_vectors(spark, factor):
+    rng = np.random.default_rng(3)
+    plain = [(i, rng.standard_normal(6).tolist()) for i in range(60)]
+    rows = [(i, [x * factor for x in v]) for i, v in plain]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = nearest.nearest(frame, frame.where("vec_id = 10"), k=5).orderBy("rank").collect()
+    (near,) = brute_nearest(plain, [plain[10]], 5)
+    assert [r.id for r in found] == [i for i, _ in near]
+    assert [r.score / factor for r in found] == pytest.approx([d for _, d in near])
+
+
+def test_queries_in_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "QUERY_BYTES", 4 * 8 * 8)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(90)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = nearest.nearest(frame, frame.where("vec_id % 3 = 0"), k=3).orderBy("query_id", "rank").collect()
+    queries = [(i, v) for i, v in rows if i % 3 == 0]
+    assert [r.id for r in found] == [i for near in brute_nearest(rows, queries, 3) for i, _ in near]

@@ -1,14 +1,16 @@
 """Nearest neighbours by randomly rotated one-bit codes.
 
 A vector, less the centre of all, is turned by a random rotation and kept as the signs of
-its coordinates, its length and one correction: how well the signs stand for it. From
-packed signs the inner product of a query with any vector is estimated, with an error
-bound; vectors whose smallest possible distance is within the k-th of the largest
-possible ones are ranked anew by their exact distances.
+its coordinates, its length and one correction: how well the signs stand for it. Short
+vectors are turned within a larger space, which gives longer codes and smaller errors.
+From packed signs and four bit planes of a query, counting common bits estimates the
+inner product, with an error bound; vectors whose smallest possible distance is within
+that of the k-th nearest so far are ranked anew by their exact distances.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,21 +23,33 @@ from tidemark.llm.shipping import map_arrow
 from tidemark.session import new_work_path, written
 
 #: Bytes of query vectors that are sent to the tasks at once.
-QUERY_BYTES = 8 << 20
-#: Estimates that a task makes at once.
-CELLS = 1 << 21
+QUERY_BYTES = 32 << 20
+#: Queries, and vectors, of the tiles in which a task makes its estimates.
+TILE = 512
+#: Bytes of vectors that are gathered at once to be ranked anew.
+PAIR_BYTES = 16 << 20
+#: Bits of a code at least; more dimensions than that get a bit each.
+BITS = 256
+#: Bits that a coordinate of a query is rounded to.
+PLANES = 4
 #: Width of the error bound in standard deviations; a true neighbour is missed with a
 #: chance of about exp(-width**2 / 2) for each estimate.
 WIDTH = 6.0
 SEED = 7
 
 
-def rotation(size: int, seed: int = SEED) -> np.ndarray:
-    """A random orthogonal matrix, uniform over all of them."""
-    turned, upper = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, size)))
+def rotation(size: int, bits: int | None = None, seed: int = SEED) -> np.ndarray:
+    """A random rotation of ``size`` coordinates padded with zeros to ``bits``, uniform
+    over all of them: a matrix of ``bits`` rows and ``size`` columns."""
+    turned, upper = np.linalg.qr(np.random.default_rng(seed).standard_normal((bits or size, size)))
     return turned * np.sign(np.diag(upper))
 
 
+def code_bits(size: int) -> int:
+    """Length of the codes: whole words of 64 bits, ``BITS`` at least."""
+    return max(BITS, -(-size // 64) * 64)
+
+
 def usable(df: DataFrame, id_: str, vector: str) -> DataFrame:
     """id and vector (doubles) of the rows that take part: neither null, zero nor holding
     a component that is null or not finite."""
@@ -61,7 +75,7 @@ def encode_vectors(vectors: DataFrame, centre: np.ndarray, turn: np.ndarray) ->
                 continue
             away = (_matrix(batch.column("vector")) - centre) @ turn.T
             length = np.sqrt((away * away).sum(axis=1))
-            fit = np.abs(away).sum(axis=1) / np.sqrt(away.shape[1]) / np.where(length > 0, length, 1)
+            fit = np.abs(away).sum(axis=1) / math.sqrt(away.shape[1]) / np.where(length > 0, length, 1)
             codes = np.packbits(away > 0, axis=1)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -77,58 +91,130 @@ def encode_vectors(vectors: DataFrame, centre: np.ndarray, turn: np.ndarray) ->
     return vectors.transform(map_arrow, run, f"{schema}, code binary, length double, fit double")
 
 
-def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Euclidean distances, squares added in the order of the components."""
+def exact(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Euclidean distances of pairs of rows, squares added in the order of the components."""
     total = np.zeros(len(vectors))
     for j in range(vectors.shape[1]):
-        total += (vectors[:, j] - query[j]) ** 2
+        total += (vectors[:, j] - queries[:, j]) ** 2
     return np.sqrt(total)
 
 
-def _bounds(codes: np.ndarray, length: np.ndarray, fit: np.ndarray, query: np.ndarray, width: float) -> tuple:
-    """Smallest and largest squared distances of turned queries to coded vectors."""
-    size = query.shape[1]
-    q_length = np.sqrt((query * query).sum(axis=1))
-    unit = query / np.where(q_length > 0, q_length, 1)[:, None]
-    signs = (2.0 * np.unpackbits(codes, axis=1, count=size) - 1.0) / np.sqrt(size)
-    inner = unit @ signs.T / fit
-    error = width * np.sqrt(np.maximum(1 - fit * fit, 0)) / fit / np.sqrt(max(size - 1, 1))
-    both = q_length[:, None] ** 2 + length**2
-    scale = 2 * q_length[:, None] * length
-    # No inner product of unit vectors is beyond 1.
-    near, far = np.minimum(inner + error, 1.0), np.maximum(inner - error, -1.0)
-    return both - scale * near, both - scale * far
+class Estimates:
+    """Turned queries as bit planes, and the bounds they give to coded vectors."""
+
+    def __init__(self, turned: np.ndarray, width: float) -> None:
+        self.bits = turned.shape[1]
+        self.length = np.sqrt((turned * turned).sum(axis=1))
+        unit = turned / np.where(self.length > 0, self.length, 1)[:, None]
+        self.least = unit.min(axis=1, initial=0)
+        self.step = (unit.max(axis=1, initial=0) - self.least) / (2**PLANES - 1)
+        scaled = (unit - self.least[:, None]) / np.where(self.step > 0, self.step, 1)[:, None]
+        # Rounded up or down by chance, so that errors are independent with a mean of 0.
+        whole = np.floor(scaled + np.random.default_rng(SEED).random(unit.shape)).clip(0, 2**PLANES - 1)
+        self.total = self.least * self.bits + self.step * whole.sum(axis=1)
+        whole = whole.astype(np.uint8)
+        self.planes = [np.packbits(whole >> j & 1, axis=1).view(np.uint64) for j in range(PLANES)]
+        self.width = width
+
+    def bounds(self, codes: np.ndarray, length: np.ndarray, fit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Estimated and smallest possible squared distances, by query and vector.
+
+        ``codes`` are words of 64 bits, as many for each vector as ``bits`` has.
+        """
+        ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int64)
+        common = np.zeros((len(self.length), len(codes)), np.uint32)
+        for j, plane in enumerate(self.planes):
+            for w in range(codes.shape[1]):
+                common += np.bitwise_count(codes[None, :, w] & plane[:, None, w]).astype(np.uint32) << np.uint32(j)
+        held = self.least[:, None] * ones + self.step[:, None] * common
+        inner = (2 * held - self.total[:, None]) / (math.sqrt(self.bits) * fit)
+        # The code's error, and that of the rounded query: at most half a step.
+        spread = (1 - fit * fit).clip(0) / max(self.bits - 1, 1) + (self.step[:, None] / 2) ** 2
+        # No inner product of unit vectors is beyond 1.
+        near = np.minimum(inner + self.width * np.sqrt(spread) / fit, 1.0)
+        both = self.length[:, None] ** 2 + length**2
+        scale = 2 * self.length[:, None] * length
+        # What rounding may add or take off is small beside the lengths.
+        return both - scale * inner, both * (1 - 1e-9) - scale * near
+
+
+class Best:
+    """The ``k`` nearest so far of each query, by exact distance then id."""
+
+    def __init__(self, queries: np.ndarray, k: int) -> None:
+        self.queries, self.k = queries, k
+        self.query, self.score, self.id = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+        self.reach = np.full(len(queries), np.inf)  # square of the k-th distance
+
+    def add(self, chosen: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+        """Rank the pairs marked in ``chosen`` (query by vector) among those so far."""
+        query, vector = np.nonzero(chosen)
+        each = max(1, PAIR_BYTES // max(1, vectors[:1].nbytes))
+        for at in range(0, len(query), each):
+            q, v = query[at : at + each], vector[at : at + each]
+            score = np.concatenate((self.score, exact(vectors[v], self.queries[q])))
+            q, own = np.concatenate((self.query, q)), np.concatenate((self.id, ids[v]))
+            order = np.lexsort((own, score, q))
+            q = q[order]
+            place = np.arange(len(q)) - np.searchsorted(q, q)
+            order, place, q = order[place < self.k], place[place < self.k], q[place < self.k]
+            self.query, self.score, self.id = q, score[order], own[order]
+            last = place == self.k - 1
+            self.reach[q[last]] = self.score[last] ** 2 * (1 + 1e-9)
 
 
 def _search(batches: Iterator[pa.RecordBatch], rows_of, ids, queries, turned, k: int, width: float) -> Iterator[pa.RecordBatch]:
     """The ``k`` nearest of a partition for each query row, by exact distance then id."""
-    reach = np.full((len(ids), k), np.inf)  # the k smallest largest-possible squares so far
-    best: list[list[tuple[float, int]]] = [[] for _ in ids]
-    step = max(1, CELLS // max(1, len(ids)))
+    tiles = []
+    for at in range(0, len(ids), TILE):
+        own = slice(at, at + TILE)
+        tiles.append((ids[own, None], Estimates(turned[own], width), Best(queries[own], k)))
     for batch in batches:
-        for at in range(0, batch.num_rows, step):
-            part = batch.slice(at, step)
-            own, vectors = part.column("id").to_numpy(), _matrix(part.column("vector"))
-            codes = np.frombuffer(b"".join(part.column("code").to_pylist()), np.uint8).reshape(len(own), -1)
-            low, high = _bounds(codes, part.column("length").to_numpy(), part.column("fit").to_numpy(), turned, width)
-            itself = ids[:, None] == own
-            high[itself] = np.inf
-            reach = np.sort(np.partition(np.hstack((reach, high)), k - 1, axis=1)[:, :k], axis=1)
-            slack = 1e-9 * (1 + np.abs(reach[:, -1:]))
-            for q, v in zip(*(list(x) for x in _grouped((low <= reach[:, -1:] + slack) & ~itself))):
-                found = list(zip(exact(vectors[v], queries[q]).tolist(), own[v].tolist()))
-                best[q] = sorted(best[q] + found)[:k]
-    rows = [(int(rows_of[q]), int(ids[q]), i, d) for q, found in enumerate(best) for d, i in found]
-    row, query, near, score = zip(*rows) if rows else [()] * 4
+        for at in range(0, batch.num_rows, TILE):
+            part = batch.slice(at, TILE)
+            own, vectors = part.column("id").to_numpy().astype(np.int64), _matrix(part.column("vector"))
+            codes = np.frombuffer(b"".join(part.column("code").to_pylist()), np.uint64).reshape(len(own), -1)
+            length, fit = part.column("length").to_numpy(), part.column("fit").to_numpy()
+            for asked, estimates, best in tiles:
+                likely, low = estimates.bounds(codes, length, fit)
+                left = asked != own
+                if np.isinf(best.reach).any() and len(own) > k:
+                    # The likeliest first: their exact distances rule out most of the others.
+                    first = np.argpartition(np.where(left, likely, np.inf), k, axis=1)[:, : k + 1]
+                    early = np.zeros_like(left)
+                    np.put_along_axis(early, first, True, axis=1)
+                    best.add(early & left, own, vectors)
+                    left &= ~early
+                best.add(left & (low <= best.reach[:, None]), own, vectors)
+    for at, (asked, _, best) in zip(range(0, len(ids), TILE), tiles):
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(rows_of[at + best.query]),
+                pa.array(asked[best.query, 0]),
+                pa.array(best.id),
+                pa.array(best.score),
+            ],
+            ["query_row", "query_id", "id", "score"],
+        )
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the vectors of a partition by dimension, and how many there are."""
+    total, n = np.zeros(0), 0
+    for batch in batches:
+        if batch.num_rows:
+            own = _matrix(batch.column("vector"))
+            total, n = (total if n else np.zeros(own.shape[1])) + own.sum(axis=0), n + len(own)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(row, pa.int64()), pa.array(query, pa.int64()), pa.array(near, pa.int64()), pa.array(score, pa.float64())],
-        ["query_row", "query_id", "id", "score"],
+        [pa.array(np.arange(len(total))), pa.array(total), pa.array(np.full(len(total), n))], ["i", "total", "n"]
     )
 
 
-def _grouped(chosen: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
-    rows = np.flatnonzero(chosen.any(axis=1)).tolist()
-    return rows, [np.flatnonzero(chosen[r]) for r in rows]
+def scale_of(largest: float) -> float:
+    """The power of two that vectors are multiplied with, so that squares are finite and
+    keep their digits; 1 unless components are very large or all very small."""
+    exponent = math.frexp(largest)[1]
+    return 1.0 if -400 < exponent < 400 else math.ldexp(1.0, max(-1000, min(1000, -exponent)))
 
 
 def nearest(
@@ -148,42 +234,45 @@ def nearest(
     must be of one size. Repeated ids are candidates each, and queries each: every query
     row has a list of its own. Extra columns are not read.
 
-    Every row is coded; queries are sent in blocks of ``QUERY_BYTES`` to all codes, and
-    each task hands on ``k`` rows for a query.
+    Every row is coded; queries are sent in blocks of ``QUERY_BYTES`` to all codes, one
+    block after the other, and each task hands on ``k`` rows for a query.
     """
     spark = df.sparkSession
-    base = usable(df, id_, vector)
-    means = base.select(F.posexplode("vector").alias("i", "v")).groupBy("i").agg(F.avg("v").alias("v"))
-    centre = np.array([r["v"] for r in means.orderBy("i").collect()])  # one row for each dimension
-    found = []
-    if len(centre):
-        turn = rotation(len(centre))
-        coded = written(encode_vectors(base, centre, turn), new_work_path(spark, "codes"))
-        numbered = usable(queries, id_, vector).withColumn("query_row", F.monotonically_increasing_id())
-        wanted = written(numbered, new_work_path(spark, "queries"))
-        each = max(1, QUERY_BYTES // (8 * len(centre)))
-        count = -(-wanted.count() // each)
-        for block in range(count):
-            own = wanted.where(F.pmod(F.xxhash64("id"), F.lit(count)) == block).toArrow()
-            ids = own.column("id").to_numpy().astype(np.int64)
-            vectors = _matrix(own.column("vector").combine_chunks()) if len(ids) else np.zeros((0, len(centre)))
-            numbers = own.column("query_row").to_numpy()
-            sent = spark.sparkContext.broadcast((numbers, ids, vectors, (vectors - centre) @ turn.T))
-            found.append(
-                coded.transform(
-            map_arrow,
-                    lambda batches, sent=sent: _search(batches, *sent.value, k, width),
-                    "query_row long, query_id long, id long, score double",
-                )
-            )
-    if not found:
+    base, asked = usable(df, id_, vector), usable(queries, id_, vector)
+    largest = base.select(F.max(F.array_max(F.transform("vector", F.abs)))).first()[0]
+    if largest is None:
         return spark.createDataFrame([], "query_id long, rank int, id long, score double")
-    merged = found[0]
-    for more in found[1:]:
-        merged = merged.unionAll(more)
+    scale = scale_of(largest)
+    if scale != 1:
+        base, asked = (
+            t.withColumn("vector", F.transform("vector", lambda v: v * scale)) for t in (base, asked)
+        )
+    sums = base.select("vector").transform(map_arrow, _sums, "i long, total double, n long")
+    means = sums.groupBy("i").agg((F.sum("total") / F.sum("n")).alias("mean")).orderBy("i")
+    centre = np.array([r["mean"] for r in means.collect()])  # one row for each dimension
+    turn = rotation(len(centre), code_bits(len(centre)))
+    coded = written(encode_vectors(base, centre, turn), new_work_path(spark, "codes"))
+    wanted = written(
+        asked.withColumn("query_row", F.monotonically_increasing_id()), new_work_path(spark, "queries")
+    )
+    each = max(1, QUERY_BYTES // (8 * len(centre)))
+    count = max(1, -(-wanted.count() // each))
+    path, shape = new_work_path(spark, "found"), "query_row long, query_id long, id long, score double"
+    for block in range(count):
+        own = wanted.where(F.pmod(F.xxhash64("query_row"), F.lit(count)) == block).toArrow()
+        ids = own.column("id").to_numpy().astype(np.int64)
+        vectors = _matrix(own.column("vector").combine_chunks()) if len(ids) else np.zeros((0, len(centre)))
+        numbers = own.column("query_row").to_numpy()
+        sent = spark.sparkContext.broadcast((numbers, ids, vectors, (vectors - centre) @ turn.T))
+        found = coded.transform(
+            map_arrow, lambda batches, sent=sent: _search(batches, *sent.value, k, width), shape
+        )
+        found.write.mode("append").parquet(path)
+        sent.destroy()  # the block's rows are in files, nothing is computed from it again
     order = Window.partitionBy("query_row").orderBy("score", "id")
     return (
-        merged.withColumn("rank", F.row_number().over(order))
+        spark.read.schema(shape).parquet(path)
+        .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", "id", "score")
+        .select("query_id", "rank", "id", (F.col("score") / scale).alias("score"))
     )
