@@ -1,12 +1,11 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-Blocks are windows of words, wide enough to hold any template whole: overlapping ones on
-a fixed grid for phrases whose words stand together, and for each notice the fullest of
-all windows of a text, wherever it starts. Tokens
-are ordered by how rare they are in all texts, so a block and a template that share
-enough must share one of their first tokens (prefix filter), at places that leave enough
-tokens behind them (positional filter), and the block must have enough tokens at all
-(length filter). What remains is counted exactly.
+Blocks are overlapping stretches of words on a grid, wide enough that any window in which
+a template may stand lies whole in one. Tokens are ordered by how rare they are in all
+texts, so a block and a template that share enough must share one of their first tokens
+(prefix filter), at places that leave enough tokens behind them (positional filter), and
+the block must have enough tokens at all (length filter). What remains is counted exactly,
+window by window.
 """
 
 from __future__ import annotations
@@ -53,9 +52,32 @@ TEMPLATES = {
     "licensed under cc by nd 4 0": "cc-by-nd",
     "subject to the terms of the mozilla public license": "mpl",
     "this is free and unencumbered software released into the public domain": "unlicense",
+    # Whole headers and texts.
+    "licensed under the apache license version 2 0 the license you may not use this file except "
+    "in compliance with the license you may obtain a copy of the license at http www apache org "
+    "licenses license 2 0 unless required by applicable law or agreed to in writing software "
+    "distributed under the license is distributed on an as is basis without warranties or "
+    "conditions of any kind either express or implied see the license for the specific language "
+    "governing permissions and limitations under the license": "apache-header",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software "
+    "and associated documentation files the software to deal in the software without restriction "
+    "including without limitation the rights to use copy modify merge publish distribute "
+    "sublicense and or sell copies of the software and to permit persons to whom the software is "
+    "furnished to do so subject to the following conditions the above copyright notice and this "
+    "permission notice shall be included in all copies or substantial portions of the "
+    "software": "mit-text",
+    "redistribution and use in source and binary forms with or without modification are permitted "
+    "provided that the following conditions are met redistributions of source code must retain the "
+    "above copyright notice this list of conditions and the following disclaimer redistributions "
+    "in binary form must reproduce the above copyright notice this list of conditions and the "
+    "following disclaimer in the documentation and or other materials provided with the "
+    "distribution neither the name of the copyright holder nor the names of its contributors may "
+    "be used to endorse or promote products derived from this software without specific prior "
+    "written permission": "bsd-3-clause",
 }
 #: Share of a template's distinct words that a block must hold, in percent.
 CONTAINMENT = 90
+#: Words of a window at least; a longer template has windows of twice its words.
 WINDOW = 64
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")  # of UTF-8 in which A-Z are lower-cased
@@ -65,16 +87,15 @@ class Templates:
     """What the join needs of the notices; all of it grows with their number alone."""
 
     def __init__(self, notices: dict[str, str], phrases: dict[str, str], containment: int) -> None:
-        self.rows = []  # (words, label, words needed, base)
+        self.rows = []  # (words, label, distinct words needed, base, words of a window)
         for texts, share, base in ((phrases, 100, True), (notices, containment, False)):
             for text, label in texts.items():
                 words = text.split()
                 need = math.ceil(len(set(words)) * share / 100)
-                self.rows.append((words, label, need, base))
+                self.rows.append((words, label, need, base, max(WINDOW, 2 * len(words))))
         self.vocabulary = sorted({w for words, *_ in self.rows for w in words})
-        self.stride = WINDOW - max(len(words) for words, *_ in self.rows) + 1
-        if self.stride < 1:
-            raise ValueError(f"a notice has more than {WINDOW} words")
+        widest = max(width for *_, width in self.rows)
+        self.stride, self.block = 3 * widest, 4 * widest
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -100,56 +121,45 @@ def token_counts(df: DataFrame, text: str, templates: Templates) -> dict[str, in
     return {templates.vocabulary[r["token"]]: r["n"] for r in rows}
 
 
-def fullest(known: list[int], own: frozenset[int], need: int) -> int | None:
-    """The first start of a window that holds most of ``own``, or None below ``need``."""
-    places = [i for i, r in enumerate(known) if r in own]
+def most_held(ranks: list[int], own: frozenset[int], width: int) -> int:
+    """The most words of ``own`` that one window of ``width`` words of ``ranks`` holds."""
+    places = [i for i, r in enumerate(ranks) if r in own]
     inside: Counter = Counter()
-    best, most, end = None, need - 1, 0
-    for start in places:
-        while end < len(places) and places[end] < start + WINDOW:
-            inside[known[places[end]]] += 1
+    most = end = 0
+    for start in places:  # a window that holds most can begin with a word of its own
+        while end < len(places) and places[end] < start + width:
+            inside[ranks[places[end]]] += 1
             end += 1
-        if len(inside) > most:
-            best, most = start, len(inside)
-        inside[known[start]] -= 1
-        if not inside[known[start]]:
-            del inside[known[start]]
-    return best
+        most = max(most, len(inside))
+        inside[ranks[start]] -= 1
+        if not inside[ranks[start]]:
+            del inside[ranks[start]]
+    return most
 
 
 def blocks(df: DataFrame, id_: str, text: str, order: list[str], templates: Templates) -> DataFrame:
-    """A row for each text: ``n_words``, and the windows that can match a template.
+    """A row for each text: ``n_words``, and the blocks that hold a word of some template's
+    prefix; others hold no template.
 
-    A window is its first word's number and its words as ranks in ``order`` (rarest
-    first), -1 for words of no template. Of the grid, windows without a word of a phrase's
-    prefix are left out, since they hold no phrase. Of all other windows, the first that
-    holds most of a notice stays, if that is enough; it begins with a word of the notice.
+    A block is its first word's number and its words as ranks in ``order`` (rarest first),
+    -1 for words of no template.
     """
     ranks = {w.encode(): i for i, w in enumerate(order)}
     rank = {w: i for i, w in enumerate(order)}
-    prefix, wanted = set(), []
-    for words, _, need, base in templates.rows:
+    prefix = set()
+    for words, _, need, *_ in templates.rows:
         own = sorted({rank[w] for w in words})
-        if base:
-            prefix.update(own[: len(own) - need + 1])
-        else:
-            wanted.append((frozenset(own), need))
-    stride = templates.stride
-    window = pa.struct([("first", pa.int32()), ("ranks", pa.list_(pa.int16()))])
-
-    def windows(words: list[bytes]) -> list[dict]:
+        prefix.update(own[: len(own) - need + 1])
+    stride, size = templates.stride, templates.block
+    block = pa.struct([("first", pa.int64()), ("ranks", pa.list_(pa.int32()))])
+
+    def chosen(words: list[bytes]) -> list[dict]:
         known = [ranks.get(w, -1) for w in words]
-        hits = [i for i, r in enumerate(known) if r in prefix]
-        starts = {
-            k * stride
-            for i in hits
-            for k in range(max(0, (i - WINDOW) // stride + 1), i // stride + 1)
-        }
-        present = set(known)
-        for own, need in wanted:
-            if len(own & present) >= need and (best := fullest(known, own, need)) is not None:
-                starts.add(best)
-        return [{"first": s, "ranks": known[s : s + WINDOW]} for s in sorted(starts)]
+        numbers = set()
+        for i, r in enumerate(known):
+            if r in prefix:
+                numbers.update(range(max(0, (i - size) // stride + 1), i // stride + 1))
+        return [{"first": n * stride, "ranks": known[n * stride : n * stride + size]} for n in sorted(numbers)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,70 +170,85 @@ def blocks(df: DataFrame, id_: str, text: str, order: list[str], templates: Temp
                         part.column("id"),
                         part.column("digest"),
                         pa.array(map(len, words), pa.int64()),
-                        pa.array(map(windows, words), pa.list_(window)),
+                        pa.array(map(chosen, words), pa.list_(block)),
                     ],
-                    ["id", "digest", "n_words", "windows"],
+                    ["id", "digest", "n_words", "blocks"],
                 )
 
     id_type = df.schema[id_].dataType.simpleString()
     return df.select(
         F.col(id_).alias("id"), F.xxhash64(text).alias("digest"), F.col(text).alias("text")
     ).transform(
-            map_arrow,
+        map_arrow,
         run,
-        f"id {id_type}, digest long, n_words long, "
-        "windows array<struct<first:int,ranks:array<smallint>>>",
+        f"id {id_type}, digest long, n_words long, blocks array<struct<first:bigint,ranks:array<int>>>",
     )
 
 
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``held``, the most words of the template in a window of the block."""
+    columns = ("ranks", "own", "width")
+    for batch in batches:
+        rows = zip(*(batch.column(c).to_pylist() for c in columns))
+        held = pa.array([most_held(ranks, frozenset(own), width) for ranks, own, width in rows], pa.int32())
+        yield pa.RecordBatch.from_arrays([*batch.columns, held], [*batch.schema.names, "held"])
+
+
 def matches(found: DataFrame, order: list[str], templates: Templates) -> DataFrame:
-    """Windows joined with the templates they contain: id, digest, first, template parts."""
+    """Blocks joined with the templates they contain: id, digest, first, template parts."""
     spark = found.sparkSession
     rank = {w: i for i, w in enumerate(order)}
     index, whole = [], []
-    for number, (words, label, need, base) in enumerate(templates.rows):
+    for number, (words, label, need, base, width) in enumerate(templates.rows):
         own = sorted({rank[w] for w in words})
         phrase = [rank[w] for w in words]
-        whole.append((number, label, need, base, own, phrase))
+        whole.append((number, label, need, base, own, phrase, width))
         index += [(token, number, i, len(own), need) for i, token in enumerate(own[: len(own) - need + 1])]
-    # Both tables have a few rows for each template.
-    by_token = spark.createDataFrame(index, "token smallint, template int, i int, size int, need int")
-    by_template = spark.createDataFrame(
-        whole,
-        "template int, label string, need int, base boolean, own array<smallint>, phrase array<smallint>",
+    # A few rows for each template; written, so that Spark knows their size and broadcasts
+    # them if it is small.
+    by_token = written(
+        spark.createDataFrame(index, "token int, template int, i int, size int, need int"),
+        new_work_path(spark, "licence-index"),
+    )
+    by_template = written(
+        spark.createDataFrame(
+            whole,
+            "template int, label string, need int, base boolean, own array<int>, phrase array<int>, width int",
+        ),
+        new_work_path(spark, "licence-templates"),
     )
     tokens = F.array_sort(F.array_distinct(F.filter("ranks", lambda r: r >= 0)))
     block = (
-        found.select("id", "digest", F.explode("windows").alias("w"))
-        .select("id", "digest", "w.first", "w.ranks")
+        found.select("id", "digest", F.explode("blocks").alias("b"))
+        .select("id", "digest", "b.first", "b.ranks")
         .withColumn("tokens", tokens)
     )
-    least = min(need for _, _, need, _ in templates.rows)
+    least = min(need for _, _, need, *_ in templates.rows)
+    prefix = F.slice("tokens", F.lit(1), F.greatest(F.lit(0), F.size("tokens") - least + 1))
     candidates = (
-        block.select(
-            "*", F.posexplode(F.slice("tokens", F.lit(1), F.greatest(F.lit(0), F.size("tokens") - least + 1))).alias("j", "token")
-        )
-        .join(F.broadcast(by_token), "token")
+        block.select("*", F.posexplode(prefix).alias("j", "token"))
+        .join(by_token, "token")
         .where(F.size("tokens") >= F.col("need"))
-        .where(1 + F.least(F.col("size") - F.col("i"), F.size("tokens") - F.col("j")) - 1 >= F.col("need"))
+        .where(F.least(F.col("size") - F.col("i"), F.size("tokens") - F.col("j")) >= F.col("need"))
         .select("id", "digest", "first", "ranks", "tokens", "template")
         .distinct()
     )
-    shared = F.size(F.array_intersect("tokens", "own"))
     places = F.filter(
         F.sequence(F.lit(0), F.lit(templates.stride - 1)),
         lambda p: F.slice("ranks", p + 1, F.size("phrase")) == F.col("phrase"),
     )
-    return (
-        candidates.join(F.broadcast(by_template), "template")
-        .withColumn("shared", shared)
-        .where(F.col("shared") >= F.col("need"))
-        .withColumn("places", F.when(F.col("base") & (F.col("first") % templates.stride == 0), places))
+    likely = (
+        candidates.join(by_template, "template")
+        .where(F.size(F.array_intersect("tokens", "own")) >= F.col("need"))
+        .withColumn("places", F.when(F.col("base"), places))
         .where(~F.col("base") | (F.size("places") > 0))
-        .select(
-            "id", "digest", "first", "label", "base", "places",
-            (F.col("shared") / F.size("own")).alias("share"),
-        )
+        .select("id", "digest", "first", "label", "need", "base", "places", "ranks", "own", "width")
+    )
+    schema = f"{likely.schema.simpleString()[7:-1]}, held int"
+    return (
+        likely.transform(map_arrow, _verified, schema)
+        .where(F.col("held") >= F.col("need"))
+        .select("id", "digest", "first", "label", "base", "places", (F.col("held") / F.size("own")).alias("share"))
     )
 
 
@@ -254,7 +279,7 @@ def scan_licences(
     path = new_work_path(df.sparkSession, "licence-blocks")
     found = written(blocks(df, id_, text, order, templates), path)
     per_text = (
-        matches(found.where(F.size("windows") > 0).dropDuplicates(["id", "digest"]), order, templates)
+        matches(found.where(F.size("blocks") > 0).dropDuplicates(["id", "digest"]), order, templates)
         .groupBy("id", "digest")
         .agg(
             F.sum(F.coalesce(F.size("places"), F.lit(0)).cast("long") * F.col("base").cast("long")).alias("n_base"),

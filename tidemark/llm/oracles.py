@@ -61,12 +61,12 @@ REPETITION_SQL = _repetition_sql()
 def _licence_sql() -> str:
     templates = licences.Templates(licences.TEMPLATES, licences.BASE_PHRASES, licences.CONTAINMENT)
     rows = ", ".join(
-        f"({i}, {[*words]!r}, '{label}', {need}, {base})"
-        for i, (words, label, need, base) in enumerate(templates.rows)
+        f"({i}, {[*words]!r}, '{label}', {need}, {base}, {width})"
+        for i, (words, label, need, base, width) in enumerate(templates.rows)
     )
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     return f"""
-WITH t(id, words, label, need, base) AS (VALUES {rows}),
+WITH t(id, words, label, need, base, width) AS (VALUES {rows}),
 d AS (SELECT row_number() OVER () AS r, doc_id,
     regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
   FROM documents),
@@ -76,11 +76,11 @@ p AS (SELECT r, t.label, place FROM q JOIN t ON t.base AND t.words[1] = q.word
         AND q.words[place + 1 : place + len(t.words)] = t.words),
 b AS (SELECT r, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
     string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM p GROUP BY r),
-o AS (SELECT id, need, label, len(list_distinct(words)) AS size, unnest(list_distinct(words)) AS word FROM t WHERE NOT base),
-held AS (SELECT r, id, need, label, size, place, word FROM q JOIN o USING (word)),
+o AS (SELECT id, need, label, width, len(list_distinct(words)) AS size, unnest(list_distinct(words)) AS word FROM t WHERE NOT base),
+held AS (SELECT r, id, need, label, width, size, place, word FROM q JOIN o USING (word)),
 near AS (SELECT * FROM held SEMI JOIN (SELECT r, id FROM held GROUP BY r, id, need HAVING count(DISTINCT word) >= need) USING (r, id)),
 win AS (SELECT x.r, x.id, x.place, x.label, x.need, x.size, count(DISTINCT y.word) AS shared FROM near x JOIN near y
-    ON x.r = y.r AND x.id = y.id AND y.place BETWEEN x.place AND x.place + {licences.WINDOW - 1} GROUP BY ALL),
+    ON x.r = y.r AND x.id = y.id AND y.place BETWEEN x.place AND x.place + x.width - 1 GROUP BY ALL),
 m AS (SELECT r, label, max(shared / size::DOUBLE) AS share FROM win WHERE shared >= need GROUP BY r, label),
 u AS (SELECT r, label, 1.0::DOUBLE AS share FROM p UNION ALL SELECT r, label, share FROM m),
 a AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM u GROUP BY r)
