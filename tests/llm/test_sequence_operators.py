@@ -517,3 +517,78 @@ def test_queries_in_several_blocks(spark, monkeypatch):
     found = nearest.nearest(frame, frame.where("vec_id % 3 = 0"), k=3).orderBy("query_id", "rank").collect()
     queries = [(i, v) for i, v in rows if i % 3 == 0]
     assert [r.id for r in found] == [i for near in brute_nearest(rows, queries, 3) for i, _ in near]
+
+
+def test_quality_against_plain_models(spark):
+    """Counts, ratios, levels and the draw of 300 texts, from dictionaries."""
+    rng = random.Random(12)
+    good, bad = "the river runs along a quiet field".split(), "ugly vile awful".split()
+    rows = []
+    for i in range(300):
+        words = [rng.choice(good) for _ in range(rng.randrange(5, 40))]
+        if i % 3 == 1:
+            words.insert(rng.randrange(len(words)), rng.choice(bad))
+        if i % 3 == 2:
+            words = ["".join(rng.choices("xqzé#", k=6)) for _ in words]
+        rows.append((i, " ".join(words)))
+    rows += [(300, None), (301, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = [(i, int(i % 3 == 0), int(i % 3 == 1)) for i, _ in rows[:240]]
+    labels = spark.createDataFrame(known, "doc_id long, quality int, toxic int")
+    fits = {
+        r.doc_id: r.turn % 2 == 0
+        for r in labels.select("doc_id", F.xxhash64(F.lit(quality.SEED), "doc_id").alias("turn")).collect()
+    }
+    noise = {
+        r.doc_id: -np.log(-np.log(((r.h & (1 << 64) - 1) >> 11) / 2**53 + 0.5 / 2**53))
+        for r in docs.select(
+            "doc_id", F.xxhash64(F.lit(quality.SEED), "doc_id", F.xxhash64("text")).alias("h")
+        ).collect()
+    }
+
+    def grams(text):
+        data = text.encode()
+        whole = (int.from_bytes(data[i : i + 4]) for i in range(len(data) - 3))
+        return Counter((g * 0x9E3779B1 % 2**32) >> 16 for g in whole)
+
+    def words(text):
+        return set(re.findall(rb"[0-9a-z\x80-\xff]+", lower(text).encode()))
+
+    texts = {i: t for i, t in rows if t}
+    raw, target, wanted, unwanted = Counter(), Counter(), Counter(), Counter()
+    for i, text in texts.items():
+        raw += grams(text)
+        if fits.get(i) and i % 3 == 0:
+            target += grams(text)
+            wanted += Counter(words(text))
+        if fits.get(i) and i % 3 == 1:
+            unwanted += Counter(words(text))
+    scale, size = target.total() / raw.total(), quality.FORM_BUCKETS
+
+    def form(text):
+        return sum(
+            n * np.log((target[g] + scale) / (target.total() + scale * size) / ((raw[g] + 1) / (raw.total() + size)))
+            for g, n in grams(text).items()
+        )
+
+    def content(text):
+        even = unwanted.total() / wanted.total()
+        return min(0.0, *(np.log((wanted[w] * even + 1) / (unwanted[w] + 1)) for w in words(text)))
+
+    forms, contents = ({i: f(t) for i, t in texts.items()} for f in (form, content))
+    held_out = [i for i, q, _ in known if q and not fits[i]]
+    levels = [np.percentile([f[i] for i in held_out], 100 * quality.BELOW) for f in (forms, contents)]
+    for by_words in (False, True):
+        for draw in (None, 0, 40, 10_000):
+            found = {r.doc_id: r for r in quality.weigh_quality(docs, labels, draw=draw, by_words=by_words).collect()}
+            weights = {i: forms[i] - levels[0] for i in texts}
+            if by_words:
+                weights = {i: min(w, (contents[i] - levels[1]) * quality.CONTENT_SCALE) for i, w in weights.items()}
+            assert {i: r.log_weight for i, r in found.items() if r.log_weight is not None} == pytest.approx(
+                weights, rel=1e-4, abs=1e-3
+            )
+            k = sum(found[i].log_weight >= 0 for i in texts) if draw is None else min(draw, len(texts))
+            place = {i: np.floor((found[i].log_weight + noise[i]) * 1e6) for i in texts}
+            last = sorted(place.values(), reverse=True)[k - 1] if k else np.inf
+            assert {i for i, r in found.items() if r.kept} == {i for i, p in place.items() if p >= last}
+            assert not found[300].kept and not found[301].kept

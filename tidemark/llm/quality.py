@@ -1,11 +1,15 @@
 """Quality by importance resampling: log ratios of hashed n-gram models, Gumbel top-k.
 
-Two pairs of generative models give the log weight of a text. *Form*: 4-grams of bytes,
-target texts against all raw text, summed over the text. *Content*: lower-cased words by
-texts that hold them, target against labelled unwanted texts, the least likely word of
-the text. Each is measured from the level that nearly all held-out target texts reach,
-and the smaller counts. As many texts as have a weight of zero or more are then drawn
-without replacement, by the largest weights with Gumbel noise.
+A pair of generative models gives the log weight of a text: 4-grams of bytes, target
+texts against all raw text, summed over the text (*form*). A given number of texts is
+drawn without replacement, in proportion to their weights: those with the largest log
+weights after Gumbel noise.
+
+A second step, which can be left out, is a rule on words (*content*): lower-cased words by
+texts that hold them, target against labelled unwanted texts, the least likely word of the
+text. With it, form and content are each measured from the level that nearly all held-out
+target texts reach, and the smaller counts as log weight. Unless a number is given, as many
+texts are drawn as have a weight of zero or more.
 """
 
 from __future__ import annotations
@@ -153,10 +157,17 @@ def weigh_quality(
     id_: str = "doc_id",
     text: str = "text",
     labelled: int = LABELLED,
+    draw: int | None = None,
+    by_words: bool = True,
 ) -> DataFrame:
     """A row for each row of ``df``: id, ``digest`` of the text, ``form``, ``content``,
     ``log_weight`` and ``kept``.
 
+    ``draw`` is the number of texts to draw, all with a weight if there are no more; by
+    default that of weights of zero or more. ``by_words=False`` leaves the rule on words
+    out: the log weight is then ``form`` less its level, which no draw of a given number
+    depends on.
+
     ``labels`` (id, quality 0 or 1, toxic 0 or 1) names target texts (1 and 0) and
     unwanted ones (toxic); at most ``labelled`` of its rows, those with the smallest hash
     of the id, are used, half of them to fit and half to set the levels. Counts of raw
@@ -212,12 +223,16 @@ def weigh_quality(
         F.percentile("form", F.lit(BELOW)).alias("form"), F.percentile("content", F.lit(BELOW)).alias("content")
     ).first()
     form, content = (levels[c] or 0.0 for c in ("form", "content"))
-    weight = F.least(F.col("form") - form, (F.col("content") - content) * CONTENT_SCALE)
+    weight = F.col("form") - form
+    if by_words:
+        weight = F.least(weight, (F.col("content") - content) * CONTENT_SCALE)
     weighed = rated.withColumn("log_weight", weight if counts[1].any() else F.when(F.col("form").isNotNull(), 0.0))
     placed = written(
         weighed.withColumn("place", gumbel_place("log_weight", "id", "digest")), new_work_path(spark, "weights")
     )
-    size = placed.where("log_weight >= 0").count()
+    size, weighted = placed.agg(F.count_if(F.col("log_weight") >= 0), F.count("log_weight")).first()
+    if draw is not None:
+        size = min(max(draw, 0), weighted)
     last = kth_largest(placed, "place", size) if size else 1 << 62
     kept = F.coalesce(F.col("place") >= last, F.lit(False))
     return placed.select(
