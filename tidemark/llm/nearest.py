@@ -26,10 +26,8 @@ from tidemark.session import new_work_path, written
 QUERY_BYTES = 32 << 20
 #: Queries, and vectors, of the tiles in which a task makes its estimates.
 TILE = 512
-#: Bytes of vectors that are gathered at once to be ranked anew.
-PAIR_BYTES = 16 << 20
 #: Bits of a code at least; more dimensions than that get a bit each.
-BITS = 256
+BITS = 512
 #: Bits that a coordinate of a query is rounded to.
 PLANES = 4
 #: Width of the error bound in standard deviations; a true neighbour is missed with a
@@ -91,11 +89,11 @@ def encode_vectors(vectors: DataFrame, centre: np.ndarray, turn: np.ndarray) ->
     return vectors.transform(map_arrow, run, f"{schema}, code binary, length double, fit double")
 
 
-def exact(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    """Euclidean distances of pairs of rows, squares added in the order of the components."""
-    total = np.zeros(len(vectors))
-    for j in range(vectors.shape[1]):
-        total += (vectors[:, j] - queries[:, j]) ** 2
+def exact(vectors: np.ndarray, v: np.ndarray, queries: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances of pairs of columns, squares added in the order of the components."""
+    total = np.zeros(len(v))
+    for vector, query in zip(vectors, queries):
+        total += (vector[v] - query[q]) ** 2
     return np.sqrt(total)
 
 
@@ -142,18 +140,18 @@ class Best:
     """The ``k`` nearest so far of each query, by exact distance then id."""
 
     def __init__(self, queries: np.ndarray, k: int) -> None:
-        self.queries, self.k = queries, k
+        self.queries, self.k = np.ascontiguousarray(queries.T), k
         self.query, self.score, self.id = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
         self.reach = np.full(len(queries), np.inf)  # square of the k-th distance
 
     def add(self, chosen: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
         """Rank the pairs marked in ``chosen`` (query by vector) among those so far."""
-        query, vector = np.nonzero(chosen)
-        each = max(1, PAIR_BYTES // max(1, vectors[:1].nbytes))
-        for at in range(0, len(query), each):
-            q, v = query[at : at + each], vector[at : at + each]
-            score = np.concatenate((self.score, exact(vectors[v], self.queries[q])))
-            q, own = np.concatenate((self.query, q)), np.concatenate((self.id, ids[v]))
+        q, v = np.nonzero(chosen)
+        score = exact(np.ascontiguousarray(vectors.T), v, self.queries, q)
+        near = score * score <= self.reach[q]
+        if near.any():
+            score = np.concatenate((self.score, score[near]))
+            q, own = np.concatenate((self.query, q[near])), np.concatenate((self.id, ids[v[near]]))
             order = np.lexsort((own, score, q))
             q = q[order]
             place = np.arange(len(q)) - np.searchsorted(q, q)
