@@ -36,6 +36,8 @@ BELOW = 0.002
 #: One unit of the content ratio counts as so many of the form ratio.
 CONTENT_SCALE = 10.0
 SEED = 11
+#: Bytes of text that are counted at once.
+SLICE_BYTES = 1 << 20
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -43,14 +45,15 @@ _LETTER[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 def form_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bucket of each byte 4-gram, and the text it is in."""
-    at = np.arange(max(0, len(data) - GRAM + 1))
-    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    inside = doc[: len(at)] == doc[GRAM - 1 :]
-    gram = np.zeros(len(at), np.uint32)
+    count = max(0, len(data) - GRAM + 1)
+    doc = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
+    inside = doc[:count] == doc[GRAM - 1 :]
+    gram = np.zeros(count, np.uint32)
     for j in range(GRAM):
-        gram = gram << np.uint32(8) | data[j : j + len(at)]
+        gram <<= np.uint32(8)
+        gram |= data[j : j + count]
     bucket = (gram[inside] * np.uint32(0x9E3779B1)) >> np.uint32(32 - FORM_BUCKETS.bit_length() + 1)
-    return bucket.astype(np.int64), doc[: len(at)][inside]
+    return bucket.astype(np.int64), doc[:count][inside]
 
 
 def content_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -65,7 +68,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Model 0: raw form, 1: target form, 2: target content, 3: unwanted content."""
     sums = [np.zeros(n, np.int64) for n in (FORM_BUCKETS, FORM_BUCKETS, CONTENT_BUCKETS, CONTENT_BUCKETS)]
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE_BYTES):
             role = part.column("role").to_numpy(zero_copy_only=False)
             data, offsets = utf8(part.column("text"))
             bucket, doc = form_buckets(data, offsets)
@@ -101,7 +104,7 @@ def log_ratios(counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def _ratios(batches: Iterator[pa.RecordBatch], form: np.ndarray, content: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE_BYTES):
             data, offsets = utf8(part.column("text"))
             docs = len(offsets) - 1
             bucket, doc = form_buckets(data, offsets)

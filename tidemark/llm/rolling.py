@@ -46,7 +46,7 @@ class Spans:
     """
 
     def __init__(self, data: np.ndarray) -> None:
-        size = 1 << max(21, int(len(data)).bit_length())
+        size = 1 << max(20, (len(data) - 1).bit_length())
         powers, self._inverse = _powers(size)
         self._sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=self._sums[1:])
