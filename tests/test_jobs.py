@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -21,7 +22,14 @@ from tidemark.plans import (
     typed_run_log,
 )
 from tidemark.operators import RunContext
-from tidemark.sources import BAD_RECORD, AppendTable, CurrentTable, HistoryTable
+from tidemark.sources import (
+    BAD_RECORD,
+    AppendTable,
+    CurrentTable,
+    HistoryTable,
+    MergeTable,
+    UpsertCounts,
+)
 from tidemark.streaming import follow_landing, landing, parent_folder
 
 SCHEMA = "id string, name string, price double"
@@ -51,6 +59,44 @@ def test_first_load_then_replay_then_change(spark, layers, clock):
     ]
 
 
+def test_merge_into_a_catalog_table(spark, layers, clock, monkeypatch):
+    """No catalog here has row-level operations, so Spark's own refusal is as far as MERGE goes:
+    it comes after table, columns and condition have been resolved."""
+    data = coins(range(4))
+    run_chain(spark, [snapshot(spark, data)], layers, "id", clock)
+    CurrentTable(spark, layers.current).read().limit(0).write.saveAsTable("coins_now")
+    target = MergeTable(spark, "spark_catalog.default.coins_now")
+    stored = CurrentTable(spark, layers.current).read()
+    for evolve in (True, False):
+        with pytest.raises(UnsupportedOperationException, match="MERGE INTO TABLE"):
+            target.merge(stored, evolve=evolve)
+    with pytest.raises(ValueError, match="other"):
+        target.merge(stored, on="other")
+    with pytest.raises(UnsupportedOperationException):
+        refresh_current(spark, layers, clock, merge_into=target.name)
+    log = read_run_log(spark, layers.refresh_log).filter("status = 'ERRO'")
+    assert rows(log, "output_path") == [(target.name,)]
+
+    merges = []
+
+    class Merge:
+        def __getattr__(self, step):
+            return lambda *_: merges.append(step) or self
+
+    monkeypatch.setattr(type(stored), "mergeInto", lambda *_: Merge())
+    stored.limit(3).write.insertInto("coins_now")
+    record = refresh_current(spark, layers, clock, merge_into=target.name)
+    assert (record["records_inserted"], record["records_updated"]) == ("1", "0")
+    assert merges == ["withSchemaEvolution", "whenMatched", "updateAll", "whenNotMatched", "insertAll", "merge"]
+    held = {r[N.KEY_HASH] for r in target.read().select(N.KEY_HASH).collect()}
+    changed = stored.withColumn("price", F.col("price") + 1)
+    counts = target.merge(changed)
+    assert (counts.inserted, counts.updated, counts.copied) == (1, len(held), 0)
+    merges.clear()
+    assert target.merge(stored.limit(0)) == UpsertCounts(0, 0, 3) and merges == []
+    spark.sql("DROP TABLE coins_now")
+
+
 def test_disjoint_snapshots_add_up(spark, layers, clock):
     for number in range(4):
         clock.at += timedelta(hours=1)

@@ -77,20 +77,15 @@ def end_to_end_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _current(spark, run_snapshots(spark, sf_dir, "chain", files=True))
 
 
-STATE_SQL = f"""
-WITH {SNAPSHOTS_SQL}
-SELECT event_id, upper(event_type) AS event_type, upper(props) AS props, ts, user_id, value,
-       hash_chave, hash_columns
-FROM versions WHERE age = 1
-"""
-
-
-@query(STATE_SQL)
+@query(f"""
+SELECT * REPLACE ('/5-logs/2-silver/events_20240105_100000' AS key_log_file_path,
+                  '2024-01-05 10:00:00' AS dt_atualizacao, '2024-01-05' AS dt_ingestao)
+FROM ({CURRENT_SQL})
+""")
 def same_second_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots of one second: the later ingested one holds the newest versions."""
     days = SNAPSHOT_DAYS[:1] * len(SNAPSHOT_DAYS)
-    layers = run_snapshots(spark, sf_dir, "second", incremental=False, days=days)
-    return CurrentTable(spark, layers.current).read().drop(*N.RUN_COLUMNS)
+    return _current(spark, run_snapshots(spark, sf_dir, "second", incremental=False, days=days))
 
 
 @query("""
@@ -170,10 +165,20 @@ def scan_json_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(bad)
 
 
-@query(f"SELECT *, 3 AS releases FROM ({STATE_SQL})")
+@query(f"""
+WITH {SNAPSHOTS_SQL},
+run AS (SELECT *, printf('%02d', 24 * n - 13) AS seconds FROM versions WHERE age = 1)
+SELECT event_id, upper(event_type) AS event_type, upper(props) AS props, ts, user_id, value,
+       hash_chave, hash_columns,
+       '/5-logs/2-silver/events_20240105_1000' || seconds AS key_log_file_path,
+       '2024-01-05 10:00:' || seconds AS dt_atualizacao, '2024-01-05' AS dt_ingestao,
+       '/2-bronze/events' AS nm_arquivo_origem, 3 AS releases
+FROM run
+""")
 def landing_stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three snapshots of several files each, landed before the stream looks: as many
-    releases of the current table."""
+    releases of the current table. The clock goes on by a second with each look, of which
+    an ingest and a refresh take 24."""
     root = new_work_path(spark, "landing-folders")
     layers = Layers.under(root, "events")
     for number, snapshot in enumerate(snapshots(spark, sf_dir)):
@@ -183,14 +188,13 @@ def landing_stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         StagedClock(SNAPSHOT_DAYS[0], timedelta(seconds=1)), multi_line=False,
         snapshot_of=parent_folder,
     ).awaitTermination()
-    current = CurrentTable(spark, layers.current)
-    releases = F.lit(current.last_release().release).alias("releases")
-    return current.read().drop(*N.RUN_COLUMNS).select("*", releases)
+    releases = CurrentTable(spark, layers.current).last_release().release
+    return _current(spark, layers).withColumn("releases", F.lit(releases))
 
 
-@query(STATE_SQL)
+@query(CURRENT_SQL)
 def landing_stream_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same state when a file stream picks the snapshots up."""
+    """The same table when a file stream picks the snapshots up."""
     root = new_work_path(spark, "landing-stream")
     layers = Layers.under(root, "events")
     clock = StagedClock(SNAPSHOT_DAYS[0])
@@ -207,7 +211,7 @@ def landing_stream_current(spark: SparkSession, sf_dir: str) -> DataFrame:
             multi_line=False,
             files_per_batch=1000,
         ).awaitTermination()
-    return CurrentTable(spark, layers.current).read().drop(*N.RUN_COLUMNS)
+    return _current(spark, layers)
 
 
 def _timed_runs(spark: SparkSession, sf_dir: str) -> Layers:

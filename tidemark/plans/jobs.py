@@ -17,6 +17,7 @@ from tidemark.operators.changes import changed_rows
 from tidemark.operators.control import RunContext, add_control_columns, replace_run_columns
 from tidemark.operators.latest import latest_versions
 from tidemark.plans.run_log import audited, ingest_record, refresh_record
+from tidemark.sources.merging import MergeTable
 from tidemark.sources.snapshots import BAD_RECORD, read_json_records, read_json_snapshot
 from tidemark.session import work_path, written
 from tidemark.sources.tables import AppendTable, CurrentTable, HistoryTable
@@ -138,6 +139,7 @@ def refresh_current(
     incremental: bool = True,
     exclude: Sequence[str] = (),
     evolve: bool = True,
+    merge_into: str | None = None,
 ) -> dict[str, str]:
     """Bring the current table up to the history; returns the log row.
 
@@ -146,13 +148,18 @@ def refresh_current(
     time order: a key without a later row still has the newest row it had. After
     a run with an earlier clock it reads the whole history. A refresh with any change
     writes the whole current table anew.
+
+    ``merge_into`` names a catalog table that takes the changes by Spark's own MERGE in the
+    place of the stored one. Its format has to support row-level operations. It does not
+    know its release of the history, which is read whole.
     """
     run = RunContext(layers.process, layers.refresh_log, clock)
-    record = refresh_record(run, layers.history, layers.current)
+    record = refresh_record(run, layers.history, merge_into or layers.current)
     with audited(spark, record, N.REFRESH_SUCCEEDED_MESSAGE, N.REFRESH_FAILED_PREFIX):
         current = CurrentTable(spark, layers.current)
+        merged = MergeTable(spark, merge_into) if merge_into else None
         with record.step("bronze_reading"):
-            known = current.last_release()
+            known = None if merged else current.last_release()
             seen = known.source if known and incremental else None
             history, release = HistoryTable(spark, layers.history).read_news(seen)
             require_columns(history, N.CONTROL_COLUMNS, "history")
@@ -160,7 +167,8 @@ def refresh_current(
             latest = latest_versions(history)
         with work_path(spark, "news") as news:
             with record.step("filter_new_data"):
-                changed = changed_rows(written(latest, news), current.read()) if known else latest
+                target = merged.read() if merged else current.find()
+                changed = latest if target is None else changed_rows(written(latest, news), target)
             with record.step("transform_strings"):
                 cleaned = clean_strings(changed, exclude=[*N.CONTROL_COLUMNS, *exclude])
             with record.step("add_column_log"):
@@ -169,7 +177,10 @@ def refresh_current(
                 stamped = replace_run_columns(ordered, run, layers.history)
             with record.step("update_delta_silver"):
                 # One row per key: the latest of each.
-                counts = current.upsert(stamped, unique=True, evolve=evolve, source=release)
+                if merged:
+                    counts = merged.merge(stamped, evolve=evolve)
+                else:
+                    counts = current.upsert(stamped, unique=True, evolve=evolve, source=release)
         record.update(records_inserted=counts.inserted, records_updated=counts.updated)
     return record.values
 

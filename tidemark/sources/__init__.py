@@ -1,3 +1,4 @@
+from tidemark.sources.merging import MergeTable
 from tidemark.sources.releases import ConcurrentWriteError, Release, path_exists
 from tidemark.sources.snapshots import (
     BAD_RECORD,
@@ -22,6 +23,7 @@ __all__ = [
     "ConcurrentWriteError",
     "CurrentTable",
     "HistoryTable",
+    "MergeTable",
     "Release",
     "StoredTable",
     "UpsertCounts",
